@@ -180,3 +180,513 @@ def oracle_sql() -> dict[str, str]:
         for k, body in group.items():
             out[k] = _with_adapter(body)
     return out
+
+
+# ── helpers generating repeated oracle SQL ─────────────────────────────────
+def _hash_sql(columns, alias=""):
+    """md5 over sorted business columns rendered name=value (null -> None), joined by &."""
+    a = f"{alias}." if alias else ""
+    names = sorted(c for c in columns if not c.startswith("_"))
+    parts = ", ".join(f"'{n}=' || coalesce(CAST({a}{n} AS VARCHAR), 'None')" for n in names)
+    return f"md5(concat_ws('&', {parts}))"
+
+
+ORDER_COLS = ["OrderID", "CustomerID", "ProductID", "OrderDate", "ShipDate", "OrderStatus",
+              "TotalAmount", "CurrencyCode", "SalesRepID", "ChannelCode"]
+CUSTOMER_COLS = ["CustomerID", "CustomerName", "CustomerEmail", "CustomerStatus",
+                 "CreatedDate", "UpdatedDate", "RegionCode", "AccountManagerID"]
+PRODUCT_COLS = ["ProductID", "ProductName", "ProductCode", "CategoryID", "UnitPrice",
+                "StockQuantity", "IsActive", "CreatedDate"]
+SNAP = ", ".join(ORDER_COLS)
+INGEST_TS = "2024-03-01 06:00:00"
+LANDED_FILE = "raw/LegacyDB/Customers/part-0000.parquet"
+INT_GUARD = r"regexp_matches({x}, '^\s*[+-]?[0-9]+\s*$')"
+
+
+def _int_sql(x):
+    return f"(CASE WHEN {INT_GUARD.format(x=x)} THEN TRY_CAST(trim({x}) AS INTEGER) END)"
+
+
+SILVER = rf"""
+, orders_prev AS (
+  SELECT {SNAP}, {_hash_sql(ORDER_COLS)} AS _record_hash,
+         TIMESTAMP '2024-01-01 00:00:00' AS _ingestion_timestamp, false AS _is_deleted
+  FROM orders_src WHERE OrderID % 11 <> 0
+),
+cur_base AS (
+  SELECT OrderID, CustomerID, ProductID, OrderDate, ShipDate, OrderStatus,
+         CASE WHEN OrderID % 7 = 0 THEN CAST(TotalAmount + CAST(1 AS DECIMAL(18,2)) AS DECIMAL(18,2))
+              ELSE TotalAmount END AS TotalAmount,
+         CurrencyCode, SalesRepID, ChannelCode
+  FROM orders_src WHERE OrderID % 10 <> 0
+),
+orders_cur AS (
+  SELECT {SNAP}, {_hash_sql(ORDER_COLS)} AS _record_hash,
+         TIMESTAMP '2024-02-01 00:00:00' AS _ingestion_timestamp, false AS _is_deleted
+  FROM cur_base
+),
+orders_hist AS (SELECT * FROM orders_prev UNION ALL SELECT * FROM orders_cur),
+orders_dq AS (
+  SELECT OrderID, CustomerID, ProductID, OrderDate,
+         CASE WHEN OrderID % 41 = 0 THEN DATE '2099-12-31' ELSE ShipDate END AS ShipDate,
+         OrderStatus,
+         CASE WHEN OrderID % 19 = 0 THEN NULL WHEN OrderID % 17 = 0 THEN -TotalAmount
+              ELSE TotalAmount END AS TotalAmount,
+         CurrencyCode, SalesRepID, ChannelCode, _record_hash, _ingestion_timestamp, _is_deleted
+  FROM orders_hist
+),
+dq0 AS (
+  SELECT *, coalesce(OrderStatus = upper(trim(OrderStatus)), false) AS p0,
+         coalesce(CAST(OrderStatus AS VARCHAR), 'None') AS v0
+  FROM orders_dq
+),
+dq1 AS (
+  SELECT * REPLACE (CASE WHEN p0 THEN OrderStatus ELSE upper(trim(OrderStatus)) END AS OrderStatus)
+  FROM dq0
+),
+dq2 AS (
+  SELECT *, coalesce(regexp_matches(OrderStatus, '\S'), false) AS p1,
+         coalesce(OrderStatus, 'None') AS v1,
+         coalesce(OrderStatus IN ('CANCELLED', 'COMPLETED', 'PENDING', 'RETURNED', 'SHIPPED'), false) AS p2,
+         coalesce(OrderStatus, 'None') AS v2,
+         coalesce(TotalAmount > 0, false) AS p3,
+         coalesce(CAST(TotalAmount AS VARCHAR), 'None') AS v3
+  FROM dq1
+),
+dq3 AS (
+  SELECT * REPLACE (CASE WHEN p3 THEN TotalAmount
+                         ELSE coalesce(abs(TotalAmount), CAST(0 AS DECIMAL(18,2))) END AS TotalAmount)
+  FROM dq2
+),
+dq4 AS (
+  SELECT *, coalesce(ChannelCode IS NULL OR length(ChannelCode) <= 6, false) AS p4,
+         coalesce(ChannelCode, 'None') AS v4
+  FROM dq3
+),
+dq5 AS (
+  SELECT * REPLACE (CASE WHEN p4 THEN ChannelCode ELSE substring(ChannelCode, 1, 6) END AS ChannelCode)
+  FROM dq4
+),
+dq AS (
+  SELECT *, coalesce(ShipDate IS NULL OR ShipDate <= CAST(now() AS DATE), false) AS p5,
+         coalesce(CAST(ShipDate AS VARCHAR), 'None') AS v5,
+         (NOT p1 OR NOT p2) AS has_error
+  FROM dq5
+),
+dq_clean AS (
+  SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted FROM dq WHERE NOT has_error
+),
+silver_orders AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY OrderID ORDER BY _ingestion_timestamp DESC NULLS LAST) AS rn
+    FROM dq_clean) WHERE rn = 1
+)
+"""
+
+LANDED = rf"""
+, cust_text AS (
+  SELECT
+    CASE WHEN CustomerID % 50 = 7 THEN 'x' || CAST(CustomerID AS VARCHAR)
+         WHEN CustomerID % 50 = 13 THEN NULL
+         ELSE ' ' || CAST(CustomerID AS VARCHAR) || ' ' END AS CustomerID,
+    CASE WHEN CustomerID % 60 = 1 THEN NULL ELSE CustomerName END AS CustomerName,
+    CustomerEmail, CustomerStatus,
+    CASE WHEN CustomerID % 45 = 11 THEN 'not a date' ELSE CAST(CreatedDate AS VARCHAR) END AS CreatedDate,
+    CAST(UpdatedDate AS VARCHAR) AS UpdatedDate,
+    RegionCode,
+    CASE WHEN CustomerID % 40 = 3 THEN '2.5' ELSE CAST(AccountManagerID AS VARCHAR) END AS AccountManagerID,
+    'Y' AS LegacyFlag
+  FROM customers_src
+),
+cust_typed AS (
+  SELECT *,
+    {_int_sql('CustomerID')} AS t_id,
+    TRY_CAST(CreatedDate AS TIMESTAMP) AS t_created,
+    TRY_CAST(UpdatedDate AS TIMESTAMP) AS t_updated,
+    {_int_sql('AccountManagerID')} AS t_mgr
+  FROM cust_text
+),
+cust_enf AS (
+  SELECT
+    t_id AS e_CustomerID, CustomerName AS e_CustomerName,
+    coalesce(CustomerEmail, 'unknown@example.com') AS e_CustomerEmail,
+    CustomerStatus AS e_CustomerStatus, t_created AS e_CreatedDate, t_updated AS e_UpdatedDate,
+    RegionCode AS e_RegionCode, t_mgr AS e_AccountManagerID,
+    [CASE WHEN CustomerID IS NULL THEN 'Required column ''CustomerID'' is null in record'
+          WHEN t_id IS NULL THEN 'Cannot coerce column ''CustomerID'' value ''' || CustomerID || ''' to int' END,
+     CASE WHEN CustomerName IS NULL THEN 'Required column ''CustomerName'' is null in record' END,
+     NULL,
+     CASE WHEN CustomerStatus IS NULL THEN 'Required column ''CustomerStatus'' is null in record' END,
+     CASE WHEN CreatedDate IS NULL THEN 'Required column ''CreatedDate'' is null in record'
+          WHEN t_created IS NULL THEN 'Cannot coerce column ''CreatedDate'' value ''' || CreatedDate || ''' to timestamp' END,
+     CASE WHEN UpdatedDate IS NOT NULL AND t_updated IS NULL
+          THEN 'Cannot coerce column ''UpdatedDate'' value ''' || UpdatedDate || ''' to timestamp' END,
+     NULL,
+     CASE WHEN AccountManagerID IS NOT NULL AND t_mgr IS NULL
+          THEN 'Cannot coerce column ''AccountManagerID'' value ''' || AccountManagerID || ''' to int' END
+    ] AS errs_all,
+    CustomerID AS r_CustomerID, CustomerName AS r_CustomerName, CustomerEmail AS r_CustomerEmail,
+    CustomerStatus AS r_CustomerStatus, CreatedDate AS r_CreatedDate, UpdatedDate AS r_UpdatedDate,
+    RegionCode AS r_RegionCode, AccountManagerID AS r_AccountManagerID, LegacyFlag AS r_LegacyFlag
+  FROM cust_typed
+),
+cust_flag AS (
+  SELECT *, list_filter(errs_all, lambda x: x IS NOT NULL) AS errs FROM cust_enf
+),
+bronze_valid AS (
+  SELECT e_CustomerID AS CustomerID, e_CustomerName AS CustomerName, e_CustomerEmail AS CustomerEmail,
+         e_CustomerStatus AS CustomerStatus, e_CreatedDate AS CreatedDate, e_UpdatedDate AS UpdatedDate,
+         e_RegionCode AS RegionCode, e_AccountManagerID AS AccountManagerID,
+         TIMESTAMP '{INGEST_TS}' AS _ingestion_timestamp, '{LANDED_FILE}' AS _source_file,
+         'Customers' AS _source_table,
+         {_hash_sql(['e_' + c for c in CUSTOMER_COLS]).replace("'e_", "'")} AS _record_hash,
+         false AS _is_deleted
+  FROM cust_flag WHERE len(errs) = 0
+)
+"""
+
+
+def _fix_hash_names(sql: str) -> str:
+    return sql
+
+
+BRONZE = {
+    "type_coerce": rf"""
+, prod_text AS (
+  SELECT ' ' || CAST(ProductID AS VARCHAR) AS ProductID, ProductName, ProductCode,
+         CASE WHEN ProductID % 33 = 4 THEN 'n/a' ELSE CAST(CategoryID AS VARCHAR) END AS CategoryID,
+         CASE WHEN ProductID % 29 = 5 THEN '1,234.00'
+              WHEN ProductID % 29 = 6 THEN CAST(UnitPrice AS VARCHAR) || '5'
+              ELSE CAST(UnitPrice AS VARCHAR) END AS UnitPrice,
+         CASE WHEN ProductID % 31 = 7 THEN '1.5' ELSE CAST(StockQuantity AS VARCHAR) END AS StockQuantity,
+         CASE ProductID % 10 WHEN 0 THEN '0' WHEN 1 THEN 'Yes' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'n'
+              WHEN 4 THEN NULL ELSE '1' END AS IsActive,
+         CASE WHEN ProductID % 27 = 8 THEN '2021-13-45' ELSE CAST(CreatedDate AS VARCHAR) END AS CreatedDate
+  FROM products_src
+),
+prod_typed AS (
+  SELECT ProductID AS raw_id,
+         {_int_sql('ProductID')} AS t_ProductID, ProductName AS t_ProductName,
+         ProductCode AS t_ProductCode, {_int_sql('CategoryID')} AS t_CategoryID,
+         TRY_CAST(UnitPrice AS DECIMAL(18,2)) AS t_UnitPrice, {_int_sql('StockQuantity')} AS t_StockQuantity,
+         lower(IsActive) IN ('true', '1', 'yes') AS t_IsActive,
+         TRY_CAST(CreatedDate AS TIMESTAMP) AS t_CreatedDate,
+         ProductID AS r_ProductID, CategoryID AS r_CategoryID, UnitPrice AS r_UnitPrice,
+         StockQuantity AS r_StockQuantity, CreatedDate AS r_CreatedDate
+  FROM prod_text
+)
+SELECT raw_id, t_ProductID AS ProductID, t_ProductName AS ProductName, t_ProductCode AS ProductCode,
+       t_CategoryID AS CategoryID, t_UnitPrice AS UnitPrice, t_StockQuantity AS StockQuantity,
+       t_IsActive AS IsActive, t_CreatedDate AS CreatedDate,
+       concat_ws(',',
+         CASE WHEN r_ProductID IS NOT NULL AND t_ProductID IS NULL THEN 'ProductID' END,
+         CASE WHEN r_CategoryID IS NOT NULL AND t_CategoryID IS NULL THEN 'CategoryID' END,
+         CASE WHEN r_UnitPrice IS NOT NULL AND t_UnitPrice IS NULL THEN 'UnitPrice' END,
+         CASE WHEN r_StockQuantity IS NOT NULL AND t_StockQuantity IS NULL THEN 'StockQuantity' END,
+         CASE WHEN r_CreatedDate IS NOT NULL AND t_CreatedDate IS NULL THEN 'CreatedDate' END
+       ) AS failed_columns
+FROM prod_typed""",
+    "schema_enforce": LANDED + """
+SELECT e_CustomerID AS CustomerID, e_CustomerName AS CustomerName, e_CustomerEmail AS CustomerEmail,
+       e_CustomerStatus AS CustomerStatus, e_CreatedDate AS CreatedDate, e_UpdatedDate AS UpdatedDate,
+       e_RegionCode AS RegionCode, e_AccountManagerID AS AccountManagerID,
+       errs[1] AS _error, CAST(len(errs) AS INTEGER) AS _error_count
+FROM cust_flag""",
+    "record_hash": LANDED + "SELECT CustomerID, _record_hash FROM bronze_valid",
+    "bronze_metadata": f"""
+SELECT *, TIMESTAMP '{INGEST_TS}' AS _ingestion_timestamp, '{LANDED_FILE}' AS _source_file,
+       'Customers' AS _source_table, {_hash_sql(CUSTOMER_COLS)} AS _record_hash, false AS _is_deleted
+FROM customers_src""",
+    "bronze_ingest": LANDED + "SELECT * FROM bronze_valid",
+    "bronze_quarantine": LANDED + """
+SELECT r_CustomerID AS CustomerID, r_CustomerName AS CustomerName, r_CustomerEmail AS CustomerEmail,
+       r_CustomerStatus AS CustomerStatus, r_CreatedDate AS CreatedDate, r_UpdatedDate AS UpdatedDate,
+       r_RegionCode AS RegionCode, r_AccountManagerID AS AccountManagerID, r_LegacyFlag AS LegacyFlag,
+       errs[1] AS _error, CAST(len(errs) AS INTEGER) AS _error_count
+FROM cust_flag WHERE len(errs) > 0""",
+    "ingestion_stats": LANDED + """
+, c AS (SELECT count(*) AS raw_records, count(*) FILTER (WHERE len(errs) = 0) AS bronze_records,
+               count(*) FILTER (WHERE len(errs) > 0) AS error_records FROM cust_flag)
+SELECT raw_records, bronze_records, error_records,
+       CASE WHEN raw_records > 0 THEN round(bronze_records / raw_records * 100, 2) ELSE 0.0 END AS success_rate_pct,
+       error_records = 0 AS passed
+FROM c""",
+    "test_relationships": LANDED + """
+SELECT o.order_id, o.customer_id FROM stg_orders o
+WHERE o.customer_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM bronze_valid b WHERE b.CustomerID = o.customer_id)""",
+}
+
+DQ_ID = "OrderID, _ingestion_timestamp"
+_RULES = [("standard_order_status", "OrderStatus", "warning"),
+          ("not_null_OrderStatus", "OrderStatus", "error"),
+          ("allowed_values_OrderStatus", "OrderStatus", "error"),
+          ("positive_TotalAmount", "TotalAmount", "warning"),
+          ("max_length_ChannelCode", "ChannelCode", "warning"),
+          ("not_future_ShipDate", "ShipDate", "warning")]
+
+QUALITY = {
+    "dq_not_null": SILVER + f"""
+SELECT {DQ_ID}, OrderStatus, coalesce(regexp_matches(OrderStatus, '\\S'), false) AS passed FROM orders_dq""",
+    "dq_positive": SILVER + f"""
+SELECT {DQ_ID},
+       CASE WHEN coalesce(TotalAmount > 0, false) THEN TotalAmount
+            ELSE coalesce(abs(TotalAmount), CAST(0 AS DECIMAL(18,2))) END AS TotalAmount,
+       coalesce(TotalAmount > 0, false) AS passed FROM orders_dq""",
+    "dq_max_length": SILVER + f"""
+SELECT {DQ_ID},
+       CASE WHEN ChannelCode IS NULL OR length(ChannelCode) <= 6 THEN ChannelCode
+            ELSE substring(ChannelCode, 1, 6) END AS ChannelCode,
+       coalesce(ChannelCode IS NULL OR length(ChannelCode) <= 6, false) AS passed FROM orders_dq""",
+    "dq_in_set": SILVER + f"""
+SELECT {DQ_ID}, OrderStatus,
+       coalesce(OrderStatus IN ('CANCELLED', 'COMPLETED', 'PENDING', 'RETURNED', 'SHIPPED'), false) AS passed
+FROM orders_dq""",
+    "dq_not_future": SILVER + f"""
+SELECT {DQ_ID}, ShipDate, coalesce(ShipDate IS NULL OR ShipDate <= CAST(now() AS DATE), false) AS passed
+FROM orders_dq""",
+    "dq_custom_rule": SILVER + f"""
+SELECT {DQ_ID},
+       CASE WHEN coalesce(OrderStatus = upper(trim(OrderStatus)), false) THEN OrderStatus
+            ELSE upper(trim(OrderStatus)) END AS OrderStatus,
+       coalesce(OrderStatus = upper(trim(OrderStatus)), false) AS passed FROM orders_dq""",
+    "dq_apply_rules": SILVER + "\n UNION ALL ".join(
+        f"SELECT {DQ_ID}, '{n}' AS rule, '{c}' AS \"column\", p{i} AS passed, '{s}' AS severity, v{i} AS value FROM dq"
+        for i, (n, c, s) in enumerate(_RULES)),
+    "dq_clean": SILVER + "SELECT * FROM dq_clean",
+    "dq_rejected": SILVER + f"""
+SELECT {DQ_ID}, OrderStatus, 'not_null_OrderStatus' AS rule, 'OrderStatus' AS "column", v1 AS value
+FROM dq WHERE NOT p1
+UNION ALL
+SELECT {DQ_ID}, OrderStatus, 'allowed_values_OrderStatus' AS rule, 'OrderStatus' AS "column", v2 AS value
+FROM dq WHERE NOT p2""",
+    "dq_rule_counts": SILVER + "SELECT * FROM (" + "\n UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count(*) FILTER (WHERE NOT p{i}) AS failures FROM dq"
+        for i, (n, c, s) in enumerate(_RULES)) + ") WHERE failures > 0",
+    "silver_stats": SILVER + """
+, c AS (SELECT count(*) FILTER (WHERE NOT has_error) AS clean_records,
+               count(*) FILTER (WHERE has_error) AS rejected_records FROM dq),
+d AS (SELECT (SELECT count(*) FROM dq_clean) - (SELECT count(*) FROM silver_orders) AS removed)
+SELECT clean_records + rejected_records AS input_records, clean_records, rejected_records,
+       CAST(d.removed AS BIGINT) AS deduplication_removed,
+       CASE WHEN clean_records + rejected_records > 0
+            THEN round(rejected_records / (clean_records + rejected_records) * 100, 2) ELSE 0.0 END
+         AS rejection_rate_pct,
+       rejected_records = 0 AS passed
+FROM c, d""",
+}
+
+_CHANGE_COLS = ORDER_COLS + ["_record_hash", "_ingestion_timestamp"]
+CHANGES = {
+    "dedup_latest": """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+             l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST) AS rn
+  FROM lineitem) WHERE rn = 1""",
+    "detect_changes": SILVER + """
+, chg AS (
+  SELECT """ + ", ".join(f"CASE WHEN c.OrderID IS NOT NULL THEN c.{x} ELSE p.{x} END AS {x}"
+                         for x in _CHANGE_COLS) + """,
+    CASE WHEN c.OrderID IS NOT NULL THEN coalesce(c._is_deleted, false) ELSE true END AS _is_deleted,
+    CASE WHEN c.OrderID IS NOT NULL AND p.OrderID IS NULL THEN 'new'
+         WHEN c.OrderID IS NULL THEN 'deleted'
+         WHEN c._record_hash IS DISTINCT FROM p._record_hash THEN 'updated'
+         ELSE 'unchanged' END AS _change_type
+  FROM orders_cur c FULL OUTER JOIN orders_prev p ON c.OrderID IS NOT DISTINCT FROM p.OrderID
+)
+SELECT * FROM chg""",
+    "test_unique": """
+SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+}
+CHANGES["change_counts"] = CHANGES["detect_changes"].replace(
+    "SELECT * FROM chg", "SELECT _change_type, count(*) AS records FROM chg GROUP BY _change_type")
+
+
+def _fmt(x, d):
+    return f"printf('%.{d}f', round(CAST({x} AS DOUBLE), {d}))"
+
+
+def _row_count_sql(table, tol, order, cte="cnt"):
+    pct = "(CASE WHEN s > 0 THEN abs(s - t) / s * 100 ELSE 100.0 END)"
+    return f"""
+SELECT '{table}' AS table_name, 'row_count_{table}' AS check_name, 'silver' AS layer,
+  CASE WHEN s = t THEN 'PASS' WHEN {pct} <= {tol} THEN 'WARN' ELSE 'FAIL' END AS status,
+  CAST(s AS DOUBLE) AS source_value, CAST(t AS DOUBLE) AS target_value,
+  CAST(abs(s - t) AS DOUBLE) AS discrepancy, CAST(NULL AS BIGINT) AS missing, CAST(NULL AS BIGINT) AS extra,
+  CASE WHEN s = t THEN 'Row counts match exactly: ' || s
+       WHEN {pct} <= {tol} THEN 'Row count within tolerance: source=' || s || ', target=' || t
+            || ' (' || {_fmt(pct, 1)} || '% diff ≤ {tol}% tolerance)'
+       ELSE 'Row count mismatch: source=' || s || ', target=' || t
+            || ' (' || {_fmt(pct, 1)} || '% diff > {tol}% tolerance)' END AS message,
+  {order} AS check_order
+FROM {cte}"""
+
+
+def _sum_sql(table, col, order, cte="sums"):
+    s, t = f"s_{col}", f"t_{col}"
+    diff = f"abs({s} - {t})"
+    return f"""
+SELECT '{table}' AS table_name, 'col_sum_{col}_{table}' AS check_name, 'silver' AS layer,
+  CASE WHEN {diff} <= 0.01 THEN 'PASS' ELSE 'FAIL' END AS status,
+  round(CAST({s} AS DOUBLE), 4) AS source_value, round(CAST({t} AS DOUBLE), 4) AS target_value,
+  round(CAST({diff} AS DOUBLE), 4) AS discrepancy, CAST(NULL AS BIGINT) AS missing, CAST(NULL AS BIGINT) AS extra,
+  CASE WHEN {diff} <= 0.01 THEN 'Column SUM matches: {col} = ' || {_fmt(s, 4)}
+       ELSE 'Column SUM mismatch: {col} — source=' || {_fmt(s, 4)} || ', target=' || {_fmt(t, 4)}
+            || ', diff=' || {_fmt(diff, 4)} END AS message,
+  {order} AS check_order
+FROM {cte}"""
+
+
+def _null_sql(table, col, order, tol=5.0, cte="nulls"):
+    s = f"(CASE WHEN sr > 0 THEN sn_{col} / sr * 100 ELSE 0.0 END)"
+    t = f"(CASE WHEN tr > 0 THEN tn_{col} / tr * 100 ELSE 0.0 END)"
+    diff = f"({t} - {s})"
+    body = f"'{col} source=' || {_fmt(s, 1)} || '%, target=' || {_fmt(t, 1)} || '%'"
+    return f"""
+SELECT '{table}' AS table_name, 'null_rate_{col}_{table}' AS check_name, 'silver' AS layer,
+  CASE WHEN {diff} <= 0 THEN 'PASS' WHEN {diff} <= {tol} THEN 'WARN' ELSE 'FAIL' END AS status,
+  round({s}, 2) AS source_value, round({t}, 2) AS target_value, round({diff}, 2) AS discrepancy,
+  CAST(NULL AS BIGINT) AS missing, CAST(NULL AS BIGINT) AS extra,
+  CASE WHEN {diff} <= 0 THEN 'Null rate OK: ' || {body}
+       WHEN {diff} <= {tol} THEN 'Null rate slightly higher in target: ' || {body}
+            || ' (diff=' || {_fmt(diff, 1)} || '%)'
+       ELSE 'Null rate significantly higher in target: ' || {body}
+            || ' (diff=' || {_fmt(diff, 1)} || '% > {tol}% tolerance)' END AS message,
+  {order} AS check_order
+FROM {cte}"""
+
+
+def _flags_cte(name, col, src, tgt, n, sample_flag=1):
+    other = 3 - sample_flag
+    return f"""
+, {name}_f AS (
+  SELECT v, bit_or(f) AS f, count(*) FILTER (WHERE f = 1) AS n1, count(*) FILTER (WHERE f = 2) AS n2
+  FROM (SELECT {col} AS v, 1 AS f FROM {src} UNION ALL SELECT {col} AS v, 2 AS f FROM {tgt})
+  GROUP BY v
+),
+{name} AS (
+  SELECT sum(n1) AS src_rows, sum(n2) AS tgt_rows,
+    count(*) FILTER (WHERE v IS NOT NULL AND f % 2 = 1) AS src_distinct,
+    count(*) FILTER (WHERE v IS NOT NULL AND f >= 2) AS tgt_distinct,
+    count(*) FILTER (WHERE v IS NOT NULL AND f = 1) AS only_src,
+    count(*) FILTER (WHERE v IS NOT NULL AND f = 2) AS only_tgt,
+    coalesce((list(v ORDER BY v) FILTER (WHERE v IS NOT NULL AND f = {sample_flag}))[1:{n}], []) AS sample,
+    coalesce((list(v ORDER BY v) FILTER (WHERE v IS NOT NULL AND f = {other}))[1:{n}], []) AS sample_other
+  FROM {name}_f
+)"""
+
+
+def _list_sql(x, quote):
+    item = "'''' || CAST(e AS VARCHAR) || ''''" if quote else "CAST(e AS VARCHAR)"
+    return f"('[' || array_to_string(list_transform({x}, lambda e: {item}), ', ') || ']')"
+
+
+def _distinct_sql(table, col, order, cte, quote):
+    return f"""
+SELECT '{table}' AS table_name, 'distinct_values_{col}_{table}' AS check_name, 'silver' AS layer,
+  CASE WHEN only_src = 0 AND only_tgt = 0 THEN 'PASS' WHEN only_src > 0 THEN 'FAIL' ELSE 'WARN' END AS status,
+  CAST(src_distinct AS DOUBLE) AS source_value, CAST(tgt_distinct AS DOUBLE) AS target_value,
+  CAST(NULL AS DOUBLE) AS discrepancy, only_src AS missing, only_tgt AS extra,
+  CASE WHEN only_src = 0 AND only_tgt = 0 THEN 'Distinct values match: {col} (' || src_distinct || ' values)'
+       WHEN only_src > 0 THEN 'Lost distinct values in {col}: ' || {_list_sql('sample', quote)}
+            || ' (total=' || only_src || ' missing)'
+       ELSE 'New distinct values in target {col}: ' || {_list_sql('sample_other', quote)}
+            || ' (not in source)' END AS message,
+  {order} AS check_order
+FROM {cte}"""
+
+
+def _pk_sql(table, col, order, cte, quote, require_rows=False):
+    where = " WHERE src_rows > 0 AND tgt_rows > 0" if require_rows else ""
+    return f"""
+SELECT '{table}' AS table_name, 'pk_completeness_{col}_{table}' AS check_name, 'silver' AS layer,
+  CASE WHEN only_src = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+  CAST(src_distinct AS DOUBLE) AS source_value, CAST(tgt_distinct AS DOUBLE) AS target_value,
+  CAST(NULL AS DOUBLE) AS discrepancy, only_src AS missing, only_tgt AS extra,
+  CASE WHEN only_src = 0 THEN 'All ' || src_distinct || ' source PKs present in target'
+       ELSE 'Missing PKs in target: ' || only_src || ' keys absent. Sample: ' || {_list_sql('sample', quote)}
+       END AS message,
+  {order} AS check_order
+FROM {cte}{where}"""
+
+
+RECON_BASE = SILVER + """
+, cnt AS (SELECT (SELECT count(*) FROM orders_cur) AS s, (SELECT count(*) FROM silver_orders) AS t),
+sums AS (
+  SELECT (SELECT coalesce(sum(CAST(TotalAmount AS DECIMAL(38,2))), 0) FROM orders_cur) AS s_TotalAmount,
+         (SELECT coalesce(sum(CAST(TotalAmount AS DECIMAL(38,2))), 0) FROM silver_orders) AS t_TotalAmount,
+         (SELECT coalesce(sum(CAST(SalesRepID AS DECIMAL(38,0))), 0) FROM orders_cur) AS s_SalesRepID,
+         (SELECT coalesce(sum(CAST(SalesRepID AS DECIMAL(38,0))), 0) FROM silver_orders) AS t_SalesRepID
+),
+nulls AS (
+  SELECT (SELECT count(*) FROM orders_cur) AS sr, (SELECT count(*) FROM silver_orders) AS tr,
+    (SELECT count(*) FILTER (WHERE OrderStatus IS NULL) FROM orders_cur) AS sn_OrderStatus,
+    (SELECT count(*) FILTER (WHERE OrderStatus IS NULL) FROM silver_orders) AS tn_OrderStatus,
+    (SELECT count(*) FILTER (WHERE ShipDate IS NULL) FROM orders_cur) AS sn_ShipDate,
+    (SELECT count(*) FILTER (WHERE ShipDate IS NULL) FROM silver_orders) AS tn_ShipDate,
+    (SELECT count(*) FILTER (WHERE CurrencyCode IS NULL) FROM orders_cur) AS sn_CurrencyCode,
+    (SELECT count(*) FILTER (WHERE CurrencyCode IS NULL) FROM silver_orders) AS tn_CurrencyCode
+)""" + _flags_cte("pk", "OrderID", "orders_cur", "silver_orders", 3) \
+    + _flags_cte("dch", "ChannelCode", "orders_cur", "silver_orders", 5) \
+    + _flags_cte("dcu", "CurrencyCode", "orders_cur", "silver_orders", 5)
+
+_FULL = "\nUNION ALL\n".join([
+    _row_count_sql("orders", 5.0, 0),
+    _pk_sql("orders", "OrderID", 1, "pk", False, require_rows=True),
+    _sum_sql("orders", "TotalAmount", 2),
+    _sum_sql("orders", "SalesRepID", 3),
+    _null_sql("orders", "OrderStatus", 4),
+    _null_sql("orders", "ShipDate", 5),
+    _null_sql("orders", "CurrencyCode", 6),
+    _distinct_sql("orders", "ChannelCode", 7, "dch", True),
+    _distinct_sql("orders", "CurrencyCode", 8, "dcu", True),
+])
+
+_PCT_SIMPLE = "(CASE WHEN s > 0 THEN abs(s - t) / s * 100 ELSE 100.0 END)"
+RECON = {
+    "recon_row_count_simple": RECON_BASE + f"""
+SELECT s AS source_count, t AS target_count, {_PCT_SIMPLE} <= 5.0 AS count_match,
+       abs(s - t) AS discrepancy, round({_PCT_SIMPLE}, 2) AS discrepancy_pct,
+       {_PCT_SIMPLE} <= 5.0 AS passed,
+       CASE WHEN {_PCT_SIMPLE} <= 5.0
+            THEN 'PASS: row counts match within 5.0% tolerance (source=' || s || ', target=' || t || ')'
+            ELSE 'FAIL: row count mismatch — source=' || s || ', target=' || t || ', discrepancy='
+                 || abs(s - t) || ' (' || {_fmt(_PCT_SIMPLE, 1)} || '%)' END AS message
+FROM cnt""",
+    "recon_row_count": RECON_BASE + _row_count_sql("orders", 5.0, 0),
+    "recon_checksums": RECON_BASE + "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS "column", round(CAST(s_{c} AS DOUBLE), 4) AS source_sum,
+       round(CAST(t_{c} AS DOUBLE), 4) AS target_sum,
+       round(CAST(abs(s_{c} - t_{c}) AS DOUBLE), 4) AS difference,
+       abs(s_{c} - t_{c}) < 0.01 AS passed,
+       CASE WHEN abs(s_{c} - t_{c}) < 0.01 THEN 'PASS'
+            ELSE 'FAIL: sum mismatch (' || {_fmt(f'abs(s_{c} - t_{c})', 4)} || ' difference)' END AS message
+FROM sums""" for c in ("TotalAmount", "SalesRepID")),
+    "recon_column_sum": RECON_BASE + _sum_sql("orders", "TotalAmount", 0),
+    "recon_null_rate": RECON_BASE + _null_sql("orders", "ShipDate", 0),
+    "recon_distinct_values": RECON_BASE + _distinct_sql("orders", "ChannelCode", 0, "dch", True),
+    "recon_pk_completeness": RECON_BASE + _pk_sql("orders", "OrderID", 0, "pk", False),
+    "recon_full": RECON_BASE + _FULL,
+    "recon_report_summary": RECON_BASE + f"""
+, rep AS ({_FULL}),
+g AS (SELECT table_name, count(*) FILTER (WHERE status = 'PASS') AS passed,
+             count(*) FILTER (WHERE status = 'WARN') AS warned,
+             count(*) FILTER (WHERE status = 'FAIL') AS failed FROM rep GROUP BY table_name)
+SELECT table_name, passed, warned, failed,
+       CASE WHEN failed > 0 THEN 'FAIL' WHEN warned > 0 THEN 'WARN' ELSE 'PASS' END AS overall_status,
+       'Reconciliation [' || table_name || ']: ' || passed || ' PASS / ' || warned || ' WARN / '
+         || failed || ' FAIL — Overall: '
+         || CASE WHEN failed > 0 THEN 'FAIL' WHEN warned > 0 THEN 'WARN' ELSE 'PASS' END AS summary
+FROM g""",
+}
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811  (final definition)
+    out = {}
+    for group in (GOLD, BRONZE, QUALITY, CHANGES, RECON):
+        for k, body in group.items():
+            out[k] = _with_adapter(body)
+    return out

@@ -77,3 +77,256 @@ QUERIES: dict[str, Query] = {
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+# ── bronze ──────────────────────────────────────────────────────────────────
+from dataclasses import replace as _replace  # noqa: E402
+
+from lakeshift.functions.coerce import coerce, coercion_failed  # noqa: E402
+from lakeshift.operators import bronze as B  # noqa: E402
+from lakeshift.operators import quality as Q  # noqa: E402
+from lakeshift.operators import reconcile as R  # noqa: E402
+from lakeshift.operators.changes import detect_changes, change_counts  # noqa: E402
+from lakeshift.operators.datatests import test_unique, test_relationships  # noqa: E402
+from lakeshift.operators.dedup import dedup_latest, dedup_removed  # noqa: E402
+from lakeshift.spec import CUSTOMERS, ORDERS, PRODUCTS, ColumnSpec  # noqa: E402
+
+# Ingestion time used by the registered bronze queries (reproducible).
+INGEST_TS = "2024-03-01 06:00:00"
+# The bronze spec for landed customers: a default for a missing email.
+CUSTOMERS_BRONZE = _replace(CUSTOMERS, columns=tuple(
+    ColumnSpec(c.name, c.dtype, c.nullable, "unknown@example.com")
+    if c.name == "CustomerEmail" else c for c in CUSTOMERS.columns))
+
+
+def q_type_coerce(spark, d):
+    raw = A.products_landed_text(spark, d)
+    types = dict((f.name, f.dataType) for f in raw.schema.fields)
+    cols, failed = [], []
+    for c in PRODUCTS.columns:
+        v = coerce(F.col(c.name), c.dtype, types[c.name])
+        cols.append(v.alias(c.name))
+        failed.append(F.when(coercion_failed(F.col(c.name), v), F.lit(c.name)))
+    return raw.select(F.col("ProductID").alias("raw_id"), *cols,
+                      F.concat_ws(",", *failed).alias("failed_columns"))
+
+
+def q_schema_enforce(spark, d):
+    e = B.enforce_schema(A.customers_landed_text(spark, d), CUSTOMERS_BRONZE)
+    return e.select(*CUSTOMERS_BRONZE.column_names(),
+                    F.get(F.col(B.ERRORS), 0).alias("_error"), F.size(B.ERRORS).alias("_error_count"))
+
+
+def _bronze_batch(spark, d):
+    return B.ingest_batch(A.customers_landed_text(spark, d), CUSTOMERS_BRONZE,
+                          A.LANDED_FILE, INGEST_TS)
+
+
+def q_record_hash(spark, d):
+    return _bronze_batch(spark, d).valid.select("CustomerID", "_record_hash")
+
+
+def q_bronze_metadata(spark, d):
+    return B.add_bronze_metadata(A.customers_source(spark, d), "Customers", A.LANDED_FILE,
+                                 INGEST_TS)
+
+
+def q_bronze_ingest(spark, d):
+    return _bronze_batch(spark, d).valid
+
+
+def q_bronze_quarantine(spark, d):
+    return _bronze_batch(spark, d).quarantine
+
+
+def q_ingestion_stats(spark, d):
+    return _bronze_batch(spark, d).stats()
+
+
+# ── silver: quality rules ───────────────────────────────────────────────────
+# The order status domain and the channel code length limit.
+ORDER_STATUSES = ("COMPLETED", "PENDING", "SHIPPED", "CANCELLED", "RETURNED")
+CHANNEL_MAX_LEN = 6
+DQ_ID = ("OrderID", "_ingestion_timestamp")
+
+
+def standard_status_rule() -> Q.DQRule:
+    """User rule: status text must be trimmed upper case; the fix standardises it."""
+    return Q.DQRule("standard_order_status", "OrderStatus",
+                    lambda c: c == F.upper(F.trim(c)), lambda c: F.upper(F.trim(c)),
+                    severity=Q.WARNING)
+
+
+def silver_order_rules() -> list[Q.DQRule]:
+    return [standard_status_rule(),
+            Q.not_null_rule("OrderStatus"),
+            Q.value_in_set_rule("OrderStatus", ORDER_STATUSES),
+            Q.positive_numeric_rule("TotalAmount"),
+            Q.max_length_rule("ChannelCode", CHANNEL_MAX_LEN),
+            Q.date_not_future_rule("ShipDate")]
+
+
+def _one_rule(rule_fn, column):
+    def q(spark, d):
+        out = Q.check_rule(A.orders_dq_input(spark, d), rule_fn())
+        return out.select(*DQ_ID, F.col(column), "passed")
+    return q
+
+
+def _silver_batch(spark, d):
+    return Q.process_batch(A.orders_dq_input(spark, d), silver_order_rules())
+
+
+def q_dq_apply_rules(spark, d):
+    return _silver_batch(spark, d).results(*DQ_ID)
+
+
+def q_dq_clean(spark, d):
+    return _silver_batch(spark, d).clean
+
+
+def q_dq_rejected(spark, d):
+    r = _silver_batch(spark, d).rejected
+    return (r.select(*DQ_ID, "OrderStatus", F.explode(Q.DQ_ERRORS).alias("e"))
+            .select(*DQ_ID, "OrderStatus", F.col("e.rule").alias("rule"),
+                    F.col("e.column").alias("column"), F.col("e.value").alias("value")))
+
+
+def q_dq_rule_counts(spark, d):
+    return _silver_batch(spark, d).rule_counts()
+
+
+def silver_orders(spark, d):
+    """Silver Orders: clean rows of the bronze history, latest version per order."""
+    return dedup_latest(_silver_batch(spark, d).clean, ["OrderID"], "_ingestion_timestamp")
+
+
+def q_silver_stats(spark, d):
+    b = _silver_batch(spark, d)
+    clean = b.clean
+    removed = dedup_removed(clean, dedup_latest(clean, ["OrderID"], "_ingestion_timestamp"))
+    counts = R._combine_rows([b.counts(), removed])
+    return Q.silver_stats(counts, F.col("deduplication_removed"))
+
+
+# ── dedup / change detection ────────────────────────────────────────────────
+def q_dedup_latest(spark, d):
+    li = A._read(spark, d, "lineitem")
+    return dedup_latest(li, ["l_orderkey", "l_linenumber"], "l_shipdate",
+                        ["l_extendedprice", "l_partkey", "l_suppkey"])
+
+
+def _changes(spark, d):
+    return detect_changes(A.orders_current(spark, d), A.orders_previous(spark, d), "OrderID")
+
+
+def q_detect_changes(spark, d):
+    return _changes(spark, d)
+
+
+def q_change_counts(spark, d):
+    return change_counts(_changes(spark, d))
+
+
+# ── reconciliation: source snapshot vs silver orders ───────────────────────
+RECON_NUMERIC = ["TotalAmount", "SalesRepID"]
+RECON_NULLABLE = ["OrderStatus", "ShipDate", "CurrencyCode"]
+RECON_DISTINCT = ["ChannelCode", "CurrencyCode"]
+
+
+def _pair(spark, d):
+    return A.orders_current(spark, d), silver_orders(spark, d)
+
+
+def q_recon_row_count_simple(spark, d):
+    s, t = _pair(spark, d)
+    return R.reconcile_row_counts(s, t, 5.0)
+
+
+def q_recon_row_count(spark, d):
+    s, t = _pair(spark, d)
+    return R.check_row_count(s, t, "orders", 5.0)
+
+
+def q_recon_checksums(spark, d):
+    s, t = _pair(spark, d)
+    return R.reconcile_column_checksums(s, t, RECON_NUMERIC)
+
+
+def q_recon_column_sum(spark, d):
+    s, t = _pair(spark, d)
+    return R.check_column_sum(s, t, "TotalAmount", "orders")
+
+
+def q_recon_null_rate(spark, d):
+    s, t = _pair(spark, d)
+    return R.check_null_rate(s, t, "ShipDate", "orders")
+
+
+def q_recon_distinct_values(spark, d):
+    s, t = _pair(spark, d)
+    return R.check_distinct_values(s, t, "ChannelCode", "orders")
+
+
+def q_recon_pk_completeness(spark, d):
+    s, t = _pair(spark, d)
+    return R.check_primary_key_completeness(s, t, "OrderID", "orders")
+
+
+def q_recon_full(spark, d):
+    s, t = _pair(spark, d)
+    return R.run_full_reconciliation(s, t, "orders", "OrderID", RECON_NUMERIC, RECON_NULLABLE,
+                                     RECON_DISTINCT, 5.0)
+
+
+def q_recon_report_summary(spark, d):
+    return R.report_summary(q_recon_full(spark, d))
+
+
+# ── data tests ──────────────────────────────────────────────────────────────
+def q_test_unique(spark, d):
+    return test_unique(A._read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_test_relationships(spark, d):
+    """Orders whose customer did not make it into bronze (quarantined rows)."""
+    return test_relationships(q_stg_orders(spark, d), "customer_id", q_bronze_ingest(spark, d),
+                              "CustomerID").select("order_id", "customer_id")
+
+
+QUERIES.update({
+    "type_coerce": q_type_coerce,
+    "schema_enforce": q_schema_enforce,
+    "record_hash": q_record_hash,
+    "bronze_metadata": q_bronze_metadata,
+    "bronze_ingest": q_bronze_ingest,
+    "bronze_quarantine": q_bronze_quarantine,
+    "ingestion_stats": q_ingestion_stats,
+    "dq_not_null": _one_rule(lambda: Q.not_null_rule("OrderStatus"), "OrderStatus"),
+    "dq_positive": _one_rule(lambda: Q.positive_numeric_rule("TotalAmount"), "TotalAmount"),
+    "dq_max_length": _one_rule(lambda: Q.max_length_rule("ChannelCode", CHANNEL_MAX_LEN),
+                               "ChannelCode"),
+    "dq_in_set": _one_rule(lambda: Q.value_in_set_rule("OrderStatus", ORDER_STATUSES),
+                           "OrderStatus"),
+    "dq_not_future": _one_rule(lambda: Q.date_not_future_rule("ShipDate"), "ShipDate"),
+    "dq_custom_rule": _one_rule(standard_status_rule, "OrderStatus"),
+    "dq_apply_rules": q_dq_apply_rules,
+    "dq_clean": q_dq_clean,
+    "dq_rejected": q_dq_rejected,
+    "dq_rule_counts": q_dq_rule_counts,
+    "silver_stats": q_silver_stats,
+    "dedup_latest": q_dedup_latest,
+    "detect_changes": q_detect_changes,
+    "change_counts": q_change_counts,
+    "recon_row_count_simple": q_recon_row_count_simple,
+    "recon_row_count": q_recon_row_count,
+    "recon_checksums": q_recon_checksums,
+    "recon_column_sum": q_recon_column_sum,
+    "recon_null_rate": q_recon_null_rate,
+    "recon_distinct_values": q_recon_distinct_values,
+    "recon_pk_completeness": q_recon_pk_completeness,
+    "recon_full": q_recon_full,
+    "recon_report_summary": q_recon_report_summary,
+    "test_unique": q_test_unique,
+    "test_relationships": q_test_relationships,
+})

@@ -27,6 +27,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     on a cluster the launcher's own session is used and only SCALE_CONF is applied."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():

@@ -115,6 +115,7 @@ def _with_lineage(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({
         "_record_hash": record_hash(df.columns),
         "_ingestion_timestamp": F.lit(ts).cast("timestamp_ntz"),
+        "_is_deleted": F.lit(False),
     })
 
 
@@ -139,6 +140,21 @@ def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_previous(spark, sf_dir).unionByName(orders_current(spark, sf_dir))
 
 
+def orders_dq_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze order history with feed defects for the silver rules: negative amounts
+    (every 17th order), missing amounts (every 19th) and a far-future ship date
+    (every 41st)."""
+    h = orders_history(spark, sf_dir)
+    k = F.col("OrderID")
+    return h.withColumns({
+        "TotalAmount": F.when(k % 19 == 0, F.lit(None).cast("decimal(18,2)"))
+                        .when(k % 17 == 0, -F.col("TotalAmount"))
+                        .otherwise(F.col("TotalAmount")),
+        "ShipDate": F.when(k % 41 == 0, F.lit("2099-12-31").cast("date"))
+                     .otherwise(F.col("ShipDate")),
+    })
+
+
 def customers_landed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as landed text (every column a string) with bad values and one
     undeclared column, the input of bronze schema enforcement."""
