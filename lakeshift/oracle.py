@@ -690,3 +690,50 @@ def oracle_sql() -> dict[str, str]:  # noqa: F811  (final definition)
         for k, body in group.items():
             out[k] = _with_adapter(body)
     return out
+
+
+def _wm_sql(table, expr, prev, src, ingestion_date=None):
+    extra = f", DATE '{ingestion_date}' AS ingestion_date" if ingestion_date else ""
+    return f"""
+SELECT 'dbo.{table}' AS table_name, '{expr}' AS watermark_column, '{prev}' AS previous_watermark,
+       coalesce(CAST(max({expr}) AS VARCHAR), '{prev}') AS new_watermark,
+       count(*) AS rows_extracted{extra}
+FROM {src}_src WHERE {expr} > CAST('{prev}' AS {{t}})"""
+
+
+_WM = [("Orders", "OrderDate", "orders", "DATE"),
+       ("Customers", "coalesce(UpdatedDate, CreatedDate)", "customers", "TIMESTAMP"),
+       ("Products", "CreatedDate", "products", "TIMESTAMP")]
+
+EXTRACT = {
+    "extract_full": "SELECT * FROM orders_src",
+    "extract_incremental": "SELECT * FROM orders_src WHERE OrderDate > DATE '1998-06-30'",
+    "watermark_advance": "\nUNION ALL\n".join(
+        _wm_sql(t, e, m, s).replace("{t}", ty) for (t, e, s, ty), m in
+        zip(_WM, ["1998-06-30", "2022-06-01 00:00:00", "2021-09-01 00:00:00"])),
+    "ingest_suite": "\nUNION ALL\n".join(
+        _wm_sql(t, e, "1900-01-01 00:00:00", s, "2024-03-01").replace("{t}", ty)
+        for (t, e, s, ty) in _WM),
+    "write_partitioned": GOLD["fct_daily_sales"],
+    "merge_upsert": CHANGES["detect_changes"].replace("SELECT * FROM chg", f"""
+SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted FROM orders_prev p
+WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg._change_type <> 'unchanged'
+                  AND chg.OrderID IS NOT DISTINCT FROM p.OrderID)
+UNION ALL
+SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted FROM chg
+WHERE _change_type <> 'unchanged'"""),
+    "merge_schema_evolution": """
+SELECT order_id, order_date, total_amount,
+       CASE WHEN order_date < DATE '1998-01-01' THEN NULL ELSE channel_code END AS channel_code
+FROM stg_orders""",
+    "bronze_table": BRONZE["bronze_ingest"],
+    "stream_bronze_ingest": BRONZE["bronze_ingest"],
+}
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811  (final definition)
+    out = {}
+    for group in (GOLD, BRONZE, QUALITY, CHANGES, RECON, EXTRACT):
+        for k, body in group.items():
+            out[k] = _with_adapter(body)
+    return out

@@ -330,3 +330,119 @@ QUERIES.update({
     "test_unique": q_test_unique,
     "test_relationships": q_test_relationships,
 })
+
+
+# ── extract / sinks / streaming (write, then read back) ─────────────────────
+from lakeshift.session import scratch_path  # noqa: E402
+from lakeshift.sinks import write as W  # noqa: E402
+from lakeshift.sources import extract as X  # noqa: E402
+from lakeshift.streaming.ingest import incremental_ingest, read_bronze  # noqa: E402
+
+# Marks and dates used by the registered extract queries.
+ORDERS_MARK = "1998-06-30"
+CUSTOMERS_MARK = "2022-06-01 00:00:00"
+PRODUCTS_MARK = "2021-09-01 00:00:00"
+INGESTION_DATE = "2024-03-01"
+SOURCE_DB = "LegacyDB"
+
+
+def _landed_source(spark, d, spec, frame) -> X.SourceConfig:
+    """Materialise a derived source table as Parquet in the shared folder (the
+    'source system'), and describe it as an extract source."""
+    path = scratch_path(spark, f"source/{spec.table_name}")
+    frame.write.mode("overwrite").parquet(path)
+    return X.SourceConfig(spec, "parquet", path)
+
+
+def q_extract_full(spark, d):
+    return X.extract_full(spark, _landed_source(spark, d, ORDERS, A.orders_source(spark, d)))
+
+
+def q_extract_incremental(spark, d):
+    cfg = _landed_source(spark, d, ORDERS, A.orders_source(spark, d))
+    return X.extract_incremental(spark, cfg, ORDERS_MARK)
+
+
+def q_watermark_advance(spark, d):
+    frames = []
+    for spec, frame, mark in ((ORDERS, A.orders_source(spark, d), ORDERS_MARK),
+                              (CUSTOMERS, A.customers_source(spark, d), CUSTOMERS_MARK),
+                              (PRODUCTS, A.products_source(spark, d), PRODUCTS_MARK)):
+        cfg = _landed_source(spark, d, spec, frame)
+        frames.append(X.watermark_frame(X.extract_incremental(spark, cfg, mark), cfg, mark))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_ingest_suite(spark, d):
+    cfgs = [X.SourceConfig(ORDERS, "dataframe", dataframe=A.orders_source(spark, d)),
+            X.SourceConfig(CUSTOMERS, "dataframe", dataframe=A.customers_source(spark, d)),
+            X.SourceConfig(PRODUCTS, "dataframe", dataframe=A.products_source(spark, d))]
+    return X.ingest_suite(spark, cfgs, scratch_path(spark, "landing"), SOURCE_DB, INGESTION_DATE)
+
+
+def q_write_partitioned(spark, d):
+    fct = q_fct_daily_sales(spark, d)
+    path = scratch_path(spark, "gold/fct_daily_sales")
+    W.write_table(fct, path, "overwrite", partition_by="order_date")
+    # Rerun for the latest year only: dynamic partition overwrite replaces just those days.
+    W.write_table(fct.filter(F.col("order_date") >= F.lit("2001-01-01").cast("date")),
+                  path, "overwrite", partition_by="order_date")
+    return spark.read.schema(fct.schema).parquet(path)
+
+
+def q_merge_upsert(spark, d):
+    target_path = scratch_path(spark, "silver/orders")
+    W.write_table(A.orders_previous(spark, d), target_path, "overwrite")
+    target = spark.read.parquet(target_path)
+    changes = detect_changes(A.orders_current(spark, d), target, "OrderID")
+    out_path = scratch_path(spark, "silver/orders_v2")
+    W.write_table(W.apply_changes(target, changes, ["OrderID"]), out_path, "overwrite")
+    return spark.read.parquet(out_path)
+
+
+def q_merge_schema_evolution(spark, d):
+    stg = q_stg_orders(spark, d)
+    path = scratch_path(spark, "bronze/orders_evolving")
+    cut = F.lit("1998-01-01").cast("date")
+    W.append_evolving(stg.filter(F.col("order_date") < cut)
+                      .select("order_id", "order_date", "total_amount"), path)
+    W.append_evolving(stg.filter(F.col("order_date") >= cut)
+                      .select("order_id", "order_date", "total_amount", "channel_code"), path)
+    return W.read_evolving(spark, path).select("order_id", "order_date", "total_amount",
+                                               "channel_code")
+
+
+def q_bronze_table(spark, d):
+    import uuid
+    name = f"bronze_customers_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, f"bronze/{name}")
+    W.create_bronze_table(spark, name, CUSTOMERS_BRONZE, path)
+    valid = _bronze_batch(spark, d).valid
+    valid.select(*spark.table(name).columns).write.insertInto(name)
+    return spark.table(name)
+
+
+def q_stream_bronze_ingest(spark, d):
+    raw = A.customers_landed_text(spark, d)
+    landing = scratch_path(spark, "landing/customers")
+    raw.write.mode("overwrite").parquet(landing)
+    bronze, quarantine = scratch_path(spark, "bronze/customers"), scratch_path(spark, "quarantine")
+    incremental_ingest(spark, landing, raw.schema, CUSTOMERS_BRONZE, bronze, quarantine,
+                       scratch_path(spark, "checkpoints/customers"), A.LANDED_FILE, INGEST_TS)
+    return read_bronze(spark, bronze)
+
+
+QUERIES.update({
+    "extract_full": q_extract_full,
+    "extract_incremental": q_extract_incremental,
+    "watermark_advance": q_watermark_advance,
+    "ingest_suite": q_ingest_suite,
+    "write_partitioned": q_write_partitioned,
+    "merge_upsert": q_merge_upsert,
+    "merge_schema_evolution": q_merge_schema_evolution,
+    "bronze_table": q_bronze_table,
+    "stream_bronze_ingest": q_stream_bronze_ingest,
+})
