@@ -37,7 +37,7 @@ def enforced_columns(df: DataFrame, spec: TableSpec) -> tuple[list[Column], Colu
     for c in spec.columns:
         raw, st = _raw_column(df, c.name)
         coerced = coerce(raw, c.dtype, st)
-        default = F.lit(c.default).cast(c.spark_type)
+        default = F.lit(c.default if c.nullable else None).cast(c.spark_type)
         values.append(F.when(raw.isNull(), default).otherwise(coerced)
                       .cast(c.spark_type).alias(c.name))
         coerce_err = F.when(coercion_failed(raw, coerced), F.concat(
