@@ -21,6 +21,15 @@ SCALE_CONF = {
 }
 
 
+# Local-mode sizing: data here is small, so AQE would coalesce a shuffle to one task;
+# a floor of 16 KB keeps partitioned writes (one file per partition value and task)
+# spread over the cores. On a cluster use parallelismFirst=false with the advisory
+# size above, which governs there.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "lakeshift", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above. Tests and bench use this;
@@ -30,7 +39,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+    for k, v in {**SCALE_CONF, **LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
