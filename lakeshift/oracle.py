@@ -211,14 +211,14 @@ SILVER = rf"""
 , orders_prev AS (
   SELECT {SNAP}, {_hash_sql(ORDER_COLS)} AS _record_hash,
          TIMESTAMP '2024-01-01 00:00:00' AS _ingestion_timestamp, false AS _is_deleted
-  FROM orders_src WHERE OrderID % 11 <> 0
+  FROM orders_src WHERE OrderDate < DATE '2001-01-01'
 ),
 cur_base AS (
   SELECT OrderID, CustomerID, ProductID, OrderDate, ShipDate, OrderStatus,
-         CASE WHEN OrderID % 7 = 0 THEN CAST(TotalAmount + CAST(1 AS DECIMAL(18,2)) AS DECIMAL(18,2))
+         CASE WHEN OrderStatus = 'pending ' THEN CAST(TotalAmount + CAST(1 AS DECIMAL(18,2)) AS DECIMAL(18,2))
               ELSE TotalAmount END AS TotalAmount,
          CurrencyCode, SalesRepID, ChannelCode
-  FROM orders_src WHERE OrderID % 10 <> 0
+  FROM orders_src WHERE coalesce(OrderStatus <> 'Cancelled', true)
 ),
 orders_cur AS (
   SELECT {SNAP}, {_hash_sql(ORDER_COLS)} AS _record_hash,

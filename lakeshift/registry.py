@@ -235,7 +235,11 @@ RECON_DISTINCT = ["ChannelCode", "CurrencyCode"]
 
 
 def _pair(spark, d):
-    return A.orders_current(spark, d), silver_orders(spark, d)
+    """Source snapshot and silver target, each written once as a table (as they are in
+    a pipeline); every check then scans only the columns it needs."""
+    from lakeshift.sinks.write import materialize
+    return (materialize(A.orders_current(spark, d), "recon/source_orders"),
+            materialize(silver_orders(spark, d), "recon/silver_orders"))
 
 
 def q_recon_row_count_simple(spark, d):

@@ -95,3 +95,15 @@ def create_bronze_table(spark: SparkSession, name: str, spec: TableSpec, path: s
     """Register an external bronze table: declared columns plus lineage columns."""
     schema: T.StructType = bronze_table_schema(spec)
     return spark.catalog.createTable(name, path=path, source=file_format, schema=schema)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the cluster-shared folder
+    (``spark.checkpoint.dir``) and return a scan of it. Cuts lineage so several later
+    passes read columns from storage instead of recomputing the plan, and survives
+    executor loss (unlike a local checkpoint)."""
+    from lakeshift.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -15,6 +15,7 @@ from lakeshift.functions.text import record_hash
 # When the two order snapshots were ingested.
 SNAPSHOT_PREVIOUS_TS = "2024-01-01 00:00:00"
 SNAPSHOT_CURRENT_TS = "2024-02-01 00:00:00"
+SNAPSHOT_CUTOFF = "2001-01-01"
 LANDED_FILE = "raw/LegacyDB/Customers/part-0000.parquet"
 
 
@@ -120,16 +121,19 @@ def _with_lineage(df: DataFrame, ts: str) -> DataFrame:
 
 
 def orders_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Earlier snapshot of Orders: lacks every 11th order."""
+    """Earlier snapshot of Orders, taken before 2001: later orders are new since."""
     o = orders_source(spark, sf_dir)
-    return _with_lineage(o.filter(F.col("OrderID") % 11 != 0), SNAPSHOT_PREVIOUS_TS)
+    return _with_lineage(o.filter(F.col("OrderDate") < F.lit(SNAPSHOT_CUTOFF).cast("date")),
+                         SNAPSHOT_PREVIOUS_TS)
 
 
 def orders_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later snapshot: every 10th order deleted, every 7th order's amount raised by 1.00."""
-    o = orders_source(spark, sf_dir).filter(F.col("OrderID") % 10 != 0)
+    """Later snapshot: cancelled orders were purged from the source system, and the
+    amount of every pending order was amended by +1.00 since the earlier snapshot."""
+    o = orders_source(spark, sf_dir)
+    o = o.filter(F.coalesce(F.col("OrderStatus") != "Cancelled", F.lit(True)))
     o = o.withColumn("TotalAmount", F.when(
-        F.col("OrderID") % 7 == 0,
+        F.col("OrderStatus") == "pending ",
         (F.col("TotalAmount") + F.lit(1).cast("decimal(18,2)")).cast("decimal(18,2)"),
     ).otherwise(F.col("TotalAmount")))
     return _with_lineage(o, SNAPSHOT_CURRENT_TS)
