@@ -108,3 +108,13 @@ def test_audit_columns_injectable(spark):
     from lakeshift.plans import Audit
     r = stg_products(products(spark), Audit("run-1", "2024-01-01 00:00:00")).first()
     assert r._run_id == "run-1" and r._loaded_at is not None
+
+
+def test_build_gold_and_views(spark, tmp_path):
+    from lakeshift.plans.build import build_gold, model_views
+    g = build_gold(spark, orders(spark), customers(spark), products(spark), str(tmp_path / "gold"))
+    assert g.fct_daily_sales.count() == 1 and g.dim_customer.count() == 3
+    assert (tmp_path / "gold/fct_daily_sales/order_date=2024-01-01").is_dir()
+    v = model_views(orders(spark), customers(spark), products(spark))
+    v.register_views("t_")
+    assert spark.sql("select count(*) c from t_int_order_enriched").first().c == 4
