@@ -4,6 +4,7 @@ writes a new version directory and returns it; readers switch to the new path.""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,6 +13,24 @@ from lakeshift.operators.bronze import bronze_table_schema
 from lakeshift.spec import TableSpec
 
 WRITE_MODES = ("append", "overwrite", "merge")
+# Floor for AQE's coalesced partition size during partitioned writes. It only binds when
+# total size / parallelism is below it (small outputs with many partition values, where
+# one task would otherwise write every file); at scale the advisory size governs.
+WRITE_MIN_PARTITION_SIZE = "16k"
+_MIN_PART_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "delta")
 
 
@@ -42,8 +61,12 @@ def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str
     if file_format == "csv":
         w = w.option("header", "true")
     if parts:
-        w = w.partitionBy(*parts)
-    w.save(path)
+        # Per write, not per session: a rerun of some days must never drop the others.
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+    ctx = _session_conf(df.sparkSession, _MIN_PART_KEY, WRITE_MIN_PARTITION_SIZE) \
+        if parts else nullcontext()
+    with ctx:
+        w.save(path)
     return path
 
 

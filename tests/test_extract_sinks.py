@@ -125,3 +125,16 @@ def test_create_bronze_table(spark, tmp_path):
     W.create_bronze_table(spark, "bronze_test_customers", CUSTOMERS, str(tmp_path / "bt"))
     cols = spark.table("bronze_test_customers").columns
     assert cols[:2] == ["CustomerID", "CustomerName"] and cols[-1] == "_is_deleted"
+
+
+def test_dynamic_overwrite_independent_of_session_mode(spark, tmp_path):
+    p = str(tmp_path / "ps")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        W.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, d string"), p,
+                      "overwrite", partition_by="d")
+        W.write_table(spark.createDataFrame([(3, "b")], "id int, d string"), p, "overwrite",
+                      partition_by="d")
+        assert sorted(r.id for r in spark.read.parquet(p).collect()) == [1, 3]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
