@@ -234,12 +234,17 @@ RECON_NULLABLE = ["OrderStatus", "ShipDate", "CurrencyCode"]
 RECON_DISTINCT = ["ChannelCode", "CurrencyCode"]
 
 
-def _pair(spark, d):
-    """Source snapshot and silver target, each written once as a table (as they are in
-    a pipeline); every check then scans only the columns it needs."""
+def _pair(spark, d, materialized: bool = False):
+    """Source snapshot and silver target. Single-pass checks read the lazy plans (one
+    job computes both sides once). The full suite makes four independent passes (scalar
+    profile, key flags, two value-flag aggregations), so there both sides are written
+    once to the shared folder, as pipeline tables are, and each pass scans only the
+    columns it needs instead of recomputing the quality + dedup lineage."""
+    s, t = A.orders_current(spark, d), silver_orders(spark, d)
+    if not materialized:
+        return s, t
     from lakeshift.sinks.write import materialize
-    return (materialize(A.orders_current(spark, d), "recon/source_orders"),
-            materialize(silver_orders(spark, d), "recon/silver_orders"))
+    return materialize(s, "recon/source_orders"), materialize(t, "recon/silver_orders")
 
 
 def q_recon_row_count_simple(spark, d):
@@ -278,7 +283,7 @@ def q_recon_pk_completeness(spark, d):
 
 
 def q_recon_full(spark, d):
-    s, t = _pair(spark, d)
+    s, t = _pair(spark, d, materialized=True)
     return R.run_full_reconciliation(s, t, "orders", "OrderID", RECON_NUMERIC, RECON_NULLABLE,
                                      RECON_DISTINCT, 5.0)
 

@@ -52,12 +52,19 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh local folder is
     created and registered, so lineage cuts and written tables always live in one place.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = sc.getCheckpointDir() or d
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext handle
+        sc = None
     if not d:
         d = tempfile.mkdtemp(prefix="lakeshift-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
