@@ -701,6 +701,15 @@ WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg._change_type <> 'unchanged'
                   AND chg.OrderID IS NOT DISTINCT FROM p.OrderID)
 UNION ALL
 SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted FROM chg
+WHERE _change_type <> 'unchanged'"""),
+    "merge_partitions": CHANGES["detect_changes"].replace("SELECT * FROM chg", f"""
+SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted,
+       CAST(year(OrderDate) AS INTEGER) AS order_year FROM orders_prev p
+WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg._change_type <> 'unchanged'
+                  AND chg.OrderID IS NOT DISTINCT FROM p.OrderID)
+UNION ALL
+SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted,
+       CAST(year(OrderDate) AS INTEGER) AS order_year FROM chg
 WHERE _change_type <> 'unchanged'"""),
     "merge_schema_evolution": """
 SELECT order_id, order_date, total_amount,

@@ -455,3 +455,20 @@ QUERIES.update({
     "bronze_table": q_bronze_table,
     "stream_bronze_ingest": q_stream_bronze_ingest,
 })
+
+
+def q_merge_partitions(spark, d):
+    """Soft-delete change set merged into a year-partitioned silver table in place:
+    only the years the changes touch are rewritten."""
+    year = F.year("OrderDate").alias("order_year")
+    path = scratch_path(spark, "silver/orders_by_year")
+    prev = A.orders_previous(spark, d)
+    W.write_table(prev.select("*", year), path, "overwrite", partition_by="order_year")
+    changes = detect_changes(A.orders_current(spark, d), prev, "OrderID")
+    delta = (changes.filter(F.col("_change_type") != "unchanged").drop("_change_type")
+             .select("*", year))
+    W.merge_partitions(spark, path, delta, ["OrderID"], "order_year")
+    return spark.read.parquet(path)
+
+
+QUERIES["merge_partitions"] = q_merge_partitions

@@ -130,3 +130,39 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
+                     keys: Sequence[str], partition_by: str | Sequence[str],
+                     file_format: str = "parquet", max_listed: int = 10000) -> str:
+    """Upsert ``updates`` into a partitioned table *in place*, rewriting only the
+    partitions the updates touch (dynamic partition overwrite).
+
+    The touched partition values are listed with a bounded collect (at most
+    ``max_listed``) and become a literal partition filter, so only those directories
+    are scanned; beyond the bound an exact left-semi join on the partition columns
+    selects the same rows. A row's partition value must not change between versions
+    (e.g. partitioned by order date, keyed by order id). Returns ``target_path``.
+    """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    touched = updates.select(*parts).distinct()
+    listed = touched.limit(max_listed + 1).collect()
+    target = spark.read.format(file_format).load(target_path)
+    if len(listed) <= max_listed:
+        cond = F.lit(False)
+        for row in listed:
+            match = F.lit(True)
+            for c in parts:
+                v = row[c]
+                match = match & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+            cond = cond | match
+        scoped = target.filter(cond)
+    else:
+        t = touched.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(parts)])
+        on = None
+        for i, c in enumerate(parts):
+            e = F.col(c).eqNullSafe(F.col(f"__p{i}"))
+            on = e if on is None else on & e
+        scoped = target.join(t, on, "left_semi")
+    merged = upsert(scoped, updates, keys).select(*target.columns)
+    return write_table(merged, target_path, "overwrite", file_format, parts)
