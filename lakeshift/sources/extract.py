@@ -108,11 +108,15 @@ def next_watermark(batch: DataFrame, cfg: SourceConfig,
 
 
 def land(df: DataFrame, path: str, ingestion_date: str, file_format: str = "parquet",
-         partition_column: str = "ingestion_date") -> str:
-    """Write an extracted batch to the raw zone, partitioned by ingestion date."""
+         partition_column: str = "ingestion_date", mode: str = "overwrite") -> str:
+    """Write an extracted batch to the raw zone, partitioned by ingestion date.
+
+    The default replaces only this date's partition (dynamic overwrite), so rerunning a
+    day after a failure lands the same rows once; other days are untouched. Use
+    ``mode="append"`` for several loads per day."""
     from lakeshift.sinks.write import write_table
     out = df.withColumn(partition_column, F.lit(ingestion_date).cast("date"))
-    return write_table(out, path, "append", file_format, partition_column)
+    return write_table(out, path, mode, file_format, partition_column)
 
 
 def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root: str,

@@ -152,3 +152,13 @@ def test_merge_partitions_rewrites_only_touched(spark, tmp_path, max_listed):
     assert sorted(tuple(r) for r in spark.read.parquet(p).select("id", "v", "d").collect()) == [
         (1, "a", "d1"), (2, "B", "d1"), (3, "c", "d2"), (4, "x", "d1")]
     assert sorted(os.listdir(os.path.join(p, "d=d2"))) == d2_files  # untouched partition
+
+
+def test_landing_rerun_is_idempotent(spark, tmp_path):
+    cfg = src(spark, tmp_path)
+    root = str(tmp_path / "lake2")
+    for _ in range(2):
+        X.ingest_suite(spark, [cfg], root, "LegacyDB", "2024-03-01")
+    X.ingest_suite(spark, [cfg], root, "LegacyDB", "2024-03-02")
+    landed = spark.read.parquet(f"{root}/raw/LegacyDB/Orders")
+    assert landed.count() == 4  # 2 rows per day, the rerun of 03-01 replaced itself
