@@ -79,7 +79,13 @@ def max_length_rule(column: str, max_len: int) -> DQRule:
 def value_in_set_rule(column: str, allowed: Iterable) -> DQRule:
     """Passes when the value is one of ``allowed``; null fails."""
     values = sorted(allowed, key=str)
-    return DQRule(f"allowed_values_{column}", column, lambda c: c.isin(*values), severity=ERROR)
+
+    def check(c: Column, dtype: T.DataType) -> Column:
+        if isinstance(dtype, T.StringType) and any(not isinstance(v, str) for v in values):
+            # compare text forms: an ANSI implicit cast of the text would fail the job
+            return c.isin(*[str(v) for v in values])
+        return c.isin(*values)
+    return DQRule(f"allowed_values_{column}", column, check, severity=ERROR)
 
 
 def date_not_future_rule(column: str, now: str | None = None) -> DQRule:

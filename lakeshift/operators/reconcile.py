@@ -83,7 +83,8 @@ def profile(source: DataFrame, target: DataFrame, numeric: Sequence[str] = (),
         cols = [F.lit(tag).alias("__side")]
         for i, c in enumerate(numeric):
             t = _sum_type(source, target, c)
-            v = F.col(f"`{c}`").cast(t) if _has(df, c) else F.lit(None).cast(t)
+            # try_cast: a non-numeric value counts as 0 instead of failing the job
+            v = F.col(f"`{c}`").try_cast(t) if _has(df, c) else F.lit(None).cast(t)
             cols.append(v.alias(f"__n{i}"))
         for i, c in enumerate(nullable):
             v = F.col(f"`{c}`").isNull() if _has(df, c) else F.lit(True)

@@ -147,3 +147,8 @@ def test_silver_stats(spark, clean, rej, removed, rate, passed):
     s = Q.silver_stats(c, removed).first()
     assert s.input_records == clean + rej and s.deduplication_removed == removed
     assert s.rejection_rate_pct == rate and s.passed is passed
+
+
+def test_value_in_set_text_column_numeric_values(spark):
+    passed, _ = check(spark, Q.value_in_set_rule("v", {1, 2}), ["1", "abc", None])
+    assert passed == [True, False, False]

@@ -161,3 +161,9 @@ def test_summary_worst_status(spark, src):
 def test_absent_numeric_column_sums_zero(spark, src):
     r = one(R.check_column_sum(src, src.drop("total_amount"), "total_amount", "orders"))
     assert r.status == "FAIL" and r.target_value == 0.0
+
+
+def test_sum_of_text_column_with_junk(spark):
+    a = spark.createDataFrame([("1.5",), ("abc",), (None,)], "v string")
+    r = one(R.check_column_sum(a, a, "v", "t"))
+    assert r.status == "PASS" and r.source_value == 1.5
