@@ -29,8 +29,15 @@ def incremental_ingest(spark: SparkSession, landing_path: str, landing_schema: T
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = ingest_batch(batch, spec, source_file, ingest_ts)
-        for frame, path in ((b.valid, bronze_path), (b.quarantine, quarantine_path)):
-            (frame.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_id}"))
+        # Two outputs from one micro-batch: enforce once (spills to disk if large; a lost
+        # block is recomputed from the batch's files).
+        b.flagged = b.flagged.persist()
+        try:
+            for frame, path in ((b.valid, bronze_path), (b.quarantine, quarantine_path)):
+                frame.write.mode("overwrite").parquet(
+                    f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+        finally:
+            b.flagged.unpersist()
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_path)

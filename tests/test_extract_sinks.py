@@ -162,3 +162,14 @@ def test_landing_rerun_is_idempotent(spark, tmp_path):
     X.ingest_suite(spark, [cfg], root, "LegacyDB", "2024-03-02")
     landed = spark.read.parquet(f"{root}/raw/LegacyDB/Orders")
     assert landed.count() == 4  # 2 rows per day, the rerun of 03-01 replaced itself
+
+
+@pytest.mark.parametrize("fmt", ["csv", "orc"])
+def test_csv_and_orc_sources(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))],
+                               "id int, ts timestamp_ntz")
+    p = str(tmp_path / fmt)
+    W.write_table(df, p, "overwrite", file_format=fmt)
+    cfg = X.SourceConfig(SPEC, fmt, p)
+    out = X.extract_incremental(spark, cfg, "2024-01-01 00:00:00").collect()
+    assert [r.id for r in out] == [2]
