@@ -489,6 +489,11 @@ SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 }
+CHANGES["test_not_null"] = """
+SELECT order_id, order_status FROM stg_orders WHERE order_status IS NULL"""
+CHANGES["test_accepted_values"] = """
+SELECT customer_id, customer_status FROM stg_customers
+WHERE customer_status IS NOT NULL AND customer_status NOT IN ('ACTIVE', 'INACTIVE', 'SUSPENDED')"""
 CHANGES["change_counts"] = CHANGES["detect_changes"].replace(
     "SELECT * FROM chg", "SELECT _change_type, count(*) AS records FROM chg GROUP BY _change_type")
 

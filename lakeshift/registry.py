@@ -472,3 +472,24 @@ def q_merge_partitions(spark, d):
 
 
 QUERIES["merge_partitions"] = q_merge_partitions
+
+
+# Customer statuses accepted by the dimension's data test.
+ACCEPTED_CUSTOMER_STATUSES = ("ACTIVE", "INACTIVE", "SUSPENDED")
+
+
+def q_test_not_null(spark, d):
+    from lakeshift.operators.datatests import test_not_null
+    return test_not_null(q_stg_orders(spark, d), "order_status").select(
+        "order_id", "order_status")
+
+
+def q_test_accepted_values(spark, d):
+    from lakeshift.operators.datatests import test_accepted_values
+    return test_accepted_values(q_stg_customers(spark, d), "customer_status",
+                                ACCEPTED_CUSTOMER_STATUSES).select(
+        "customer_id", "customer_status")
+
+
+QUERIES["test_not_null"] = q_test_not_null
+QUERIES["test_accepted_values"] = q_test_accepted_values
