@@ -27,6 +27,10 @@ SCALE_CONF = {
 # size above, which governs there.
 LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    # Listing a table with thousands of partition folders: the default launches one
+    # listing task per folder; a few dozen tasks each listing many folders is far cheaper.
+    # On a cluster, set it to about the number of executor cores.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
