@@ -145,6 +145,16 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     (e.g. partitioned by order date, keyed by order id). Returns ``target_path``.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    # The change set is read twice (touched partitions, then the merge): compute it once.
+    updates = updates.persist()
+    try:
+        return _merge_partitions(spark, target_path, updates, keys, parts, file_format,
+                                 max_listed)
+    finally:
+        updates.unpersist()
+
+
+def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max_listed):
     touched = updates.select(*parts).distinct()
     listed = touched.limit(max_listed + 1).collect()
     target = spark.read.format(file_format).load(target_path)
