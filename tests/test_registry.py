@@ -63,3 +63,20 @@ def test_scans_prune_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read for three columns only
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_bronze_and_rules_add_no_shuffle(spark, tmp_path):
+    """Schema enforcement, lineage and every rule are one projection per row: over a
+    scan their plans contain no exchange."""
+    from lakeshift.operators import bronze as B, quality as Q
+    from lakeshift.registry import CUSTOMERS_BRONZE, silver_order_rules
+    from lakeshift.sources import adapter as A
+    p1, p2 = str(tmp_path / "c"), str(tmp_path / "o")
+    A.customers_landed_text(spark, SF).write.parquet(p1)
+    A.orders_current(spark, SF).write.parquet(p2)
+    b = B.ingest_batch(spark.read.parquet(p1), CUSTOMERS_BRONZE, B.FROM_SCAN)
+    s = Q.process_batch(spark.read.parquet(p2), silver_order_rules())
+    for df in (b.valid, b.quarantine, s.clean, s.rejected):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert "*(" in plan  # whole-stage codegen
