@@ -18,6 +18,7 @@ from lakeshift.functions.text import has_text, text_or_none
 
 ERROR, WARNING = "error", "warning"
 DQ_ERRORS = "_dq_errors"
+DQ_STATUS = "_dq_status"
 
 
 def _call(fn: Callable, c: Column, dtype: T.DataType) -> Column:
@@ -204,6 +205,32 @@ class SilverBatch:
                 .groupBy("rule").agg(F.sum("failures").cast("bigint").alias("failures"))
                 .filter(F.col("failures") > 0))
 
+    def write_split(self, path: str, mode: str = "overwrite") -> dict:
+        """Write clean and rejected rows in ONE job: a table partitioned by
+        ``_dq_status`` (``clean`` / ``rejected``; ``_dq_errors`` is null on clean rows).
+        Row counts and failures per rule are collected as observed metrics of that
+        same job (no second pass) and returned as a small dict."""
+        from pyspark.sql import Observation
+        from lakeshift.sinks.write import write_table
+        obs = Observation("dq_split")
+        metrics = [F.count(F.lit(1)).alias("input_records"),
+                   F.count_if(self.has_error).alias("rejected_records")]
+        metrics += [F.count_if(~F.col(_p(i))).alias(f"failed_{i}") for i in range(len(self.rules))]
+        err = self.has_error
+        out = self.annotated.observe(obs, *metrics).select(
+            *[f"`{c}`" for c in self.columns],
+            F.when(err, _results_array(self.rules, True)).alias(DQ_ERRORS),
+            F.when(err, F.lit("rejected")).otherwise(F.lit("clean")).alias(DQ_STATUS))
+        write_table(out, path, mode, partition_by=DQ_STATUS)
+        m = obs.get
+        failures: dict[str, int] = {}
+        for i, r in enumerate(self.rules):
+            failures[r.name] = failures.get(r.name, 0) + int(m[f"failed_{i}"])
+        return {"input_records": int(m["input_records"]),
+                "rejected_records": int(m["rejected_records"]),
+                "clean_records": int(m["input_records"]) - int(m["rejected_records"]),
+                "rule_failures": {k: v for k, v in failures.items() if v > 0}}
+
     def counts(self) -> DataFrame:
         """clean / rejected counts in one aggregation."""
         return self.annotated.agg(F.count_if(~self.has_error).alias("clean_records"),

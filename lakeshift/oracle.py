@@ -442,6 +442,7 @@ SELECT {DQ_ID},
         f"SELECT {DQ_ID}, '{n}' AS rule, '{c}' AS \"column\", p{i} AS passed, '{s}' AS severity, v{i} AS value FROM dq"
         for i, (n, c, s) in enumerate(_RULES)),
     "dq_clean": SILVER + "SELECT * FROM dq_clean",
+    "dq_split_written": SILVER + "SELECT * FROM dq_clean",
     "dq_rejected": SILVER + f"""
 SELECT {DQ_ID}, OrderStatus, 'not_null_OrderStatus' AS rule, 'OrderStatus' AS "column", v1 AS value
 FROM dq WHERE NOT p1

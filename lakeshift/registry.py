@@ -493,3 +493,14 @@ def q_test_accepted_values(spark, d):
 
 QUERIES["test_not_null"] = q_test_not_null
 QUERIES["test_accepted_values"] = q_test_accepted_values
+
+
+def q_dq_split_written(spark, d):
+    """Clean rows read back from the one-pass split write (partition ``clean``)."""
+    path = scratch_path(spark, "silver/orders_dq")
+    _silver_batch(spark, d).write_split(path)
+    return (spark.read.parquet(path).filter(F.col(Q.DQ_STATUS) == "clean")
+            .drop(Q.DQ_STATUS, Q.DQ_ERRORS))
+
+
+QUERIES["dq_split_written"] = q_dq_split_written

@@ -152,3 +152,19 @@ def test_silver_stats(spark, clean, rej, removed, rate, passed):
 def test_value_in_set_text_column_numeric_values(spark):
     passed, _ = check(spark, Q.value_in_set_rule("v", {1, 2}), ["1", "abc", None])
     assert passed == [True, False, False]
+
+
+def test_write_split_one_pass(spark, tmp_path):
+    import os
+    b = Q.process_batch(spark.createDataFrame(ORDERS, ORDER_DDL), RULES)
+    p = str(tmp_path / "split")
+    m = b.write_split(p)
+    assert m == {"input_records": 4, "rejected_records": 2, "clean_records": 2,
+                 "rule_failures": {"positive_total_amount": 2,
+                                   "allowed_values_order_status": 2,
+                                   "not_null_order_status": 1}}
+    assert sorted(x for x in os.listdir(p) if x.startswith("_dq")) == [
+        "_dq_status=clean", "_dq_status=rejected"]
+    back = spark.read.parquet(p)
+    assert back.filter("_dq_status = 'rejected'").count() == 2
+    assert back.filter("_dq_status = 'clean' and _dq_errors is null").count() == 2
