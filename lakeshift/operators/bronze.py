@@ -15,6 +15,7 @@ from lakeshift.spec import TableSpec
 
 ERRORS = "_errors"
 RAW = "_raw"
+STATUS = "_bronze_status"
 # Pass as ``source_file`` to take each row's file from the Parquet scan metadata.
 FROM_SCAN = object()
 
@@ -102,6 +103,27 @@ class BronzeBatch:
                         F.get(F.col(ERRORS), 0).alias("_error"),
                         F.size(ERRORS).alias("_error_count")))
 
+    def write_split(self, path: str, mode: str = "overwrite") -> dict:
+        """Write valid and quarantined rows in ONE job, as a table partitioned by
+        ``_bronze_status`` (``valid`` / ``quarantine``). Valid rows carry the enforced
+        columns and lineage; quarantined rows also keep ``_raw`` (the values as they
+        arrived) and ``_errors``. Counts come from observed metrics of the same job."""
+        from pyspark.sql import Observation
+        from lakeshift.sinks.write import write_table
+        obs = Observation("bronze_split")
+        bad = F.size(ERRORS) > 0
+        out = self.flagged.observe(obs, F.count(F.lit(1)).alias("raw_records"),
+                                   F.count_if(bad).alias("error_records")).select(
+            *[c for c in self.flagged.columns if c not in (RAW, ERRORS)],
+            F.when(bad, F.col(RAW)).alias(RAW), F.when(bad, F.col(ERRORS)).alias(ERRORS),
+            F.when(bad, F.lit("quarantine")).otherwise(F.lit("valid")).alias(STATUS))
+        write_table(out, path, mode, partition_by=STATUS)
+        m = obs.get
+        raw, errs = int(m["raw_records"]), int(m["error_records"])
+        return {"raw_records": raw, "bronze_records": raw - errs, "error_records": errs,
+                "success_rate_pct": round((raw - errs) / raw * 100, 2) if raw else 0.0,
+                "passed": errs == 0}
+
     def stats(self) -> DataFrame:
         """One-row ingestion statistics from a single aggregation."""
         agg = self.flagged.agg(F.count(F.lit(1)).alias("raw_records"),

@@ -722,6 +722,7 @@ SELECT order_id, order_date, total_amount,
        CASE WHEN order_date < DATE '1998-01-01' THEN NULL ELSE channel_code END AS channel_code
 FROM stg_orders""",
     "bronze_table": BRONZE["bronze_ingest"],
+    "bronze_split_written": BRONZE["bronze_ingest"],
     "stream_bronze_ingest": BRONZE["bronze_ingest"],
 }
 

@@ -504,3 +504,14 @@ def q_dq_split_written(spark, d):
 
 
 QUERIES["dq_split_written"] = q_dq_split_written
+
+
+def q_bronze_split_written(spark, d):
+    """Valid rows read back from the one-pass valid / quarantine write."""
+    path = scratch_path(spark, "bronze/customers_split")
+    _bronze_batch(spark, d).write_split(path)
+    return (spark.read.parquet(path).filter(F.col(B.STATUS) == "valid")
+            .drop(B.STATUS, B.RAW, B.ERRORS))
+
+
+QUERIES["bronze_split_written"] = q_bronze_split_written

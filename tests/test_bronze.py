@@ -181,3 +181,17 @@ def test_bronze_table_schema_has_lineage_not_null():
     f = {x.name: x for x in s.fields}
     assert f["_record_hash"].nullable is False and f["CustomerEmail"].nullable is True
     assert f["CustomerID"].nullable is False
+
+
+def test_write_split_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(None, "Bad", None, "ACTIVE"), ("2", "Good", "g@x", "ACTIVE")],
+                               SCHEMA)
+    p = str(tmp_path / "bs")
+    m = B.ingest_batch(df, CUST).write_split(p)
+    assert m == {"raw_records": 2, "bronze_records": 1, "error_records": 1,
+                 "success_rate_pct": 50.0, "passed": False}
+    back = spark.read.parquet(p)
+    v = back.filter("_bronze_status = 'valid'").first()
+    assert v.customer_id == 2 and v._raw is None and v._errors is None
+    q = back.filter("_bronze_status = 'quarantine'").first()
+    assert q._raw.customer_name == "Bad" and q._errors[0].startswith("Required column")
