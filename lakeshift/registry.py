@@ -6,14 +6,28 @@ computed columns carry the same names as the DuckDB oracle in ``lakeshift.oracle
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeshift.functions.coerce import coerce, coercion_failed
+from lakeshift.operators import bronze as B
+from lakeshift.operators import quality as Q
+from lakeshift.operators import reconcile as R
+from lakeshift.operators.changes import change_counts, detect_changes
+from lakeshift.operators.datatests import (test_accepted_values, test_not_null,
+                                           test_relationships, test_unique)
+from lakeshift.operators.dedup import dedup_latest, dedup_removed
 from lakeshift.plans import (
     stg_orders, stg_customers, stg_products, int_order_enriched, fct_daily_sales,
     dim_customer, customer_order_stats, exclude_statuses,
 )
+from lakeshift.session import scratch_path
+from lakeshift.sinks import write as W
 from lakeshift.sources import adapter as A
+from lakeshift.sources import extract as X
+from lakeshift.spec import CUSTOMERS, ORDERS, PRODUCTS, ColumnSpec
+from lakeshift.streaming.ingest import incremental_ingest, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,16 +94,7 @@ def queries() -> dict[str, Query]:
 
 
 # ── bronze ──────────────────────────────────────────────────────────────────
-from dataclasses import replace as _replace  # noqa: E402
 
-from lakeshift.functions.coerce import coerce, coercion_failed  # noqa: E402
-from lakeshift.operators import bronze as B  # noqa: E402
-from lakeshift.operators import quality as Q  # noqa: E402
-from lakeshift.operators import reconcile as R  # noqa: E402
-from lakeshift.operators.changes import detect_changes, change_counts  # noqa: E402
-from lakeshift.operators.datatests import test_unique, test_relationships  # noqa: E402
-from lakeshift.operators.dedup import dedup_latest, dedup_removed  # noqa: E402
-from lakeshift.spec import CUSTOMERS, ORDERS, PRODUCTS, ColumnSpec  # noqa: E402
 
 # Ingestion time used by the registered bronze queries (reproducible).
 INGEST_TS = "2024-03-01 06:00:00"
@@ -342,10 +347,6 @@ QUERIES.update({
 
 
 # ── extract / sinks / streaming (write, then read back) ─────────────────────
-from lakeshift.session import scratch_path  # noqa: E402
-from lakeshift.sinks import write as W  # noqa: E402
-from lakeshift.sources import extract as X  # noqa: E402
-from lakeshift.streaming.ingest import incremental_ingest, read_bronze  # noqa: E402
 
 # Marks and dates used by the registered extract queries.
 ORDERS_MARK = "1998-06-30"
@@ -479,13 +480,11 @@ ACCEPTED_CUSTOMER_STATUSES = ("ACTIVE", "INACTIVE", "SUSPENDED")
 
 
 def q_test_not_null(spark, d):
-    from lakeshift.operators.datatests import test_not_null
     return test_not_null(q_stg_orders(spark, d), "order_status").select(
         "order_id", "order_status")
 
 
 def q_test_accepted_values(spark, d):
-    from lakeshift.operators.datatests import test_accepted_values
     return test_accepted_values(q_stg_customers(spark, d), "customer_status",
                                 ACCEPTED_CUSTOMER_STATUSES).select(
         "customer_id", "customer_status")
