@@ -176,3 +176,14 @@ def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max
         scoped = target.join(t, on, "left_semi")
     merged = upsert(scoped, updates, keys).select(*target.columns)
     return write_table(merged, target_path, "overwrite", file_format, parts)
+
+
+def bronze_ddl(spec: TableSpec, location: str, database: str = "bronze",
+               file_format: str = "PARQUET") -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for SQL users: declared columns plus lineage
+    columns, NOT NULL where declared, external location. Decimals keep their scale."""
+    cols = ",\n".join(
+        f"  {f.name} {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
+        for f in bronze_table_schema(spec).fields)
+    return (f"CREATE TABLE IF NOT EXISTS {database}.{spec.table_name} (\n{cols}\n) "
+            f"USING {file_format}\nLOCATION '{location}'")
