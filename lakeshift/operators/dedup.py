@@ -30,3 +30,12 @@ def dedup_removed(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows removed, as a one-row frame (two counts, no join)."""
     return (before.select(F.lit(1).alias("s")).unionByName(after.select(F.lit(-1).alias("s")))
             .agg(F.sum("s").cast("bigint").alias("deduplication_removed")))
+
+
+def duplicates_removed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How many rows ``dedup_latest(df, keys, ...)`` removes, without running it: the
+    sum over key groups of (rows - 1), null keys forming one group. One aggregation
+    with map-side combining; returns a one-row frame."""
+    g = df.groupBy(*[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint")
+                 .alias("deduplication_removed"))

@@ -17,7 +17,7 @@ from lakeshift.operators import reconcile as R
 from lakeshift.operators.changes import change_counts, detect_changes
 from lakeshift.operators.datatests import (test_accepted_values, test_not_null,
                                            test_relationships, test_unique)
-from lakeshift.operators.dedup import dedup_latest, dedup_removed
+from lakeshift.operators.dedup import dedup_latest, duplicates_removed
 from lakeshift.plans import (
     stg_orders, stg_customers, stg_products, int_order_enriched, fct_daily_sales,
     dim_customer, customer_order_stats, exclude_statuses,
@@ -208,8 +208,7 @@ def silver_orders(spark, d):
 
 def q_silver_stats(spark, d):
     b = _silver_batch(spark, d)
-    clean = b.clean
-    removed = dedup_removed(clean, dedup_latest(clean, ["OrderID"], "_ingestion_timestamp"))
+    removed = duplicates_removed(b.clean, ["OrderID"])
     counts = R._combine_rows([b.counts(), removed])
     return Q.silver_stats(counts, F.col("deduplication_removed"))
 

@@ -95,3 +95,12 @@ def test_apply_changes_soft_deletes(spark):
     merged = {r["id"]: r for r in rows(apply_changes(prev, detect_changes(cur, prev, "id"), ["id"]))}
     assert merged[1]["name"] == "A" and merged[2]["_is_deleted"] is True
     assert merged[3]["name"] == "c" and len(merged) == 3
+
+
+def test_duplicates_removed_matches_dedup(spark):
+    from lakeshift.operators.dedup import duplicates_removed
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 3, "c"), (None, 4, "d"),
+                                (2, 5, "e")], DDL)
+    assert duplicates_removed(df, ["order_id"]).first()[0] == 2
+    assert dedup_removed(df, dedup_latest(df, ["order_id"])).first()[0] == 2
+    assert duplicates_removed(df.limit(0), ["order_id"]).first()[0] == 0

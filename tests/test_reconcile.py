@@ -167,3 +167,21 @@ def test_sum_of_text_column_with_junk(spark):
     a = spark.createDataFrame([("1.5",), ("abc",), (None,)], "v string")
     r = one(R.check_column_sum(a, a, "v", "t"))
     assert r.status == "PASS" and r.source_value == 1.5
+
+
+def test_all_checks_on_empty_inputs(spark):
+    e = spark.createDataFrame([], "v int")
+    assert one(R.check_row_count(e, e, "t")).status == "PASS"
+    r = one(R.reconcile_row_counts(e, e))
+    assert r.passed is False and r.discrepancy_pct == 100.0  # the silver-layer rule
+    assert one(R.check_column_sum(e, e, "v", "t")).status == "PASS"
+    r = one(R.check_null_rate(e, e, "v", "t"))
+    assert r.status == "PASS" and r.source_value == 0.0
+    r = one(R.check_distinct_values(e, e, "v", "t"))
+    assert r.status == "PASS" and r.message == "Distinct values match: v (0 values)"
+    r = one(R.check_primary_key_completeness(e, e, "v", "t"))
+    assert r.status == "PASS" and r.message == "All 0 source PKs present in target"
+    rep = R.run_full_reconciliation(e, e, "t", "v", ["v"], ["v"], ["v"])
+    assert sorted(x.check_name for x in rep.collect()) == [
+        "col_sum_v_t", "distinct_values_v_t", "null_rate_v_t", "row_count_t"]
+    assert one(R.report_summary(rep)).overall_status == "PASS"
