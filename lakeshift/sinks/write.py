@@ -187,3 +187,17 @@ def bronze_ddl(spec: TableSpec, location: str, database: str = "bronze",
         for f in bronze_table_schema(spec).fields)
     return (f"CREATE TABLE IF NOT EXISTS {database}.{spec.table_name} (\n{cols}\n) "
             f"USING {file_format}\nLOCATION '{location}'")
+
+
+def write_bucketed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
+                         path: str | None = None, mode: str = "overwrite") -> DataFrame:
+    """Save ``df`` as a catalog table bucketed and sorted by ``keys`` (stored at
+    ``path``, default a new folder under the shared checkpoint folder). Source and
+    target tables bucketed the same way make key completeness, distinct-value flags,
+    change detection and dedup on those keys run without any shuffle."""
+    from lakeshift.session import scratch_path
+    spark = df.sparkSession
+    location = path or scratch_path(spark, f"tables/{name}")
+    (df.write.mode(mode).format("parquet").option("path", location)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return spark.table(name)

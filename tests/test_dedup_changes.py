@@ -104,3 +104,13 @@ def test_duplicates_removed_matches_dedup(spark):
     assert duplicates_removed(df, ["order_id"]).first()[0] == 2
     assert dedup_removed(df, dedup_latest(df, ["order_id"])).first()[0] == 2
     assert duplicates_removed(df.limit(0), ["order_id"]).first()[0] == 0
+
+
+def test_group_strategy_equals_join_strategy(spark):
+    prev = spark.createDataFrame([(1, "a", "h1", False), (2, "b", "h2", False), (3, "c", "h3", False),
+                                  (None, "n", "hn", False)], SNAP + ", _is_deleted boolean")
+    cur = spark.createDataFrame([(1, "a", "h1", False), (2, "B", "h2x", False), (4, "d", "h4", False),
+                                 (None, "n", "hn", False)], SNAP + ", _is_deleted boolean")
+    a = rows(detect_changes(cur, prev, "id", strategy="join"))
+    b = rows(detect_changes(cur, prev, "id", strategy="group"))
+    assert a == b and len(a) == 5

@@ -31,11 +31,12 @@ snap = st.dictionaries(keys, st.integers(0, 2), max_size=6)
 
 
 @SETTINGS
-@given(snap, snap)
-def test_changes_match_brute_force(spark, cur, prev):
+@given(snap, snap, st.sampled_from(["join", "group"]))
+def test_changes_match_brute_force(spark, cur, prev, strategy):
     c = spark.createDataFrame([(k, str(h)) for k, h in cur.items()], "id int, _record_hash string")
     p = spark.createDataFrame([(k, str(h)) for k, h in prev.items()], "id int, _record_hash string")
-    got = sorted((r.id is None, r.id or 0, r._change_type) for r in detect_changes(c, p, "id").collect())
+    got = sorted((r.id is None, r.id or 0, r._change_type)
+                 for r in detect_changes(c, p, "id", strategy=strategy).collect())
     want = []
     for k, h in cur.items():
         kind = "new" if k not in prev else ("updated" if prev[k] != h else "unchanged")
