@@ -70,17 +70,45 @@ def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str
     return path
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+           strategy: str = "join") -> DataFrame:
     """Target rows whose key is not in ``updates``, plus all of ``updates``
-    (update + insert). One anti join on the keys, then a union."""
+    (update + insert); keys compare null-safe.
+
+    ``strategy="join"``: one anti join on the keys, then a union.
+    ``strategy="group"``: union both tagged by side and keep, per key, the update row
+    if there is one — no shuffle when both tables are bucketed by the keys (the union
+    keeps the bucket partitioning). Both sides must hold one row per key (a table
+    keyed by its primary key)."""
     keys = list(keys)
+    if strategy == "group":
+        cols = list(target.columns) + [c for c in updates.columns if c not in target.columns]
+        types = {**dict(target.dtypes), **dict(updates.dtypes)}
+
+        def side(df, tag):
+            row = F.struct(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None))
+                             .cast(types[c]).alias(c) for c in cols])
+            return df.select(*[F.col(f"`{k}`").cast(types[k]).alias(f"__k{i}")
+                               for i, k in enumerate(keys)],
+                             F.lit(tag).alias("__side"), row.alias("__row"))
+        g = (side(target, 1).unionByName(side(updates, 2))
+             .groupBy(*[f"__k{i}" for i in range(len(keys))])
+             .agg(F.first(F.when(F.col("__side") == 2, F.col("__row")), ignorenulls=True).alias("u"),
+                  F.first(F.when(F.col("__side") == 1, F.col("__row")), ignorenulls=True).alias("t")))
+        return g.select(F.coalesce(F.col("u"), F.col("t")).alias("r")).select("r.*")
+    if strategy != "join":
+        raise ValueError("strategy must be 'join' or 'group'")
     upd_keys = updates.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    kept = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_anti")
+    return kept.unionByName(updates, allowMissingColumns=True)
+
+
+def _null_safe_on(keys: Sequence[str], prefix: str):
     cond = None
     for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
         cond = c if cond is None else cond & c
-    kept = target.join(upd_keys, cond, "left_anti")
-    return kept.unionByName(updates, allowMissingColumns=True)
+    return cond
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -28,3 +28,20 @@ def test_bucketed_key_operators_do_not_shuffle(spark):
         assert "Exchange" not in plan(dedup_latest(src, ["k"], "v"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev_bc)
+
+
+def test_bucketed_upsert_group_strategy_does_not_shuffle(spark):
+    from lakeshift.sinks.write import upsert
+    prev_bc = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sfx = uuid.uuid4().hex[:6]
+        t = write_bucketed_table(spark.range(1000).selectExpr("cast(id as int) as k", "'old' as v"),
+                                 f"t_{sfx}", ["k"], 4)
+        u = write_bucketed_table(spark.range(990, 1010).selectExpr("cast(id as int) as k", "'new' as v"),
+                                 f"u_{sfx}", ["k"], 4)
+        m = upsert(t, u, ["k"], strategy="group")
+        assert "Exchange" not in plan(m)
+        assert m.count() == 1010 and m.filter("v = 'new'").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev_bc)

@@ -173,3 +173,12 @@ def test_csv_and_orc_sources(spark, tmp_path, fmt):
     cfg = X.SourceConfig(SPEC, fmt, p)
     out = X.extract_incremental(spark, cfg, "2024-01-01 00:00:00").collect()
     assert [r.id for r in out] == [2]
+
+
+def test_upsert_group_strategy_matches_join(spark):
+    t = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (3, 3, "c")], "k1 int, k2 int, v string")
+    u = spark.createDataFrame([(1, None, "A"), (4, 4, "d")], "k1 int, k2 int, v string")
+    a = rows(W.upsert(t, u, ["k1", "k2"]))
+    b = rows(W.upsert(t, u, ["k1", "k2"], strategy="group"))
+    assert a == b == [{"k1": 1, "k2": 2, "v": "b"}, {"k1": 1, "k2": None, "v": "A"},
+                      {"k1": 3, "k2": 3, "v": "c"}, {"k1": 4, "k2": 4, "v": "d"}]
