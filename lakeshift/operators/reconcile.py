@@ -8,8 +8,9 @@ Plan shape, independent of data size:
   ``source.select(v, 1) UNION ALL target.select(v, 2)`` grouped by ``v`` with
   ``bit_or`` -- 1 = only in source, 2 = only in target, 3 = both. Map-side combine
   collapses hot values before the shuffle, so a value holding a third of all rows
-  costs one row per map task. Samples for messages are the smallest n values
-  (a bounded top-n, never a collected set);
+  costs one row per map task. Samples for messages are the smallest n values of each
+  one-sided set, from one ``row_number() <= n`` window per flag that Spark limits
+  map-side (WindowGroupLimit) -- bounded, never a collected set;
 * single-row results are combined by union + aggregate, never by a join.
 
 Report row schema: table_name, check_name, layer, status, source_value, target_value,
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lakeshift.functions.text import fmt_fixed, py_list_text
 
@@ -132,12 +133,17 @@ def _set_summary(flags: DataFrame, sample_flag: int, sample_n: int) -> DataFrame
         F.count_if(nn & (f >= 2)).alias("tgt_distinct"),
         F.count_if(nn & (f == 1)).alias("only_src"),
         F.count_if(nn & (f == 2)).alias("only_tgt"))
-    sample = (flags.filter(nn & (f == sample_flag)).select("v").orderBy("v").limit(sample_n)
-              .agg(F.sort_array(F.collect_list("v")).alias("sample")))
+    # Smallest n values of each one-sided set in one pass: row_number() <= n per flag
+    # lets Spark keep at most n rows per flag in every map task (WindowGroupLimit)
+    # before the tiny exchange, so the collected lists are bounded by n.
     other = 3 - sample_flag
-    sample2 = (flags.filter(nn & (f == other)).select("v").orderBy("v").limit(sample_n)
-               .agg(F.sort_array(F.collect_list("v")).alias("sample_other")))
-    return _combine_rows([summary, sample, sample2])
+    w = Window.partitionBy("f").orderBy("v")
+    top = (flags.filter(nn & f.isin(sample_flag, other)).select("v", "f")
+           .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample_n))
+    samples = top.agg(
+        F.sort_array(F.collect_list(F.when(f == sample_flag, F.col("v")))).alias("sample"),
+        F.sort_array(F.collect_list(F.when(f == other, F.col("v")))).alias("sample_other"))
+    return _combine_rows([summary, samples])
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
