@@ -185,3 +185,14 @@ def test_all_checks_on_empty_inputs(spark):
     assert sorted(x.check_name for x in rep.collect()) == [
         "col_sum_v_t", "distinct_values_v_t", "null_rate_v_t", "row_count_t"]
     assert one(R.report_summary(rep)).overall_status == "PASS"
+
+
+def test_set_check_plan_is_bounded(spark):
+    a = spark.range(5000).selectExpr("id as k")
+    b = spark.range(10, 5010).selectExpr("id as k")
+    df = R.check_primary_key_completeness(a, b, "k", "t")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2          # top-n per flag, limited map-side
+    assert "partial_bit_or" in plan                     # flags combined before the shuffle
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert one(df).message == "Missing PKs in target: 10 keys absent. Sample: [0, 1, 2]"
