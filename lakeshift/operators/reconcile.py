@@ -114,16 +114,35 @@ def value_flags(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
         v = F.col(f"`{column}`") if _has(df, column) else F.lit(None)
         return df.select(v.alias("v"), F.lit(tag).alias("f"))
     src, tgt = side(source, 1), side(target, 2)
-    if dict(src.dtypes)["v"] != dict(tgt.dtypes)["v"]:
-        # Different types on the two sides: compare text forms.
-        src = src.select(F.col("v").cast("string").alias("v"), "f")
-        tgt = tgt.select(F.col("v").cast("string").alias("v"), "f")
+    ts, tt = src.schema["v"].dataType, tgt.schema["v"].dataType
+    if ts != tt:
+        common = _common_type(ts, tt)
+        src = src.select(F.col("v").cast(common).alias("v"), "f")
+        tgt = tgt.select(F.col("v").cast(common).alias("v"), "f")
     return (src.unionByName(tgt).groupBy("v")
             .agg(F.bit_or("f").alias("f"),
                  F.count_if(F.col("f") == 1).alias("n1"),
                  F.count_if(F.col("f") == 2).alias("n2")))
 
 
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Type both sides of a set comparison are compared in: the absent side takes the
+    other's type; integers widen to bigint; decimals to the widest scale; other numeric
+    mixes to double; anything else compares as text."""
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    if isinstance(a, (T.DecimalType, T.IntegralType)) and isinstance(b, (T.DecimalType, T.IntegralType)):
+        scale = max(x.scale for x in (a, b) if isinstance(x, T.DecimalType))
+        return T.DecimalType(38, scale)
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def _set_summary(flags: DataFrame, sample_flag: int, sample_n: int) -> DataFrame:
     nn = F.col("v").isNotNull()
     f = F.col("f")

@@ -196,3 +196,16 @@ def test_set_check_plan_is_bounded(spark):
     assert "partial_bit_or" in plan                     # flags combined before the shuffle
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert one(df).message == "Missing PKs in target: 10 keys absent. Sample: [0, 1, 2]"
+
+
+def test_set_checks_compare_mixed_numeric_types_by_value(spark):
+    from decimal import Decimal
+    a = spark.createDataFrame([(1,), (2,)], "k int")
+    b = spark.createDataFrame([(1,), (2,)], "k bigint")
+    assert one(R.check_primary_key_completeness(a, b, "k", "t")).status == "PASS"
+    c = spark.createDataFrame([(Decimal("1.00"),), (Decimal("2.50"),)], "k decimal(18,2)")
+    d = spark.createDataFrame([(Decimal("1"),), (Decimal("3"),)], "k decimal(10,0)")
+    r = one(R.check_distinct_values(c, d, "k", "t"))
+    assert (r.missing, r.extra, r.status) == (1, 1, "FAIL")
+    e = spark.createDataFrame([("x",)], "k string")
+    assert one(R.check_distinct_values(e, e.drop("k"), "k", "t")).missing == 1
