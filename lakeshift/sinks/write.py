@@ -111,21 +111,23 @@ def _null_safe_on(keys: Sequence[str], prefix: str):
     return cond
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
+                  strategy: str = "join") -> DataFrame:
     """Apply a change set (``_change_type``) to a target: new and updated rows replace
     or add, deleted rows stay as soft deletes (``_is_deleted`` true), unchanged rows
     are left as they are."""
     delta = changes.filter(F.col(CHANGE_TYPE) != UNCHANGED).drop(CHANGE_TYPE)
-    return upsert(target, delta, keys)
+    return upsert(target, delta, keys, strategy)
 
 
 def merge_into_path(spark: SparkSession, target_path: str, updates: DataFrame,
                     keys: Sequence[str], out_path: str, file_format: str = "parquet",
-                    partition_by: str | Sequence[str] | None = None) -> str:
+                    partition_by: str | Sequence[str] | None = None,
+                    strategy: str = "join") -> str:
     """Upsert ``updates`` into the table at ``target_path``, writing the merged table
     to ``out_path`` (a new version). Returns ``out_path``."""
     target = spark.read.format(file_format).load(target_path)
-    merged = upsert(target, updates, keys)
+    merged = upsert(target, updates, keys, strategy)
     return write_table(merged, out_path, "overwrite", file_format, partition_by)
 
 
@@ -162,7 +164,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: str | Sequence[str],
-                     file_format: str = "parquet", max_listed: int = 10000) -> str:
+                     file_format: str = "parquet", max_listed: int = 10000,
+                     strategy: str = "join") -> str:
     """Upsert ``updates`` into a partitioned table *in place*, rewriting only the
     partitions the updates touch (dynamic partition overwrite).
 
@@ -177,12 +180,13 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     updates = updates.persist()
     try:
         return _merge_partitions(spark, target_path, updates, keys, parts, file_format,
-                                 max_listed)
+                                 max_listed, strategy)
     finally:
         updates.unpersist()
 
 
-def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max_listed):
+def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max_listed,
+                      strategy="join"):
     touched = updates.select(*parts).distinct()
     listed = touched.limit(max_listed + 1).collect()
     target = spark.read.format(file_format).load(target_path)
@@ -202,7 +206,7 @@ def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max
             e = F.col(c).eqNullSafe(F.col(f"__p{i}"))
             on = e if on is None else on & e
         scoped = target.join(t, on, "left_semi")
-    merged = upsert(scoped, updates, keys).select(*target.columns)
+    merged = upsert(scoped, updates, keys, strategy).select(*target.columns)
     return write_table(merged, target_path, "overwrite", file_format, parts)
 
 
