@@ -6,9 +6,10 @@ that also starts earlier (smaller document, or earlier in the same one).
 1. *Frequencies.* One pass counts all ``MER``-word grams by hash slot (``SLOTS`` counts in all,
    whatever the input) so that minimisers prefer rare grams.
 2. *Super-k-mers.* The minimiser of a window is its least gram by (frequency class, hash),
-   leftmost on ties. Consecutive windows with the same minimiser place travel as one packed
-   string, keyed by the minimiser, so equal windows always meet. Windows of one super-k-mer
-   differ (their minimiser stands at different offsets). Equal strings of one batch are
+   leftmost on ties. Consecutive windows sharing a minimiser travel as one packed
+   string, keyed by the minimiser, so equal windows always meet. Windows that also share its
+   place differ (it stands at different offsets), so only super-k-mers over several places
+   (``many``) can repeat a window within themselves. Equal strings of one batch are
    combined before the shuffle: the earliest stays, all windows of the others are repeats at
    once. A text in a million copies thus costs a row per batch, not a row per copy.
 3. *Buckets.* Each partition is sorted by (minimiser, string, place), so equal strings are
@@ -31,19 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import empty_text, id_key, load, stored, with_workers
-from lakeshift.llm.textkit import Words, rolling, slices
+from lakeshift.llm.textkit import SLICE_BYTES, Words, rolling, slices
 
 WIDTH = 20
-MER = 4
+MER = 2
 SLOT_BITS = 14
 BATCH_BYTES = 8 << 20
 
-ROW = "mini long, packed binary, id long, tie long, start int, stop int"
-NAMES = ["mini", "packed", "id", "tie", "start", "stop"]
+ROW = "mini int, packed binary, id long, tie int, start int, stop int, many boolean"
+NAMES = ["mini", "packed", "id", "tie", "start", "stop", "many"]
 
 
 def slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,22 +95,23 @@ def least_places(keys: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def super_kmers(words: Words, classes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first word, word behind the last) of all super-k-mers of a slice."""
+def super_kmers(words: Words, classes: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(minimiser, first word, word behind the last, many) of all super-k-mers of a slice."""
     none = np.zeros(0, np.int64)
     windows = _starts(words, width)
     if not len(windows):
-        return none.astype(np.uint64), none, none
+        return none, none, none, none
     mer = min(MER, width)
     grams = rolling(words.hashes(), mer)
     level = classes[(grams >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
     keys = level << np.uint64(60) | grams >> np.uint64(4)
     place = least_places(keys, width - mer + 1)[windows]
     doc = np.searchsorted(words.first, windows, "right")
-    cut = np.flatnonzero((place[1:] != place[:-1]) | (doc[1:] != doc[:-1])) + 1
+    mini = grams[place]
+    cut = np.flatnonzero((mini[1:] != mini[:-1]) | (doc[1:] != doc[:-1])) + 1
     begin = np.concatenate([[0], cut])
     end = np.concatenate([cut, [len(windows)]]) - 1
-    return grams[place[begin]], windows[begin], windows[end] + width
+    return (mini[begin] >> np.uint64(32)).astype(np.uint32).view(np.int32), windows[begin], windows[end] + width, place[begin] != place[end]
 
 
 def packed_words(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -132,24 +135,25 @@ class Combiner:
 
     def __init__(self) -> None:
         self.seen: dict[bytes, int] = {}
-        self.mini, self.place, self.repeats, self.size = [], [], [], 0
+        self.mini, self.place, self.many, self.repeats, self.size = [], [], [], [], 0
 
     def add(self, words: Words, ids: np.ndarray, ties: np.ndarray, classes: np.ndarray, width: int) -> None:
-        minis, first, last = super_kmers(words, classes, width)
+        minis, first, last, many = super_kmers(words, classes, width)
         if not len(first):
             return
         raw, a, b = packed_words(words)
         self.size += len(raw)
         doc = np.searchsorted(words.first, first, "right") - 1
-        rows = zip(minis.view(np.int64).tolist(), a[first].tolist(), b[last - 1].tolist(), ids[doc].tolist(), ties[doc].tolist(),
-                   (first - words.first[doc]).tolist(), (last - words.first[doc]).tolist())
+        rows = zip(minis.tolist(), a[first].tolist(), b[last - 1].tolist(), ids[doc].tolist(), ties[doc].tolist(),
+                   (first - words.first[doc]).tolist(), (last - words.first[doc]).tolist(), many.tolist())
         seen, places = self.seen, self.place
-        for mini, x, y, i, tie, start, stop in rows:
+        for mini, x, y, i, tie, start, stop, several in rows:
             string, here = raw[x:y], (i, tie, start, stop)
             k = seen.setdefault(string, len(places))
             if k == len(places):
                 places.append(here)
                 self.mini.append(mini)
+                self.many.append(several)
             elif here != places[k]:
                 if here < places[k]:
                     here, places[k] = places[k], here
@@ -157,17 +161,17 @@ class Combiner:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.place:
-            yield _rows(self.mini, list(self.seen), self.place)
+            yield _rows(self.mini, list(self.seen), self.place, self.many)
         if self.repeats:
-            yield _rows([r[0] for r in self.repeats], [None] * len(self.repeats), self.repeats)
+            yield _rows([r[0] & 0x7FFFFFFF for r in self.repeats], [None] * len(self.repeats), self.repeats, [False] * len(self.repeats))
         self.__init__()
 
 
-def _rows(minis: list, packed: list, places: list) -> pa.RecordBatch:
+def _rows(minis: list, packed: list, places: list, many: list) -> pa.RecordBatch:
     i, tie, start, stop = zip(*places)
     return pa.RecordBatch.from_arrays(
-        [pa.array(minis, pa.int64()), pa.array(packed, pa.binary()), pa.array(i, pa.int64()), pa.array(tie, pa.int64()),
-         pa.array(start, pa.int32()), pa.array(stop, pa.int32())], NAMES)
+        [pa.array(minis, pa.int32()), pa.array(packed, pa.binary()), pa.array(i, pa.int64()), pa.array(tie, pa.int32()),
+         pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(many)], NAMES)
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
@@ -211,81 +215,111 @@ def bucket_repeats(strings: list[tuple[bytes, tuple]], width: int) -> list[tuple
     return out
 
 
-RANGE = "id long, tie long, start int, stop int"
+RANGE = "id long, tie int, start int, stop int"
 
 
 def count_buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (mini, packed, id, tie, start) -> ranges of words in repeated windows."""
-    mini, strings, out = None, [], []
+    mini, strings, out, inner = None, [], [], False
+
+    def close() -> None:
+        nonlocal inner
+        if len(strings) > 1 or inner:
+            out.extend(bucket_repeats(strings, width))
+        strings.clear()
+        inner = False
 
     def ranges(found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], NAMES[2:])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k else pa.int64()) for k, c in enumerate(columns)], NAMES[2:6])
 
     for batch in batches:
         known = batch.column(1).is_null().to_numpy(zero_copy_only=False)
         if known.any():
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(known)) for c in batch.columns[2:]], NAMES[2:])
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(known)) for c in batch.columns[2:6]], NAMES[2:6])
             batch = batch.filter(pa.array(~known))
         minis = batch.column(0).to_numpy()
         n = len(minis)
         if not n:
             continue
-        # a minimiser with one row and no neighbour in the next or last batch holds no repeat
+        # a minimiser with one row, over one place, and no neighbour in the next or last batch holds no repeat
         alone = np.ones(n, bool)
         same = minis[1:] == minis[:-1]
         alone[1:] &= ~same
         alone[:-1] &= ~same
+        alone &= ~batch.column(6).to_numpy(zero_copy_only=False)
         alone[-1] = False
         if minis[0] == mini:
             alone[0] = False
-        elif alone[0] and len(strings) > 1:
-            out += bucket_repeats(strings, width)
-            mini, strings = None, []
         rows = batch.filter(pa.array(~alone))
-        for m, packed, i, tie, start, stop in zip(*(c.to_pylist() for c in rows.columns)):
+        for m, packed, i, tie, start, stop, many in zip(*(c.to_pylist() for c in rows.columns)):
             if m != mini:
-                if len(strings) > 1:
-                    out += bucket_repeats(strings, width)
-                mini, strings = m, []
+                close()
+                mini = m
             if strings and strings[-1][0] == packed:
                 if strings[-1][1] != (i, tie, start, stop):
                     out.append((i, tie, start, stop))
             else:
                 strings.append((packed, (i, tie, start, stop)))
+                inner |= many
         if len(out) > 10_000:
             yield ranges(out)
-            out = []
-    if len(strings) > 1:
-        out += bucket_repeats(strings, width)
+            out.clear()
+    close()
     if out:
         yield ranges(out)
 
 
+def shrink_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the texts (column 3) for the way through the shuffle."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        small = pa.array([pack(t.as_buffer().to_pybytes()) for t in batch.column(3)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], small], ["doc_id", "id", "tie", "small"])
+
+
+def _texts(small: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of runs of rows whose texts take a bounded number of bytes (or one row)."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    first, texts, size = 0, [], 0
+    for k, x in enumerate(small):
+        texts.append(unpack(x.as_buffer().to_pybytes()))
+        size += len(texts[-1])
+        if size >= SLICE_BYTES or k == len(small) - 1:
+            yield first, pa.array(texts, pa.binary()).cast(pa.string())
+            first, texts, size = k + 1, [], 0
+
+
 def keep_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, starts, stops) -> counts and the words that stay, joined by one space."""
+    """(doc_id, small, starts, stops) -> counts and the words that stay, joined by one space."""
     for batch in batches:
-        for first, buf, offsets in slices(batch.column(1)):
-            words = Words(buf, offsets)
-            raw, a, b = packed_words(words)
-            n = np.diff(words.first)
-            removed, kept = np.zeros(len(n), np.int64), []
-            starts, stops = (batch.column(k).slice(first, len(n)) for k in (2, 3))
-            hit = starts.is_valid().to_numpy(zero_copy_only=False)
-            for d in range(len(n)):
-                lo, hi = int(words.first[d]), int(words.first[d + 1])
-                if not hit[d]:
-                    kept.append(raw[a[lo]:b[hi - 1]] if hi > lo else b"")
-                    continue
-                cover = np.zeros(hi - lo + 1, np.int64)
-                np.add.at(cover, starts[d].values.to_numpy(), 1)
-                np.add.at(cover, stops[d].values.to_numpy(), -1)
-                stay = np.flatnonzero(np.cumsum(cover[:-1]) == 0) + lo
-                removed[d] = hi - lo - len(stay)
-                kept.append(b" ".join([raw[x:y] for x, y in zip(a[stay].tolist(), b[stay].tolist())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text"])
+        for begin, texts in _texts(batch.column(1)):
+            rows = batch.slice(begin, len(texts))
+            yield from _keep(rows.column(0), texts, rows.column(2), rows.column(3))
+
+
+def _keep(doc_ids: pa.Array, texts: pa.Array, all_starts: pa.Array, all_stops: pa.Array) -> Iterator[pa.RecordBatch]:
+    for first, buf, offsets in slices(texts):
+        words = Words(buf, offsets)
+        raw, a, b = packed_words(words)
+        n = np.diff(words.first)
+        removed, kept = np.zeros(len(n), np.int64), []
+        starts, stops = (c.slice(first, len(n)) for c in (all_starts, all_stops))
+        hit = starts.is_valid().to_numpy(zero_copy_only=False)
+        for d in range(len(n)):
+            lo, hi = int(words.first[d]), int(words.first[d + 1])
+            if not hit[d]:
+                kept.append(raw[a[lo]:b[hi - 1]] if hi > lo else b"")
+                continue
+            cover = np.zeros(hi - lo + 1, np.int64)
+            np.add.at(cover, starts[d].values.to_numpy(), 1)
+            np.add.at(cover, stops[d].values.to_numpy(), -1)
+            stay = np.flatnonzero(np.cumsum(cover[:-1]) == 0) + lo
+            removed[d] = hi - lo - len(stay)
+            kept.append(b" ".join([raw[x:y] for x, y in zip(a[stay].tolist(), b[stay].tolist())]))
+        yield pa.RecordBatch.from_arrays(
+            [doc_ids.slice(first, len(n)), pa.array(n), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())],
+            ["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def repeat_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -299,10 +333,11 @@ def repeat_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text of each row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), F.xxhash64(empty_text()).alias("tie"), empty_text().alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), F.hash(empty_text()).alias("tie"), empty_text().alias("text"))
     ranges = stored(repeat_ranges(docs, width), "substring-ranges")
     by_doc = ranges.groupBy("id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    return (docs.join(by_doc, ["id", "tie"], "left").select("doc_id", "text", "starts", "stops")
+    small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie int, small binary")
+    return (small.join(by_doc, ["id", "tie"], "left").select("doc_id", "small", "starts", "stops")
             .mapInArrow(keep_batches, "doc_id long, n_words long, n_removed long, kept_text string"))
 
 
