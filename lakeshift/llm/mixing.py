@@ -38,7 +38,7 @@ SHARE = 1.5
 MOST = 2
 #: Slope of the demand of each weight class over training time, within [-1, 1].
 SLOPES = (0.5, 0.0, -0.75)
-BIN_ROWS = 20_000
+BIN_ROWS = 2_000
 SEED = 17
 
 WORD = r"[^\x20\x09-\x0D]+"
