@@ -10,7 +10,7 @@ that also starts earlier (smaller document, or earlier in the same one).
    string, keyed by the minimiser, so equal windows always meet. Windows that also share its
    place differ (it stands at different offsets), so only super-k-mers over several places
    (``many``) can repeat a window within themselves. Equal strings of one batch are
-   combined before the shuffle: the earliest stays, all windows of the others are repeats at
+   combined before the shuffle and compressed with a shared dictionary: the earliest stays, all windows of the others are repeats at
    once. A text in a million copies thus costs a row per batch, not a row per copy.
 3. *Buckets.* Each partition is sorted by (minimiser, string, place), so equal strings are
    neighbours, the earliest first, and the rest are repeats as they stream by. The windows of
@@ -43,6 +43,8 @@ WIDTH = 20
 MER = 2
 SLOT_BITS = 14
 BATCH_BYTES = 8 << 20
+#: Bounds of the sample behind the compression dictionary.
+SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 4000, 1 << 16
 
 ROW = "mini int, packed binary, id long, tie int, start int, stop int, many boolean"
 NAMES = ["mini", "packed", "id", "tie", "start", "stop", "many"]
@@ -130,10 +132,25 @@ def packed_words(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return text[keep].tobytes(), place[words.start], place[words.end]
 
 
+def packing_dictionary(docs: DataFrame) -> bytes:
+    """A compression dictionary from a bounded sample of texts; it changes sizes, never results."""
+    texts = [r[0].encode() for r in docs.select(F.left("text", F.lit(SAMPLE_CHARS))).limit(SAMPLE_DOCS).collect()]
+    pieces = [t[k:k + 200] for t in texts for k in range(0, len(t), 200)]
+    if sum(map(len, pieces)) < 100 * DICTIONARY_BYTES // 10:
+        return b""
+    return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+
+
+def packer(dictionary: bytes):
+    return zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=False,
+                                    write_dict_id=False).compress
+
+
 class Combiner:
     """Distinct super-k-mers of a batch with their earliest place; later places are repeats."""
 
-    def __init__(self) -> None:
+    def __init__(self, pack) -> None:
+        self.pack = pack
         self.seen: dict[bytes, int] = {}
         self.mini, self.place, self.many, self.repeats, self.size = [], [], [], [], 0
 
@@ -161,10 +178,10 @@ class Combiner:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.place:
-            yield _rows(self.mini, list(self.seen), self.place, self.many)
+            yield _rows(self.mini, list(map(self.pack, self.seen)), self.place, self.many)
         if self.repeats:
             yield _rows([r[0] & 0x7FFFFFFF for r in self.repeats], [None] * len(self.repeats), self.repeats, [False] * len(self.repeats))
-        self.__init__()
+        self.__init__(self.pack)
 
 
 def _rows(minis: list, packed: list, places: list, many: list) -> pa.RecordBatch:
@@ -174,9 +191,9 @@ def _rows(minis: list, packed: list, places: list, many: list) -> pa.RecordBatch
          pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(many)], NAMES)
 
 
-def pack_batches(batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+def pack_batches(batches: Iterator[pa.RecordBatch], classes: np.ndarray, width: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     """(id, tie, text) -> super-k-mers and the repeats already known (packed null)."""
-    own = Combiner()
+    own = Combiner(packer(dictionary))
     for batch in batches:
         ids, ties = (batch.column(k).to_numpy() for k in (0, 1))
         for first, buf, offsets in slices(batch.column(2)):
@@ -218,14 +235,15 @@ def bucket_repeats(strings: list[tuple[bytes, tuple]], width: int) -> list[tuple
 RANGE = "id long, tie int, start int, stop int"
 
 
-def count_buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def count_buckets(batches: Iterator[pa.RecordBatch], width: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (mini, packed, id, tie, start) -> ranges of words in repeated windows."""
     mini, strings, out, inner = None, [], [], False
+    unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)).decompress
 
     def close() -> None:
         nonlocal inner
         if len(strings) > 1 or inner:
-            out.extend(bucket_repeats(strings, width))
+            out.extend(bucket_repeats([(unpack(p), place) for p, place in strings], width))
         strings.clear()
         inner = False
 
@@ -326,9 +344,10 @@ def repeat_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Ranges of words (id, tie, start, stop) that repeated windows cover; ``docs`` has id, tie, text."""
     with_workers(docs.sparkSession)
     classes = frequency_classes(docs)
-    packed = docs.select("id", "tie", "text").mapInArrow(lambda batches: pack_batches(batches, classes, width), ROW)
+    dictionary = packing_dictionary(docs)
+    packed = docs.select("id", "tie", "text").mapInArrow(lambda batches: pack_batches(batches, classes, width, dictionary), ROW)
     return (packed.repartition("mini").sortWithinPartitions("mini", "packed", "id", "tie", "start")
-            .mapInArrow(lambda batches: count_buckets(batches, width), RANGE))
+            .mapInArrow(lambda batches: count_buckets(batches, width, dictionary), RANGE))
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
