@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.llm.adaptive import op10_adaptive_rules
 from lakeshift.llm.decontam import op8_decontamination
+from lakeshift.llm.minhash import op3_near_dedup
 from lakeshift.llm.mixing import op1_mixture
 from lakeshift.llm.records import op7_token_records
 from lakeshift.llm.substring import op2_substring_dedup
 from lakeshift.llm.tokencount import op9_token_counts
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_mixture, op2_substring_dedup, op7_token_records, op8_decontamination, op9_token_counts, op10_adaptive_rules,
+    op1_mixture, op2_substring_dedup, op3_near_dedup, op7_token_records, op8_decontamination, op9_token_counts, op10_adaptive_rules,
 ]
 
 
