@@ -6,15 +6,15 @@
    anything else, so exact copies cost one row a class.
 2. *Candidates.* Classes sharing a band key meet. Buckets of up to ``BLOCK`` classes keep the
    pairs whose similarity, estimated from equal signature fields and corrected for chance
-   collisions, reaches ``FLOOR`` (over 5 standard deviations below the threshold); of these
-   a spanning forest is enough. Larger buckets are joined to their first class without a look,
+   collisions, reaches ``FLOOR`` (over 5 standard deviations below the threshold); each task
+   sends on only what connects them. Larger buckets are joined to their first class without a look,
    which only adds candidates. Connected candidates are a cluster.
 3. *Confirmation* on full sets. A cluster is cut into blocks of ``BLOCK`` classes. In a block,
    pairs are tried by falling estimate, skipping those already connected, so a group costs
    about one comparison per member and never emits its pairs. Clusters of several blocks go on:
-   a few members of each block's largest part are tried against the other blocks, then
-   every member outside the cluster's largest part is tried against all blocks, after which no
-   untried pair can connect anything.
+   a few members of the first block's largest part are tried against the other blocks, then
+   every member that this has not joined to that part is tried against all blocks, after which
+   no untried pair can connect anything.
 4. *Components* by minimum labels with pointer jumping, as joins; nothing is collected.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with
@@ -174,9 +174,32 @@ def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
+class Stars:
+    """Connected keys of one task, as links of each key to one key of its component."""
+
+    MOST = 200_000
+
+    def __init__(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.forest = Forest(0)
+
+    def link(self, a: bytes, b: bytes) -> None:
+        up = self.forest.up
+        for x in (a, b):
+            if x not in self.place:
+                self.place[x] = len(up)
+                up.append(len(up))
+        self.forest.join(self.place[a], self.place[b])
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        keys = list(self.place)
+        yield _edges([(k, keys[self.forest.find(i)]) for i, k in enumerate(keys) if self.forest.find(i) != i])
+        self.__init__()
+
+
 def candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, digest, n, packed) -> a spanning forest of the pairs with a sufficient estimate."""
-    out = []
+    """Sorted (key, digest, n, packed) -> links that connect the pairs with a sufficient estimate."""
+    stars = Stars()
     for group in _groups(batches, 1):
         n = np.array([g[2] for g in group])
         packed = np.frombuffer(b"".join(g[3] for g in group), np.uint64).reshape(len(group), -1)
@@ -186,12 +209,21 @@ def candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             near &= 100 * np.minimum(n[i], n[i + 1:]) >= THRESHOLD * np.maximum(n[i], n[i + 1:])
             for j in np.flatnonzero(near).tolist():
                 if forest.join(i, i + 1 + j):
-                    out.append((group[i][1], group[i + 1 + j][1]))
-        if len(out) > 5000:
-            yield _edges(out)
-            out = []
-    if out:
-        yield _edges(out)
+                    stars.link(group[i][1], group[i + 1 + j][1])
+        if len(stars.place) > Stars.MOST:
+            yield from stars.flush()
+    yield from stars.flush()
+
+
+def contract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) links -> fewer links that connect the same."""
+    stars = Stars()
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            stars.link(a, b)
+        if len(stars.place) > Stars.MOST:
+            yield from stars.flush()
+    yield from stars.flush()
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -205,17 +237,17 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def confirm(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-    """Links that connect (digest, packed, set, label, probe) rows; with probes, only pairs that hold one.
+    """Links of the labels of (digest, packed, set, label, probe) rows to one label of their component.
 
-    Rows of one label count as connected already. Pairs are tried by falling estimate.
+    Rows of one label count as connected already; with probes, only pairs that hold one are
+    tried. Pairs are tried by falling estimate.
     """
     packed = np.frombuffer(b"".join(r[1] for r in rows), np.uint64).reshape(len(rows), -1)
     sets = [np.frombuffer(r[2], np.uint64) for r in rows]
     size = np.array([len(s) for s in sets])
-    forest, labels = Forest(len(rows)), {}
+    forest, first = Forest(len(rows)), {}
     for i, r in enumerate(rows):
-        if r[3] is not None:
-            forest.join(i, labels.setdefault(r[3], i))
+        forest.join(i, first.setdefault(r[3], i))
     probes = [i for i, r in enumerate(rows) if r[4]]
     partial = bool(probes)
     members = np.array([i for i, r in enumerate(rows) if not r[4]], np.int64)
@@ -227,19 +259,18 @@ def confirm(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         guess.append(e[near].astype(np.float32))
         right.append(others[near])
         left.append(np.full(int(near.sum()), i))
-    out = []
     if guess:
         guess, left, right = map(np.concatenate, (guess, left, right))
         order = np.argsort(-guess, kind="stable")
         for i, j in zip(left[order].tolist(), right[order].tolist()):
             if forest.find(i) != forest.find(j) and _similar(sets[i], sets[j]):
                 forest.join(i, j)
-                out.append((rows[i][0], rows[j][0]))
-    return out
+    roots = [(label, rows[forest.find(i)][3]) for label, i in first.items()]
+    return [(label, root) for label, root in roots if label != root]
 
 
 def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (cluster, block, digest, packed, members, label, probe) -> confirmed links."""
+    """Sorted (cluster, block, digest, packed, members, label, probe) -> confirmed links of labels."""
     for group in _groups(batches, 2):
         rows = [g[2:] for g in group]
         rows = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]  # a repeated row counts once
@@ -263,21 +294,22 @@ def set_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b) links -> (node, label): the least node of each connected component, for nodes with links.
 
-    Every round takes the least label among neighbours and then the label's own label; rounds
-    end when no label changes. Each round is written to the shared folder.
+    Every round takes the least label among a node and its neighbours and then that label's own
+    label; rounds end when no label changes. Each round is written to the shared folder.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("label")), "labels")
+    a, b = F.col("a"), F.col("b")
+    ends = F.explode(F.array(F.struct(a, b), F.struct(b.alias("a"), a.alias("b")), F.struct(a, a.alias("b")), F.struct(b.alias("a"), b)))
+    edges = stored(edges.select("a", "b"), "edges").mapInArrow(contract_batches, "a binary, b binary")
+    both = stored(edges.select(ends.alias("e")).select("e.a", "e.b").distinct(), "links")
+    labels = both.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
     for _ in range(rounds):
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near")))
-        hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        hooked = stored(hooked, "hooked")
-        jump = hooked.select(F.col("node").alias("_n"), F.col("label").alias("_up"))
-        new = stored(hooked.join(jump, F.col("label") == F.col("_n")).select("node", "was", F.least("label", "_up").alias("label")), "labels")
-        done = new.filter(F.col("was") != F.col("label")).isEmpty()
-        labels = new.select("node", "label")
-        if done:
-            return labels
+        met = (both.join(labels, both["b"] == labels["node"]).groupBy("a")
+               .agg(F.min("label").alias("label"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was")))
+        met = stored(met.withColumnRenamed("a", "node"), "met")
+        if met.filter(F.col("was") != F.col("label")).isEmpty():
+            return met.select("node", "label")
+        jump = met.select(F.col("node").alias("_n"), F.col("label").alias("_up"))
+        labels = met.join(jump, F.col("label") == F.col("_n")).select("node", F.col("_up").alias("label"))
     raise RuntimeError("components did not settle")
 
 
@@ -288,8 +320,8 @@ def _confirmed(rows: DataFrame) -> DataFrame:
                   .mapInArrow(confirm_batches, "a binary, b binary"), "confirmed")
 
 
-def links(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """Confirmed links (a, b) between classes that connect every component of similar classes."""
+def class_components(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(digest, label) of the classes that are linked with others: equal labels, one component."""
     # one class per distinct set; all of a class agree on the other columns
     classes = stored(signed.filter("digest is not null").groupBy("digest").agg(
         F.min(F.struct("doc_id", "tie")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"),
@@ -311,31 +343,28 @@ def links(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
             .mapInArrow(lambda batches: set_batches(batches, shingle), "digest binary, members binary, packed binary, cluster binary"))
     sizes = clusters.groupBy(F.col("label").alias("cluster")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     sets = stored(sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks"))), "sets")
-    nothing = F.lit(None).cast("binary")
-    found = _confirmed(sets.withColumn("label", nothing).withColumn("probe", F.lit(False)))
+    within = _confirmed(sets.withColumn("label", F.col("digest")).withColumn("probe", F.lit(False)))
+    within = within.select(F.col("a").alias("digest"), F.col("b").alias("label"))
     wide = sets.filter("blocks > 1")
     if wide.isEmpty():
-        return found
+        return within
     # a few members of the first block's largest part meet all other blocks of the cluster
-    marked = _labelled(wide, found)
-    most = (marked.filter("block = 0").groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("_m")).select("cluster", F.col("_m.label").alias("label")))
-    ranked = F.row_number().over(Window.partitionBy("cluster").orderBy("digest"))
-    probes = marked.filter("block = 0").join(most, ["cluster", "label"]).withColumn("_r", ranked).filter(F.col("_r") <= PROBES).drop("_r")
-    found = stored(found.unionByName(_confirmed(_against(marked, probes))), "links-probed")
-    # what is still outside the largest part of its cluster meets every other block
-    marked = _labelled(wide, found)
-    most = (marked.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c"))
+    marked = stored(wide.join(within, "digest", "left").withColumn("label", F.coalesce("label", "digest")), "labelled")
+    main = (marked.filter("block = 0").groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("cluster").agg(F.max(F.struct("c", "label")).alias("_m")).select("cluster", F.col("_m.label").alias("_main")))
-    outside = marked.join(most, "cluster").filter("label != _main").drop("_main")
-    return found.unionByName(_confirmed(_against(marked, outside)))
-
-
-def _labelled(sets: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of wide clusters with the label of their component so far."""
-    known = components(found).select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    return stored(sets.join(known, F.col("digest") == F.col("_node"), "left")
-                  .withColumn("label", F.coalesce("_label", "digest")).drop("_node", "_label"), "labelled")
+    ranked = F.row_number().over(Window.partitionBy("cluster").orderBy("digest"))
+    probes = (marked.filter("block = 0").join(main, "cluster").filter("label = _main").withColumn("_r", ranked)
+              .filter(F.col("_r") <= PROBES).drop("_r", "_main"))
+    probed = _confirmed(_against(marked, probes))
+    joined = probed.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(probed.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    # what that has not joined to the largest part meets every other block
+    inner = main.select(F.col("_main").alias("x")).unionByName(
+        joined.join(main, F.col("y") == F.col("_main")).select("x")).distinct()
+    outside = marked.join(inner, F.col("label") == F.col("x"), "left_anti")
+    late = _confirmed(_against(marked, outside))
+    over = components(probed.unionByName(late)).select(F.col("node").alias("label"), F.col("label").alias("_over"))
+    named = sets.select("digest").join(within, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    return named.join(over, "label", "left").select("digest", F.coalesce("_over", "label").alias("label"))
 
 
 def _against(members: DataFrame, probes: DataFrame) -> DataFrame:
@@ -352,10 +381,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     signed = stored(docs.select("doc_id", "text", F.hash("text").alias("tie")).mapInArrow(
         lambda batches: sign_batches(batches, shingle),
         "doc_id long, tie int, digest binary, n long, bands binary, packed binary"), "signed")
-    found = links(signed, docs, shingle)
-    linked = components(found)
+    linked = class_components(signed, docs, shingle)
     first = signed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("_first"))
-    joined = (first.join(linked.withColumnRenamed("node", "digest"), "digest", "left")
+    joined = (first.join(linked, "digest", "left")
               .withColumn("_part", F.coalesce("label", "digest")))
     least = joined.groupBy("_part").agg(F.min("_first").alias("component_id"))
     of_class = joined.select(F.col("digest").alias("_digest"), "_part").join(least, "_part").drop("_part")
