@@ -231,3 +231,27 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns kept."""
+    with_workers(docs.sparkSession)
+    schema = docs.schema
+    blocks = blocks_of(benchmark, size, block_words)
+    block, more = next(blocks, []), next(blocks, None)
+    if more is None:
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = tables(block)
+            place = schema.names.index("text")
+            for batch in batches:
+                for first, buf, offsets in slices(batch.column(place).cast(pa.string())):
+                    words = Words(buf, offsets, "alnum", lower=True)
+                    flags, _ = hits(words, found)
+                    sums = np.concatenate([[0], np.cumsum(flags)])
+                    n_hit = sums[words.first[1:]] - sums[words.first[:-1]]
+                    good = (n_hit == 0) | (20 * n_hit < np.diff(words.first))
+                    yield batch.slice(first, words.rows).filter(pa.array(good))
+
+        return docs.mapInArrow(clean, schema)
+    judged = decontaminate(docs.select("doc_id", "text"), benchmark, size, block_words).filter("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(judged, docs["doc_id"].eqNullSafe(F.col("_dirty")), "left_anti")

@@ -34,7 +34,7 @@ from lakeshift.llm.textkit import slices
 
 FOLDS, HELD = 3, 1
 DOCS_PER_LANG, EXCERPT = 250, 400
-HIDDEN, SEGMENT, LANES = 16, 256, 2048
+HIDDEN, SEGMENT, LANES = 12, 256, 2048
 TRAIN_SEGMENT, BATCH, EPOCHS, RATE, SEED = 64, 128, 4, 0.01, 11
 NONE = "und"
 
@@ -71,20 +71,19 @@ def new_network(langs: list[str]) -> Network:
 
 
 def step(h: np.ndarray, a: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """One time step for all lanes: state [N, H], input rows [N, 3H] (overwritten) -> new state."""
-    k = h.shape[1]
-    s = h @ u
-    gates = a[:, :2 * k]
-    gates += s[:, :2 * k]
+    """One time step for all lanes: state [H, N], input columns [3H, N] (overwritten), weights [3H, H] -> new state."""
+    k = len(h)
+    s = u @ h
+    gates, n = a[:2 * k], s[2 * k:]
+    gates += s[:2 * k]
     np.clip(gates, 0, 1, out=gates)
-    n = s[:, 2 * k:]
-    n *= a[:, k:2 * k]
-    n += a[:, 2 * k:]
+    n *= gates[k:]
+    n += a[2 * k:]
     np.clip(n, -1, 1, out=n)
-    new = h - n
-    new *= a[:, :k]
-    new += n
-    return new
+    h -= n
+    h *= gates[:k]
+    h += n
+    return h
 
 
 def probabilities(net: Network, grid: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -94,29 +93,32 @@ def probabilities(net: Network, grid: np.ndarray, width: np.ndarray) -> np.ndarr
     """
     steps, lanes = grid.shape
     k = HIDDEN
-    live = (np.arange(steps)[:, None] < width).astype(np.float32)[:, :, None]
-    logits = np.empty((steps, lanes, len(net.langs)), np.float32)
-    h = np.zeros((lanes, k), np.float32)
+    live = (np.arange(steps)[:, None] < width).astype(np.float32)
+    logits = np.empty((steps, len(net.langs), lanes), np.float32)
+    inputs = [np.ascontiguousarray(w.T) for w in net.inputs]
+    states = [np.ascontiguousarray(u.T) for u in net.states]
+    ahead, behind, bias = net.out[:k].T.copy(), net.out[k:].T.copy(), net.bias[:, None]
+    h = np.zeros((k, lanes), np.float32)
     for t in range(steps):
-        h = step(h, net.inputs[0][grid[t]], net.states[0])
-        logits[t] = h @ net.out[:k]
-    total = np.zeros((lanes, len(net.langs)), np.float32)
-    h = np.zeros((lanes, k), np.float32)
+        h = step(h, inputs[0].take(grid[t], 1), states[0])
+        np.matmul(ahead, h, out=logits[t])
+    total = np.zeros((len(net.langs), lanes), np.float32)
+    h = np.zeros((k, lanes), np.float32)
     full = int(width.min()) if lanes else 0
     for t in range(steps - 1, -1, -1):
-        h = step(h, net.inputs[1][grid[t]], net.states[1])
+        h = step(h, inputs[1].take(grid[t], 1), states[1])
         if t >= full:
             h *= live[t]  # behind its end a lane keeps the empty state
         z = logits[t]
-        z += h @ net.out[k:]
-        z += net.bias
-        z -= z.max(1, keepdims=True)
+        z += behind @ h
+        z += bias
+        z -= z.max(0)
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        z /= z.sum(0)
         if t >= full:
             z *= live[t]
         total += z
-    return total
+    return total.T
 
 
 def _forward(x: np.ndarray, w: np.ndarray, u: np.ndarray):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import empty_text, load, stored, with_workers
+from lakeshift.llm.shared import NULL_ID, empty_text, id_key, load, stored, with_workers
 from lakeshift.llm.textkit import Words, mix, rolling, slices
 
 SHINGLE = 2
@@ -374,8 +374,8 @@ def _against(members: DataFrame, probes: DataFrame) -> DataFrame:
     return members.withColumn("probe", F.lit(False)).unionByName(sent.withColumn("probe", F.lit(True)))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
+def _judged(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, tie (text hash), n and component_id of each row of ``docs``."""
     with_workers(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text"))
     signed = stored(docs.select("doc_id", "text", F.hash("text").alias("tie")).mapInArrow(
@@ -383,14 +383,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
         "doc_id long, tie int, digest binary, n long, bands binary, packed binary"), "signed")
     linked = class_components(signed, docs, shingle)
     first = signed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("_first"))
-    joined = (first.join(linked, "digest", "left")
-              .withColumn("_part", F.coalesce("label", "digest")))
+    joined = first.join(linked, "digest", "left").withColumn("_part", F.coalesce("label", "digest"))
     least = joined.groupBy("_part").agg(F.min("_first").alias("component_id"))
-    of_class = joined.select(F.col("digest").alias("_digest"), "_part").join(least, "_part").drop("_part")
-    rows = signed.select("doc_id", "n", "digest").join(of_class, F.col("digest") == F.col("_digest"), "left")
+    of_class = joined.select(F.col("digest").alias("_digest"), "_part").join(least, "_part")
+    rows = signed.select("doc_id", "tie", "n", "digest").join(of_class, F.col("digest") == F.col("_digest"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows.select("doc_id", "tie", "n", component.alias("component_id"), "_part")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
+    return _judged(docs, shingle).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """One row of ``docs`` of each component, all columns kept; rows without a shingle all stay.
+
+    The row of the smallest doc_id (nulls last) stays; among rows of that id the one of the
+    least text hash, and one of equal rows.
+    """
+    found = _judged(docs.select("doc_id", "text"), shingle)
+    place = F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_i"), F.col("tie").alias("_t"))
+    chosen = found.filter("n > 0").groupBy("_part").agg(F.min(place).alias("_p")).select("_p._i", "_p._t", F.lit(True).alias("_one"))
+    empty = found.filter("n = 0").select(place.alias("_p")).distinct().select("_p._i", "_p._t", F.lit(False).alias("_one"))
+    same = Window.partitionBy("_id", "_tie").orderBy("_id")
+    keyed = docs.withColumn("_tie", F.hash(empty_text())).withColumn("_id", id_key())
+    rows = keyed.join(chosen.unionByName(empty), (F.col("_id") == F.col("_i")) & (F.col("_tie") == F.col("_t")))
+    return rows.withColumn("_row", F.row_number().over(same)).filter("_row = 1 or not _one").select(*docs.columns)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import load, stored
+from lakeshift.llm.shared import id_key, load, stored
 
 #: The repeating weights, the share of all words, the greatest repetition.
 WEIGHTS = (5, 2, 1)
@@ -83,12 +83,11 @@ def demand_time(words: Column, target: Column, slope: Column) -> Column:
     return F.when(F.abs(slope) < 1e-9, y).otherwise(2 * y / (a + root))
 
 
-def positions(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def positions(docs: DataFrame) -> DataFrame:
     """Size, target, words taken and training positions of each row of ``docs`` (doc_id, text, source)."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                        n_words(F.col("text").cast("string")).alias("size"), F.xxhash64("text").alias("_text"),
-                        *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    sizes = stored(named, "mix-sizes")
+    sizes = stored(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        n_words(F.col("text").cast("string")).alias("size"), F.xxhash64("text").alias("_text")), "mix-sizes")
     return _positioned(sizes, stored(source_targets(sizes), "mix-targets"))
 
 
@@ -120,18 +119,26 @@ def _positioned(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         sum(words[1:], words[0]).cast("long").alias("taken"),
         F.array_compact(F.array(*times)).alias("positions"),
-        *[c for c in rows.columns if c.startswith("_keep_")])
+        "_text")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed set itself: the rows of ``docs``, once for each copy taken, range-sorted by training position."""
-    columns = docs.columns
-    placed = positions(docs, tuple(columns))
-    at = placed.select(*[F.col(f"_keep_{c}").alias(c) for c in columns], F.explode("positions").alias("_at"))
-    return at.orderBy("_at", F.col("doc_id").asc_nulls_last()).drop("_at")
+    """The mixed set itself: the rows of ``docs``, once for each copy taken, range-sorted by training position.
+
+    Positions are found on slim rows and meet the documents by (doc_id, text hash); the
+    k-th of equal rows takes the k-th list of positions.
+    """
+    key = ["_id", "_hash"]
+    slim = positions(docs).select(id_key().alias("_id"), F.col("_text").alias("_hash"), F.struct("positions").alias("_p"))
+    lists = slim.groupBy(*key).agg(F.sort_array(F.collect_list("_p")).alias("_lists"))
+    keyed = docs.withColumn("_id", id_key()).withColumn("_hash", F.xxhash64(F.col("text")))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("_id"))
+    rows = keyed.withColumn("_nth", nth).join(lists, key)
+    rows = rows.withColumn("_at", F.explode(F.get("_lists", F.col("_nth") - 1)["positions"]))
+    return rows.orderBy("_at", "_id").select(*docs.columns)
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document, range-sorted by the first position (documents not taken come last)."""
     placed = positions(load(spark, sf_dir, "documents"))
-    return placed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
+    return placed.drop("_text").orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
