@@ -14,7 +14,7 @@ HASH_KV_SEP = "="
 
 def has_text(c: Column) -> Column:
     """True when the value is non-null and has a non-whitespace character."""
-    return F.coalesce(c.cast("string").rlike(r"\S"), F.lit(False))
+    return F.coalesce(c.cast("string").rlike(r"(?U)\S"), F.lit(False))
 
 
 def is_blank(c: Column) -> Column:

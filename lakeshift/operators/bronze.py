@@ -117,7 +117,7 @@ class BronzeBatch:
             *[c for c in self.flagged.columns if c not in (RAW, ERRORS)],
             F.when(bad, F.col(RAW)).alias(RAW), F.when(bad, F.col(ERRORS)).alias(ERRORS),
             F.when(bad, F.lit("quarantine")).otherwise(F.lit("valid")).alias(STATUS))
-        write_table(out, path, mode, partition_by=STATUS)
+        write_table(out, path, mode, partition_by=STATUS, replace="table", rebalance=False)
         m = obs.get
         raw, errs = int(m["raw_records"]), int(m["error_records"])
         return {"raw_records": raw, "bronze_records": raw - errs, "error_records": errs,

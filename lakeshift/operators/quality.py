@@ -66,7 +66,8 @@ def positive_numeric_rule(column: str) -> DQRule:
         return F.when(c.isNull(), F.lit("0.0")).otherwise(
             F.coalesce(F.abs(c.try_cast("double")).cast("string"), c))
     return DQRule(f"positive_{column}", column,
-                  lambda c, t: _numeric(c, t) > 0, fix, severity=WARNING)
+                  lambda c, t: (_numeric(c, t) > 0) & ~F.isnan(_numeric(c, t).cast("double")),
+                  fix, severity=WARNING)
 
 
 def max_length_rule(column: str, max_len: int) -> DQRule:
@@ -78,14 +79,18 @@ def max_length_rule(column: str, max_len: int) -> DQRule:
 
 
 def value_in_set_rule(column: str, allowed: Iterable) -> DQRule:
-    """Passes when the value is one of ``allowed``; null fails."""
-    values = sorted(allowed, key=str)
+    """Passes when the value is one of ``allowed``; null fails unless None is allowed."""
+    allowed = list(allowed)
+    none_passes = any(v is None for v in allowed)
+    values = sorted((v for v in allowed if v is not None), key=str)
 
     def check(c: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.StringType) and any(not isinstance(v, str) for v in values):
             # compare text forms: an ANSI implicit cast of the text would fail the job
-            return c.isin(*[str(v) for v in values])
-        return c.isin(*values)
+            found = c.isin(*[str(v) for v in values])
+        else:
+            found = c.isin(*values)
+        return c.isNull() | found if none_passes else found
     return DQRule(f"allowed_values_{column}", column, check, severity=ERROR)
 
 
@@ -221,7 +226,7 @@ class SilverBatch:
             *[f"`{c}`" for c in self.columns],
             F.when(err, _results_array(self.rules, True)).alias(DQ_ERRORS),
             F.when(err, F.lit("rejected")).otherwise(F.lit("clean")).alias(DQ_STATUS))
-        write_table(out, path, mode, partition_by=DQ_STATUS)
+        write_table(out, path, mode, partition_by=DQ_STATUS, replace="table", rebalance=False)
         m = obs.get
         failures: dict[str, int] = {}
         for i, r in enumerate(self.rules):

@@ -339,13 +339,17 @@ def run_full_reconciliation(source: DataFrame, target: DataFrame, table_name: st
     return _finish(reduce(DataFrame.unionByName, frames), table_name, layer)
 
 
-def report_summary(report: DataFrame) -> DataFrame:
+def report_summary(report: DataFrame, table_name: str = "") -> DataFrame:
     """Per table: PASS / WARN / FAIL counts, overall status (FAIL > WARN > PASS) and
-    the summary line."""
+    the summary line. An empty report is one PASS row of zero counts for ``table_name``."""
     st = F.col("status")
     g = report.groupBy("table_name").agg(F.count_if(st == PASS).alias("passed"),
                                          F.count_if(st == WARN).alias("warned"),
                                          F.count_if(st == FAIL).alias("failed"))
+    zero = F.lit(0).cast("long")
+    none = report.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
+        F.lit(table_name).alias("table_name"), zero.alias("passed"), zero.alias("warned"), zero.alias("failed"))
+    g = g.unionByName(none)
     overall = (F.when(F.col("failed") > 0, F.lit(FAIL))
                .when(F.col("warned") > 0, F.lit(WARN)).otherwise(F.lit(PASS)))
     return g.select("table_name", "passed", "warned", "failed", overall.alias("overall_status"),

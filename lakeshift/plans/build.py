@@ -42,8 +42,8 @@ def model_views(orders: DataFrame, customers: DataFrame, products: DataFrame,
 def build_gold(spark: SparkSession, orders: DataFrame, customers: DataFrame,
                products: DataFrame, root: str, audit: Audit | None = None) -> GoldTables:
     """Materialise: the intermediate table once, then both marts from it / from the
-    staging views; the fact partitioned by ``order_date`` (dynamic overwrite, so a
-    rerun replaces only the days it contains). Returns scans of the written tables."""
+    staging views; the fact partitioned by ``order_date`` and replaced whole, so days that
+    have vanished from the source vanish from it. Returns scans of the written tables."""
     from lakeshift.sinks.write import write_table
     base = root.rstrip("/")
     so, sc, sp = stg_orders(orders), stg_customers(customers), stg_products(products)
@@ -51,7 +51,7 @@ def build_gold(spark: SparkSession, orders: DataFrame, customers: DataFrame,
     enriched = spark.read.parquet(f"{base}/int_order_enriched")
     cols = [c for c in enriched.columns if not c.startswith("_")]
     write_table(fct_daily_sales(enriched.select(*cols), audit), f"{base}/fct_daily_sales",
-                "overwrite", partition_by="order_date")
+                "overwrite", partition_by="order_date", replace="table")
     write_table(dim_customer(sc, so, audit), f"{base}/dim_customer", "overwrite")
     return GoldTables(stg_orders(orders, audit), stg_customers(customers, audit),
                       stg_products(products, audit), enriched,

@@ -53,8 +53,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh local folder is
-    created and registered, so lineage cuts and written tables always live in one place.
+    Read from the session; only when it is unset in a local session (tests) a fresh local
+    folder is created and registered, elsewhere that is an error, so lineage cuts and written tables always live in one place.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -64,6 +64,8 @@ def shared_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext handle
         sc = None
     if not d:
+        if sc is not None and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="lakeshift-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(d)

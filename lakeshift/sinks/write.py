@@ -4,7 +4,6 @@ writes a new version directory and returns it; readers switch to the new path.""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,24 +12,6 @@ from lakeshift.operators.bronze import bronze_table_schema
 from lakeshift.spec import TableSpec
 
 WRITE_MODES = ("append", "overwrite", "merge")
-# Floor for AQE's coalesced partition size during partitioned writes. It only binds when
-# total size / parallelism is below it (small outputs with many partition values, where
-# one task would otherwise write every file); at scale the advisory size governs.
-WRITE_MIN_PARTITION_SIZE = "16k"
-_MIN_PART_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-
-
-@contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "delta")
 
 
@@ -42,12 +23,17 @@ def validate_mode(mode: str) -> str:
 
 def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str = "parquet",
                 partition_by: str | Sequence[str] | None = None,
-                keys: Sequence[str] | None = None) -> str:
+                keys: Sequence[str] | None = None, replace: str = "partitions",
+                rebalance: bool = True) -> str:
     """Write ``df``. Partitioned writes are rebalanced on the partition columns first
     (AQE splits a hot partition value across tasks instead of one huge task and keeps
-    file counts bounded); with dynamic partition overwrite only the partitions present
-    in ``df`` are replaced. ``merge`` upserts on ``keys`` and returns the new path."""
+    file counts bounded); ``rebalance=False`` writes straight from the input's tasks,
+    for partition columns of one or a few values. A partitioned overwrite replaces the
+    partitions present in ``df`` (``replace="partitions"``) or everything
+    (``replace="table"``). ``merge`` upserts on ``keys`` and returns the new path."""
     validate_mode(mode)
+    if replace not in ("partitions", "table"):
+        raise ValueError(f"Invalid replace '{replace}'. Must be partitions or table.")
     if file_format not in FILE_FORMATS:
         raise ValueError(f"Unsupported file_format '{file_format}'")
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
@@ -57,16 +43,14 @@ def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str
         import uuid
         out = f"{path.rstrip('/')}__v{uuid.uuid4().hex[:12]}"
         return merge_into_path(df.sparkSession, path, df, keys, out, file_format, partition_by)
-    w = (df.hint("rebalance", *parts) if parts else df).write.mode(mode).format(file_format)
+    w = (df.hint("rebalance", *parts) if parts and rebalance else df).write.mode(mode).format(file_format)
     if file_format == "csv":
         w = w.option("header", "true")
     if parts:
         # Per write, not per session: a rerun of some days must never drop the others.
-        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
-    ctx = _session_conf(df.sparkSession, _MIN_PART_KEY, WRITE_MIN_PARTITION_SIZE) \
-        if parts else nullcontext()
-    with ctx:
-        w.save(path)
+        w = w.partitionBy(*parts).option(
+            "partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+    w.save(path)
     return path
 
 

@@ -108,15 +108,21 @@ def next_watermark(batch: DataFrame, cfg: SourceConfig,
 
 
 def land(df: DataFrame, path: str, ingestion_date: str, file_format: str = "parquet",
-         partition_column: str = "ingestion_date", mode: str = "overwrite") -> str:
+         partition_column: str = "ingestion_date", mode: str = "overwrite",
+         load_id: str | None = None) -> str:
     """Write an extracted batch to the raw zone, partitioned by ingestion date.
 
     The default replaces only this date's partition (dynamic overwrite), so rerunning a
-    day after a failure lands the same rows once; other days are untouched. Use
-    ``mode="append"`` for several loads per day."""
+    day after a failure lands the same rows once; other days are untouched. With a
+    ``load_id`` the load is a partition of its own within the date: rerunning it replaces
+    it alone, and further loads of the day add to it."""
     from lakeshift.sinks.write import write_table
     out = df.withColumn(partition_column, F.lit(ingestion_date).cast("date"))
-    return write_table(out, path, mode, file_format, partition_column)
+    parts = [partition_column]
+    if load_id is not None:
+        out = out.withColumn("load_id", F.lit(load_id))
+        parts.append("load_id")
+    return write_table(out, path, mode, file_format, parts, rebalance=False)
 
 
 def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root: str,
@@ -132,9 +138,11 @@ def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root:
         mark = watermarks.get(cfg.table.qualified_name, INITIAL_WATERMARK)
         batch = extract_incremental(spark, cfg, mark)
         path = f"{raw_root.rstrip('/')}/raw/{database}/{cfg.table.table_name}"
-        land(batch, path, ingestion_date)
+        # a load is known by the mark it starts from: the same load again replaces itself
+        load_id = f"from {mark}"
+        land(batch, path, ingestion_date, load_id=load_id)
         landed = spark.read.parquet(path).filter(
-            F.col("ingestion_date") == F.lit(ingestion_date).cast("date"))
+            (F.col("ingestion_date") == F.lit(ingestion_date).cast("date")) & (F.col("load_id") == load_id))
         frames.append(watermark_frame(landed, cfg, mark).withColumn(
             "ingestion_date", F.lit(ingestion_date).cast("date")))
     out = frames[0]
