@@ -1,9 +1,9 @@
 """Snapshot change detection (new / updated / deleted / unchanged)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeshift.operators.dedup import dedup_latest
+from lakeshift.operators.dedup import dedup_latest, duplicate_key
 
 NEW, UPDATED, DELETED, UNCHANGED = "new", "updated", "deleted", "unchanged"
 CHANGE_TYPE = "_change_type"
@@ -20,8 +20,8 @@ def detect_changes(current: DataFrame, previous: DataFrame, key: str,
     unchanged both, hashes equal (or both null) -> current row
     deleted   key only in previous         -> previous row with ``_is_deleted`` true
 
-    Each snapshot must hold one row per key; pass ``order_column`` to keep the latest
-    version per key first.
+    Each snapshot must hold one row per key: a key held twice fails the job, by either
+    strategy; pass ``order_column`` to keep the latest version per key first.
 
     ``strategy="join"`` (default): one null-safe full outer sort-merge join, each side
     shuffled once on the key, the output row taken whole from one side.
@@ -56,7 +56,10 @@ def _changes_by_join(current: DataFrame, previous: DataFrame, key: str,
                          F.lit(True).alias("c__present"))
     prev = previous.select(*[F.col(f"`{c}`").alias(f"p__{c}") for c in previous.columns],
                            F.lit(True).alias("p__present"))
-    j = cur.join(prev, F.col(f"c__{key}").eqNullSafe(F.col(f"p__{key}")), "full_outer")
+    # A struct key is never null, so null keys meet under plain equality and the check for
+    # duplicates uses the join's own exchange and sort.
+    cur, prev = _unique(cur, f"c__{key}", "c__on", key), _unique(prev, f"p__{key}", "p__on", key)
+    j = cur.join(prev, F.col("c__on") == F.col("p__on"), "full_outer")
     in_cur = F.col("c__present").isNotNull()
     in_prev = F.col("p__present").isNotNull()
     kind = _kind(in_cur, in_prev, F.col(f"c__{hash_column}"), F.col(f"p__{hash_column}"))
@@ -71,6 +74,12 @@ def _changes_by_join(current: DataFrame, previous: DataFrame, key: str,
     return j.select(*[pick(c) for c in cols], kind.alias(CHANGE_TYPE))
 
 
+def _unique(df: DataFrame, column: str, on: str, key: str) -> DataFrame:
+    n = F.count(F.lit(1)).over(Window.partitionBy(on))
+    return (df.withColumn(on, F.struct(F.col(f"`{column}`").alias("k"))).withColumn("__n", n)
+            .filter(F.when(F.col("__n") > 1, duplicate_key([key])).otherwise(F.lit(True))).drop("__n"))
+
+
 def _changes_by_group(current: DataFrame, previous: DataFrame, key: str,
                       hash_column: str) -> DataFrame:
     types = dict(current.dtypes)
@@ -88,8 +97,10 @@ def _changes_by_group(current: DataFrame, previous: DataFrame, key: str,
 
     g = (side(current, 1).unionByName(side(previous, 2)).groupBy("__k")
          .agg(F.bit_or("__side").alias("__present"),
+              F.greatest(F.count_if(F.col("__side") == 1), F.count_if(F.col("__side") == 2)).alias("__n"),
               F.first(F.when(F.col("__side") == 1, F.col("__row")), ignorenulls=True).alias("__cur"),
-              F.first(F.when(F.col("__side") == 2, F.col("__row")), ignorenulls=True).alias("__prev")))
+              F.first(F.when(F.col("__side") == 2, F.col("__row")), ignorenulls=True).alias("__prev"))
+         .filter(F.when(F.col("__n") > 1, duplicate_key([key])).otherwise(F.lit(True))))
     in_cur = (F.col("__present") % 2) == 1
     in_prev = F.col("__present") >= 2
     kind = _kind(in_cur, in_prev, F.col(f"__cur.`{hash_column}`"), F.col(f"__prev.`{hash_column}`"))

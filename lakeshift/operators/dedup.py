@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_column: str = "_ingestion_timestamp",
@@ -26,6 +26,22 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_column: str = "_inges
             .filter(F.col("__rn") == 1).drop("__rn"))
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with one row per key: the latest by ``order_by``, or, without it, ``df`` itself,
+    failing the job on a key held twice."""
+    if order_by:
+        return dedup_latest(df, keys, order_by[0], order_by[1:])
+    n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]))
+    return (df.withColumn("__n", n)
+            .filter(F.when(F.col("__n") > 1, duplicate_key(keys)).otherwise(F.lit(True))).drop("__n"))
+
+
+def duplicate_key(keys: Sequence[str]) -> Column:
+    """A boolean that fails the job when it is evaluated."""
+    return F.raise_error(F.lit(f"more than one row for a key ({', '.join(keys)}); "
+                               "give order columns to keep the latest")).cast("boolean")
+
+
 def dedup_removed(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows removed, as a one-row frame (two counts, no join)."""
     return (before.select(F.lit(1).alias("s")).unionByName(after.select(F.lit(-1).alias("s")))

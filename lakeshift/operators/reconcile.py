@@ -79,14 +79,16 @@ def _sum_type(source: DataFrame, target: DataFrame, c: str) -> T.DataType:
 def profile(source: DataFrame, target: DataFrame, numeric: Sequence[str] = (),
             nullable: Sequence[str] = ()) -> DataFrame:
     """One row: rows per side, per-column sums (null and absent -> 0; decimal and
-    integer sums are exact) and per-column null counts (absent column -> all null)."""
+    integer sums are exact), per-column counts of values that are no numbers
+    (``junk``, both sides) and per-column null counts (absent column -> all null)."""
     def side(df: DataFrame, tag: int) -> DataFrame:
         cols = [F.lit(tag).alias("__side")]
         for i, c in enumerate(numeric):
             t = _sum_type(source, target, c)
-            # try_cast: a non-numeric value counts as 0 instead of failing the job
+            # try_cast: a value that is no number is counted instead of failing the job
             v = F.col(f"`{c}`").try_cast(t) if _has(df, c) else F.lit(None).cast(t)
-            cols.append(v.alias(f"__n{i}"))
+            bad = F.col(f"`{c}`").isNotNull() & v.isNull() if _has(df, c) else F.lit(False)
+            cols += [v.alias(f"__n{i}"), bad.alias(f"__j{i}")]
         for i, c in enumerate(nullable):
             v = F.col(f"`{c}`").isNull() if _has(df, c) else F.lit(True)
             cols.append(v.alias(f"__z{i}"))
@@ -99,7 +101,8 @@ def profile(source: DataFrame, target: DataFrame, numeric: Sequence[str] = (),
         t = _sum_type(source, target, c)
         zero = F.lit(0).cast(t)
         aggs += [F.coalesce(F.sum(F.when(s1, F.col(f"__n{i}"))), zero).alias(f"src_sum{i}"),
-                 F.coalesce(F.sum(F.when(s2, F.col(f"__n{i}"))), zero).alias(f"tgt_sum{i}")]
+                 F.coalesce(F.sum(F.when(s2, F.col(f"__n{i}"))), zero).alias(f"tgt_sum{i}"),
+                 F.count_if(F.col(f"__j{i}")).alias(f"junk{i}")]
     for i, _ in enumerate(nullable):
         aggs += [F.count_if(s1 & F.col(f"__z{i}")).alias(f"src_null{i}"),
                  F.count_if(s2 & F.col(f"__z{i}")).alias(f"tgt_null{i}")]
@@ -108,8 +111,7 @@ def profile(source: DataFrame, target: DataFrame, numeric: Sequence[str] = (),
 
 # ── set comparison via flags ────────────────────────────────────────────────
 def value_flags(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """``v, f, n1, n2`` per distinct value (null included): f = bit_or of 1 (source)
-    and 2 (target); n1 / n2 = rows per side."""
+    """``v, f`` per distinct value (null included): f = bit_or of 1 (source) and 2 (target)."""
     def side(df, tag):
         v = F.col(f"`{column}`") if _has(df, column) else F.lit(None)
         return df.select(v.alias("v"), F.lit(tag).alias("f"))
@@ -120,9 +122,7 @@ def value_flags(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
         src = src.select(F.col("v").cast(common).alias("v"), "f")
         tgt = tgt.select(F.col("v").cast(common).alias("v"), "f")
     return (src.unionByName(tgt).groupBy("v")
-            .agg(F.bit_or("f").alias("f"),
-                 F.count_if(F.col("f") == 1).alias("n1"),
-                 F.count_if(F.col("f") == 2).alias("n2")))
+            .agg(F.bit_or("f").alias("f")))
 
 
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -147,7 +147,7 @@ def _set_summary(flags: DataFrame, sample_flag: int, sample_n: int) -> DataFrame
     nn = F.col("v").isNotNull()
     f = F.col("f")
     summary = flags.agg(
-        F.sum("n1").alias("src_rows"), F.sum("n2").alias("tgt_rows"),
+        F.count_if((f % 2) == 1).alias("src_values"), F.count_if(f >= 2).alias("tgt_values"),
         F.count_if(nn & ((f % 2) == 1)).alias("src_distinct"),
         F.count_if(nn & (f >= 2)).alias("tgt_distinct"),
         F.count_if(nn & (f == 1)).alias("only_src"),
@@ -155,9 +155,11 @@ def _set_summary(flags: DataFrame, sample_flag: int, sample_n: int) -> DataFrame
     # Smallest n values of each one-sided set in one pass: row_number() <= n per flag
     # lets Spark keep at most n rows per flag in every map task (WindowGroupLimit)
     # before the tiny exchange, so the collected lists are bounded by n.
+    # Both passes consume the same columns of ``flags`` and the sample's filter stays above
+    # its aggregation, so Spark scans and shuffles the values once and reuses the exchange.
     other = 3 - sample_flag
     w = Window.partitionBy("f").orderBy("v")
-    top = (flags.filter(nn & f.isin(sample_flag, other)).select("v", "f")
+    top = (flags.filter(F.when(nn, f).isin(sample_flag, other))
            .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample_n))
     samples = top.agg(
         F.sort_array(F.collect_list(F.when(f == sample_flag, F.col("v")))).alias("sample"),
@@ -190,11 +192,13 @@ def row_count_check_row(src: Column, tgt: Column, table_name: str, tolerance_pct
     return _check_row(f"row_count_{table_name}", status, src, tgt, d, None, None, msg, order)
 
 
-def _sum_check_row(column: str, table_name: str, s: Column, t: Column, tolerance: float,
-                   order: int) -> Column:
+def _sum_check_row(column: str, table_name: str, s: Column, t: Column, junk: Column,
+                   tolerance: float, order: int) -> Column:
     diff = F.abs(s - t)
-    ok = diff <= F.lit(tolerance)
-    msg = F.when(ok, F.concat(F.lit(f"Column SUM matches: {column} = "), fmt_fixed(s, 4))) \
+    ok = (junk == 0) & (diff <= F.lit(tolerance))
+    msg = F.when(junk > 0, F.concat(F.lit(f"Column SUM not comparable: {column} has "), junk.cast("string"),
+                                    F.lit(" values that are no numbers"))) \
+        .when(ok, F.concat(F.lit(f"Column SUM matches: {column} = "), fmt_fixed(s, 4))) \
         .otherwise(F.concat(F.lit(f"Column SUM mismatch: {column} — source="), fmt_fixed(s, 4),
                             F.lit(", target="), fmt_fixed(t, 4), F.lit(", diff="),
                             fmt_fixed(diff, 4)))
@@ -249,7 +253,7 @@ def _pk_check_frame(source: DataFrame, target: DataFrame, pk: str, table_name: s
                     order: int, sample_n: int = 3, require_rows: bool = False) -> DataFrame:
     s = _set_summary(value_flags(source, target, pk), 1, sample_n)
     if require_rows:
-        s = s.filter((F.col("src_rows") > 0) & (F.col("tgt_rows") > 0))
+        s = s.filter((F.col("src_values") > 0) & (F.col("tgt_values") > 0))
     quote = _is_text(source, pk) or _is_text(target, pk)
     missing, extra = F.col("only_src"), F.col("only_tgt")
     status = F.when(missing == 0, F.lit(PASS)).otherwise(F.lit(FAIL))
@@ -275,10 +279,10 @@ def check_row_count(source: DataFrame, target: DataFrame, table_name: str,
 
 def check_column_sum(source: DataFrame, target: DataFrame, column: str, table_name: str,
                      tolerance: float = 0.01, layer: str = "silver") -> DataFrame:
-    """SUM with null -> 0; PASS iff |diff| <= tolerance."""
+    """SUM with null -> 0; PASS iff |diff| <= tolerance and every value is a number."""
     p = profile(source, target, numeric=[column])
     return _finish(p.select(_sum_check_row(column, table_name, F.col("src_sum0"),
-                                           F.col("tgt_sum0"), tolerance, 0).alias("r"))
+                                           F.col("tgt_sum0"), F.col("junk0"), tolerance, 0).alias("r"))
                    .select("r.*"), table_name, layer)
 
 
@@ -325,7 +329,7 @@ def run_full_reconciliation(source: DataFrame, target: DataFrame, table_name: st
                                          require_rows=True))
     for i, c in enumerate(numeric_columns):
         order += 1
-        rows.append(_sum_check_row(c, table_name, F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}"),
+        rows.append(_sum_check_row(c, table_name, F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}"), F.col(f"junk{i}"),
                                    0.01, order))
     for i, c in enumerate(nullable_columns):
         order += 1
@@ -383,21 +387,24 @@ def reconcile_row_counts(source: DataFrame, target: DataFrame,
 
 def reconcile_column_checksums(source: DataFrame, target: DataFrame,
                                numeric_columns: Sequence[str]) -> DataFrame:
-    """Per column: sums (nulls skipped), |diff| rounded to 4 dp; passes iff diff < 0.01."""
+    """Per column: sums (nulls skipped), |diff| rounded to 4 dp; passes iff diff < 0.01 and
+    no value of either side fails to be a number."""
     numeric_columns = list(numeric_columns)
     p = profile(source, target, numeric=numeric_columns)
     rows = []
     for i, c in enumerate(numeric_columns):
         s, t = F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}")
         diff = F.abs(s - t)
-        ok = diff < F.lit(0.01)
+        junk = F.col(f"junk{i}")
+        ok = (junk == 0) & (diff < F.lit(0.01))
         rows.append(F.struct(
             F.lit(c).alias("column"),
             F.round(s.cast("double"), 4).alias("source_sum"),
             F.round(t.cast("double"), 4).alias("target_sum"),
             F.round(diff.cast("double"), 4).alias("difference"),
             ok.alias("passed"),
-            F.when(ok, F.lit("PASS")).otherwise(F.concat(
+            F.when(ok, F.lit("PASS")).when(junk > 0, F.concat(
+                F.lit("FAIL: "), junk.cast("string"), F.lit(" values are no numbers"))).otherwise(F.concat(
                 F.lit("FAIL: sum mismatch ("), fmt_fixed(diff, 4), F.lit(" difference)")))
             .alias("message")))
     return p.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -14,9 +14,9 @@ li_first AS (
 ),
 orders_src AS (
   SELECT
-    CAST(o.o_orderkey AS INTEGER) AS OrderID,
-    CAST(o.o_custkey AS INTEGER) AS CustomerID,
-    CAST(l.first_part AS INTEGER) AS ProductID,
+    CAST(o.o_orderkey AS BIGINT) AS OrderID,
+    CAST(o.o_custkey AS BIGINT) AS CustomerID,
+    CAST(l.first_part AS BIGINT) AS ProductID,
     CAST(o.o_orderdate AS DATE) AS OrderDate,
     CAST(l.first_ship AS DATE) AS ShipDate,
     CASE WHEN o.o_orderkey % 37 = 0 THEN NULL
@@ -38,7 +38,7 @@ orders_src AS (
 ),
 customers_src AS (
   SELECT
-    CAST(c.c_custkey AS INTEGER) AS CustomerID,
+    CAST(c.c_custkey AS BIGINT) AS CustomerID,
     '  ' || c.c_name || ' ' AS CustomerName,
     CASE WHEN c.c_custkey % 10 = 0 THEN NULL
          WHEN c.c_custkey % 10 = 5 THEN '  '
@@ -60,7 +60,7 @@ customers_src AS (
 ),
 products_src AS (
   SELECT
-    CAST(p_partkey AS INTEGER) AS ProductID,
+    CAST(p_partkey AS BIGINT) AS ProductID,
     ' ' || p_name || '  ' AS ProductName,
     'prod-' || CAST(p_partkey AS VARCHAR) AS ProductCode,
     CAST(p_size % 5 + 1 AS INTEGER) AS CategoryID,
@@ -195,8 +195,8 @@ LANDED_FILE = "raw/LegacyDB/Customers/part-0000.parquet"
 INT_GUARD = r"regexp_matches({x}, '^\s*[+-]?[0-9]+\s*$')"
 
 
-def _int_sql(x):
-    return f"(CASE WHEN {INT_GUARD.format(x=x)} THEN TRY_CAST(trim({x}) AS INTEGER) END)"
+def _int_sql(x, sql_type="INTEGER"):
+    return f"(CASE WHEN {INT_GUARD.format(x=x)} THEN TRY_CAST(trim({x}) AS {sql_type}) END)"
 
 
 SILVER = rf"""
@@ -292,7 +292,7 @@ LANDED = rf"""
 ),
 cust_typed AS (
   SELECT *,
-    {_int_sql('CustomerID')} AS t_id,
+    {_int_sql('CustomerID', 'BIGINT')} AS t_id,
     TRY_CAST(CreatedDate AS TIMESTAMP) AS t_created,
     TRY_CAST(UpdatedDate AS TIMESTAMP) AS t_updated,
     {_int_sql('AccountManagerID')} AS t_mgr
@@ -305,7 +305,7 @@ cust_enf AS (
     CustomerStatus AS e_CustomerStatus, t_created AS e_CreatedDate, t_updated AS e_UpdatedDate,
     RegionCode AS e_RegionCode, t_mgr AS e_AccountManagerID,
     [CASE WHEN CustomerID IS NULL THEN 'Required column ''CustomerID'' is null in record'
-          WHEN t_id IS NULL THEN 'Cannot coerce column ''CustomerID'' value ''' || CustomerID || ''' to int' END,
+          WHEN t_id IS NULL THEN 'Cannot coerce column ''CustomerID'' value ''' || CustomerID || ''' to long' END,
      CASE WHEN CustomerName IS NULL THEN 'Required column ''CustomerName'' is null in record' END,
      NULL,
      CASE WHEN CustomerStatus IS NULL THEN 'Required column ''CustomerStatus'' is null in record' END,
@@ -354,7 +354,7 @@ BRONZE = {
 ),
 prod_typed AS (
   SELECT ProductID AS raw_id,
-         {_int_sql('ProductID')} AS t_ProductID, ProductName AS t_ProductName,
+         {_int_sql('ProductID', 'BIGINT')} AS t_ProductID, ProductName AS t_ProductName,
          ProductCode AS t_ProductCode, {_int_sql('CategoryID')} AS t_CategoryID,
          TRY_CAST(UnitPrice AS DECIMAL(18,2)) AS t_UnitPrice, {_int_sql('StockQuantity')} AS t_StockQuantity,
          lower(IsActive) IN ('true', '1', 'yes') AS t_IsActive,
@@ -443,6 +443,8 @@ SELECT {DQ_ID},
         for i, (n, c, s) in enumerate(_RULES)),
     "dq_clean": SILVER + "SELECT * FROM dq_clean",
     "dq_split_written": SILVER + "SELECT * FROM dq_clean",
+    "dq_split_rerun": SILVER + f"""
+SELECT {DQ_ID}, CASE WHEN has_error THEN 'rejected' ELSE 'clean' END AS _dq_status FROM dq""",
     "dq_rejected": SILVER + f"""
 SELECT {DQ_ID}, OrderStatus, 'not_null_OrderStatus' AS rule, 'OrderStatus' AS "column", v1 AS value
 FROM dq WHERE NOT p1
@@ -694,6 +696,15 @@ _WM = [("Orders", "OrderDate", "orders", "DATE"),
 EXTRACT = {
     "extract_full": "SELECT * FROM orders_src",
     "extract_incremental": "SELECT * FROM orders_src WHERE OrderDate > DATE '1998-06-30'",
+    "extract_incremental_customers": """
+SELECT * FROM customers_src WHERE coalesce(UpdatedDate, CreatedDate) > TIMESTAMP '2022-06-01 00:00:00'""",
+    "ingest_suite_two_loads": "SELECT * FROM orders_src WHERE OrderDate IS NOT NULL",
+    "merge_partitions_moved": """
+, m AS (SELECT *, OrderStatus IS NOT DISTINCT FROM 'pending ' AS p, month(OrderDate) AS mon FROM orders_src)
+SELECT OrderID, CAST(TotalAmount + CASE WHEN p THEN 2 ELSE 0 END AS DECIMAL(18,2)) AS TotalAmount,
+       lpad(CAST(CASE WHEN p THEN mon % 12 + 1 ELSE mon END AS VARCHAR), 2, '0') AS slot,
+       CASE WHEN p THEN true END AS moved, CASE WHEN p THEN 2 END AS seq
+FROM m""",
     "watermark_advance": "\nUNION ALL\n".join(
         _wm_sql(t, e, m, s).replace("{t}", ty) for (t, e, s, ty), m in
         zip(_WM, ["1998-06-30", "2022-06-01 00:00:00", "2021-09-01 00:00:00"])),

@@ -203,7 +203,7 @@ def q_dq_rule_counts(spark, d):
 
 def silver_orders(spark, d):
     """Silver Orders: clean rows of the bronze history, latest version per order."""
-    return dedup_latest(_silver_batch(spark, d).clean, ["OrderID"], "_ingestion_timestamp")
+    return dedup_latest(_silver_batch(spark, d).clean, ["OrderID"], "_ingestion_timestamp", ["_record_hash"])
 
 
 def q_silver_stats(spark, d):
@@ -513,3 +513,51 @@ def q_bronze_split_written(spark, d):
 
 
 QUERIES["bronze_split_written"] = q_bronze_split_written
+
+
+def q_dq_split_rerun(spark, d):
+    """Both sides of the split table after a second, different batch replaced the first."""
+    path = scratch_path(spark, "silver/orders_dq_rerun")
+    Q.process_batch(A.orders_dq_input(spark, d).withColumn("OrderStatus", F.lit(None).cast("string")),
+                    silver_order_rules()).write_split(path)
+    _silver_batch(spark, d).write_split(path)
+    return spark.read.parquet(path).select(*DQ_ID, Q.DQ_STATUS)
+
+
+def q_extract_incremental_customers(spark, d):
+    cfg = _landed_source(spark, d, CUSTOMERS, A.customers_source(spark, d))
+    return X.extract_incremental(spark, cfg, CUSTOMERS_MARK)
+
+
+def q_ingest_suite_two_loads(spark, d):
+    """Orders landed by two loads of one day, the second from the mark the first stored."""
+    root = scratch_path(spark, "landing")
+    orders = A.orders_source(spark, d)
+    for batch in (orders.filter(F.col("OrderDate") < F.lit("1998-01-01").cast("date")), orders):
+        cfg = X.SourceConfig(ORDERS, "dataframe", dataframe=batch)
+        X.ingest_suite(spark, [cfg], root, SOURCE_DB, INGESTION_DATE, marks_path=f"{root}/marks")
+    return spark.read.parquet(f"{root}/raw/{SOURCE_DB}/Orders").select(*orders.columns)
+
+
+def q_merge_partitions_moved(spark, d):
+    """Pending orders move to the next month's text partition, gain columns and come twice."""
+    path = scratch_path(spark, "silver/orders_by_slot")
+    orders = A.orders_source(spark, d)
+    slot = lambda m: F.lpad(m.cast("string"), 2, "0").alias("slot")
+    month = F.month("OrderDate")
+    W.write_table(orders.select("OrderID", "TotalAmount", slot(month)), path, "overwrite", partition_by="slot")
+    pending = orders.filter(F.col("OrderStatus") == "pending ")
+    updates = pending.select(
+        "OrderID", "TotalAmount", slot(month % 12 + 1), F.lit(True).alias("moved"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("seq"))
+    updates = updates.withColumn("TotalAmount", (F.col("TotalAmount") + F.col("seq")).cast("decimal(18,2)"))
+    W.merge_partitions(spark, path, updates, ["OrderID"], "slot", order_by=["seq"])
+    return W.read_table(spark, path, like=updates, partition_by=["slot"])
+
+
+QUERIES.update({
+    "dq_split_rerun": q_dq_split_rerun,
+    "extract_incremental_customers": q_extract_incremental_customers,
+    "ingest_suite_two_loads": q_ingest_suite_two_loads,
+    "merge_partitions_moved": q_merge_partitions_moved,
+})

@@ -21,12 +21,7 @@ SCALE_CONF = {
 }
 
 
-# Local-mode sizing: data here is small, so AQE would coalesce a shuffle to one task;
-# a floor of 16 KB keeps partitioned writes (one file per partition value and task)
-# spread over the cores. On a cluster use parallelismFirst=false with the advisory
-# size above, which governs there.
 LOCAL_CONF = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     # Listing a table with thousands of partition folders: the default launches one
     # listing task per folder; a few dozen tasks each listing many folders is far cheaper.
     # On a cluster, set it to about the number of executor cores.

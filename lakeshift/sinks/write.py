@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeshift.operators.changes import CHANGE_TYPE, UNCHANGED
 from lakeshift.operators.bronze import bronze_table_schema
+from lakeshift.operators.dedup import duplicate_key, one_per_key
 from lakeshift.spec import TableSpec
 
 WRITE_MODES = ("append", "overwrite", "merge")
-FILE_FORMATS = ("parquet", "orc", "csv", "json", "delta")
+FILE_FORMATS = ("parquet", "orc", "csv", "json")
 
 
 def validate_mode(mode: str) -> str:
@@ -42,7 +43,7 @@ def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str
             raise ValueError("merge needs key columns")
         import uuid
         out = f"{path.rstrip('/')}__v{uuid.uuid4().hex[:12]}"
-        return merge_into_path(df.sparkSession, path, df, keys, out, file_format, partition_by)
+        return merge_into_path(df.sparkSession, path, df, keys, out, file_format, parts)
     w = (df.hint("rebalance", *parts) if parts and rebalance else df).write.mode(mode).format(file_format)
     if file_format == "csv":
         w = w.option("header", "true")
@@ -54,20 +55,48 @@ def write_table(df: DataFrame, path: str, mode: str = "append", file_format: str
     return path
 
 
+def read_table(spark: SparkSession, path: str, file_format: str = "parquet",
+               like: DataFrame | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The table that ``write_table`` wrote. Partition columns take the types they have in
+    ``like`` instead of inferred ones (``"01"`` stays text), columns that csv holds as text too."""
+    reader = spark.read.format(file_format)
+    if file_format == "csv":
+        reader = reader.option("header", "true")
+    elif file_format != "json":
+        reader = reader.option("mergeSchema", "true")
+    found = reader.load(path)
+    if like is None:
+        return found
+    types = {f.name: f.dataType for f in like.schema.fields
+             if f.name in partition_by or file_format in ("csv", "json")}
+    return reader.schema(T.StructType([T.StructField(f.name, types.get(f.name, f.dataType))
+                                       for f in found.schema.fields])).load(path)
+
+
+def _wider(a: DataFrame, b: DataFrame) -> dict[str, T.DataType]:
+    """The type that holds a column of both frames: what a union of the two gives it."""
+    both = a.limit(0).unionByName(b.limit(0), allowMissingColumns=True)
+    return {f.name: f.dataType for f in both.schema.fields}
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           strategy: str = "join") -> DataFrame:
+           strategy: str = "join", order_by: Sequence[str] = ()) -> DataFrame:
     """Target rows whose key is not in ``updates``, plus all of ``updates``
-    (update + insert); keys compare null-safe.
+    (update + insert); keys compare null-safe. Of several updates for a key the latest by
+    ``order_by`` counts; without it they fail the job. A column that only one side has is
+    null for the other's rows, and one that differs in type takes the wider type.
 
     ``strategy="join"``: one anti join on the keys, then a union.
     ``strategy="group"``: union both tagged by side and keep, per key, the update row
     if there is one — no shuffle when both tables are bucketed by the keys (the union
-    keeps the bucket partitioning). Both sides must hold one row per key (a table
-    keyed by its primary key)."""
+    keeps the bucket partitioning). The target must hold one row per key (a table
+    keyed by its primary key); here too a key held twice fails the job."""
     keys = list(keys)
     if strategy == "group":
+        if order_by:
+            updates = one_per_key(updates, keys, order_by)
         cols = list(target.columns) + [c for c in updates.columns if c not in target.columns]
-        types = {**dict(target.dtypes), **dict(updates.dtypes)}
+        types = _wider(target, updates)
 
         def side(df, tag):
             row = F.struct(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None))
@@ -78,10 +107,13 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
         g = (side(target, 1).unionByName(side(updates, 2))
              .groupBy(*[f"__k{i}" for i in range(len(keys))])
              .agg(F.first(F.when(F.col("__side") == 2, F.col("__row")), ignorenulls=True).alias("u"),
-                  F.first(F.when(F.col("__side") == 1, F.col("__row")), ignorenulls=True).alias("t")))
+                  F.first(F.when(F.col("__side") == 1, F.col("__row")), ignorenulls=True).alias("t"),
+                  F.greatest(F.count_if(F.col("__side") == 1), F.count_if(F.col("__side") == 2)).alias("n"))
+             .filter(F.when(F.col("n") > 1, duplicate_key(keys)).otherwise(F.lit(True))))
         return g.select(F.coalesce(F.col("u"), F.col("t")).alias("r")).select("r.*")
     if strategy != "join":
         raise ValueError("strategy must be 'join' or 'group'")
+    updates = one_per_key(updates, keys, order_by)
     upd_keys = updates.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
     kept = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
@@ -110,14 +142,30 @@ def merge_into_path(spark: SparkSession, target_path: str, updates: DataFrame,
                     strategy: str = "join") -> str:
     """Upsert ``updates`` into the table at ``target_path``, writing the merged table
     to ``out_path`` (a new version). Returns ``out_path``."""
-    target = spark.read.format(file_format).load(target_path)
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    target = read_table(spark, target_path, file_format, updates, parts)
     merged = upsert(target, updates, keys, strategy)
-    return write_table(merged, out_path, "overwrite", file_format, partition_by)
+    return write_table(merged, out_path, "overwrite", file_format, parts)
 
 
 def append_evolving(df: DataFrame, path: str, file_format: str = "parquet",
                     partition_by: str | Sequence[str] | None = None) -> str:
-    """Append a batch whose schema may add columns; readers use ``read_evolving``."""
+    """Append a batch whose schema may add columns; readers use ``read_evolving``. A column
+    whose type differs from the table's is refused before anything is written: later reads
+    of the whole table would fail."""
+    from pyspark.errors import AnalysisException
+    try:
+        have = {f.name: f.dataType for f in read_table(df.sparkSession, path, file_format).schema.fields}
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        have = {}
+    if file_format in ("parquet", "orc"):
+        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        clash = [f"{f.name}: {have[f.name].simpleString()} / {f.dataType.simpleString()}" for f in df.schema.fields
+                 if f.name in have and f.name not in parts and have[f.name] != f.dataType]
+        if clash:
+            raise ValueError(f"column types differ from the table's: {', '.join(clash)}")
     return write_table(df, path, "append", file_format, partition_by)
 
 
@@ -148,50 +196,77 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: str | Sequence[str],
-                     file_format: str = "parquet", max_listed: int = 10000,
-                     strategy: str = "join") -> str:
+                     file_format: str = "parquet", strategy: str = "join",
+                     order_by: Sequence[str] = ()) -> str:
     """Upsert ``updates`` into a partitioned table *in place*, rewriting only the
-    partitions the updates touch (dynamic partition overwrite).
-
-    The touched partition values are listed with a bounded collect (at most
-    ``max_listed``) and become a literal partition filter, so only those directories
-    are scanned; beyond the bound an exact left-semi join on the partition columns
-    selects the same rows. A row's partition value must not change between versions
-    (e.g. partitioned by order date, keyed by order id). Returns ``target_path``.
+    partitions that hold an old or a new version of an updated row (dynamic partition
+    overwrite); a row may change its partition. New columns are kept, partition columns
+    have the types they have in ``updates``, several updates for a key are settled as in
+    ``upsert``. Other columns keep the type of the files that stay as they are; updates of a
+    wider type are refused. Returns ``target_path``.
+
+    The touched partitions are a small written table, joined by plain equality so that
+    Spark prunes folders at run time. Partitions that lost all their rows are removed
+    last; a run that dies before that is mended by running the same merge again.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    # The change set is read twice (touched partitions, then the merge): compute it once.
-    updates = updates.persist()
-    try:
-        return _merge_partitions(spark, target_path, updates, keys, parts, file_format,
-                                 max_listed, strategy)
-    finally:
-        updates.unpersist()
-
-
-def _merge_partitions(spark, target_path, updates, keys, parts, file_format, max_listed,
-                      strategy="join"):
-    touched = updates.select(*parts).distinct()
-    listed = touched.limit(max_listed + 1).collect()
-    target = spark.read.format(file_format).load(target_path)
-    if len(listed) <= max_listed:
-        cond = F.lit(False)
-        for row in listed:
-            match = F.lit(True)
-            for c in parts:
-                v = row[c]
-                match = match & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-            cond = cond | match
-        scoped = target.filter(cond)
-    else:
-        t = touched.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(parts)])
-        on = None
-        for i, c in enumerate(parts):
-            e = F.col(c).eqNullSafe(F.col(f"__p{i}"))
-            on = e if on is None else on & e
-        scoped = target.join(t, on, "left_semi")
-    merged = upsert(scoped, updates, keys, strategy).select(*target.columns)
-    return write_table(merged, target_path, "overwrite", file_format, parts)
+    keys = list(keys)
+    target = read_table(spark, target_path, file_format, updates, parts)
+    updates = materialize(_as_stored(one_per_key(updates, keys, order_by), target), "merge-updates")
+    upd_keys = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
+    old = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
+    touched = materialize(old.unionByName(updates.select(*parts)).distinct()
+                          .withColumn("__open", _any_null(parts).cast("int")), "merge-touched")
+    merged = upsert(_in_partitions(target, touched, parts), updates, keys, strategy)
+    write_table(merged, target_path, "overwrite", file_format, parts)
+    _drop_left(spark, read_table(spark, target_path, file_format, updates, parts), updates, touched,
+               keys, parts)
+    return target_path
+
+
+def _as_stored(updates: DataFrame, target: DataFrame) -> DataFrame:
+    wider = _wider(target, updates)
+    have = {f.name: f.dataType for f in target.schema.fields}
+    clash = [f"{c}: {t.simpleString()} / {wider[c].simpleString()}" for c, t in have.items() if wider[c] != t]
+    if clash:
+        raise ValueError(f"column types wider than the table's: {', '.join(clash)}")
+    return updates.select(*[F.col(f"`{c}`").cast(have[c]).alias(c) if c in have else F.col(f"`{c}`")
+                            for c in updates.columns])
+
+
+def _any_null(parts: Sequence[str]):
+    null = F.lit(False)
+    for c in parts:
+        null = null | F.col(f"`{c}`").isNull()
+    return null
+
+
+def _in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the touched partitions; those with a null value apart."""
+    names = [f"__p{i}" for i in range(len(parts))]
+    listed = touched.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(parts, names)], "__open")
+    equal = same = F.lit(True)
+    for c, n in zip(parts, names):
+        equal = equal & (target[f"`{c}`"] == F.col(n))
+        same = same & target[f"`{c}`"].eqNullSafe(F.col(n))
+    return (target.join(listed.filter("__open = 0"), equal, "left_semi")
+            .unionByName(target.filter(_any_null(parts)).join(listed.filter("__open = 1"), same, "left_semi")))
+
+
+def _drop_left(spark: SparkSession, target: DataFrame, updates: DataFrame, touched: DataFrame,
+               keys: Sequence[str], parts: Sequence[str]) -> None:
+    """Remove the folders of partitions from which every row moved away: an overwrite by
+    partitions leaves them. They are those still holding an old version of a moved row."""
+    new = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
+                         F.struct(*parts).alias("__new"))
+    there = target.withColumn("__file", F.col("_metadata.file_path"))
+    left = (_in_partitions(there, touched, parts).join(new, _null_safe_on(keys, "__k"))
+            .filter(~F.struct(*parts).eqNullSafe(F.col("__new")))
+            .select(F.regexp_replace("__file", "/[^/]*$", "").alias("folder")).distinct())
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for row in left.toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def bronze_ddl(spec: TableSpec, location: str, database: str = "bronze",

@@ -55,9 +55,9 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = (F.col("o_totalprice").cast("decimal(18,2)")
               * F.lit("0.005").cast("decimal(4,3)")).cast("decimal(18,2)")
     return (o.join(li, "o_orderkey", "left")
-            .select(k.cast("int").alias("OrderID"),
-                    F.col("o_custkey").cast("int").alias("CustomerID"),
-                    F.col("first_part").cast("int").alias("ProductID"),
+            .select(k.cast("long").alias("OrderID"),
+                    F.col("o_custkey").cast("long").alias("CustomerID"),
+                    F.col("first_part").cast("long").alias("ProductID"),
                     F.col("o_orderdate").cast("date").alias("OrderDate"),
                     F.col("first_ship").cast("date").alias("ShipDate"),
                     status.alias("OrderStatus"),
@@ -88,7 +88,7 @@ def customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_add("DAY", (k % 200).cast("int"), created))
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
-            .select(k.cast("int").alias("CustomerID"),
+            .select(k.cast("long").alias("CustomerID"),
                     F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("CustomerName"),
                     email.alias("CustomerEmail"),
                     status.alias("CustomerStatus"),
@@ -102,7 +102,7 @@ def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     k = F.col("p_partkey")
     return p.select(
-        k.cast("int").alias("ProductID"),
+        k.cast("long").alias("ProductID"),
         F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("ProductName"),
         F.concat(F.lit("prod-"), k.cast("string")).alias("ProductCode"),
         (F.col("p_size") % 5 + 1).cast("int").alias("CategoryID"),

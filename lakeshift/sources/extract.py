@@ -36,6 +36,10 @@ class SourceConfig:
     def incremental_expr(self) -> str | None:
         return self.incremental or self.table.incremental
 
+    @property
+    def incremental_columns(self) -> tuple[str, ...]:
+        return () if self.incremental else self.table.incremental_columns
+
 
 def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     if cfg.kind == "dataframe":
@@ -83,7 +87,15 @@ def extract_incremental(spark: SparkSession, cfg: SourceConfig,
     if watermark is None:
         return df
     e = F.expr(cfg.incremental_expr)
-    return df.filter(e > _typed_mark(df, e, watermark))
+    mark = _typed_mark(df, e, watermark)
+    if not cfg.incremental_columns:
+        return df.filter(e > mark)
+    # a > m OR (a IS NULL AND (b > m OR ...)): the first non-null column passes the mark
+    passes = F.lit(False)
+    for i, name in enumerate(reversed(cfg.incremental_columns)):
+        c = F.col(f"`{name}`")
+        passes = c > mark if i == 0 else (c > mark) | (c.isNull() & passes)
+    return df.filter(passes)
 
 
 def watermark_frame(batch: DataFrame, cfg: SourceConfig,
@@ -127,12 +139,19 @@ def land(df: DataFrame, path: str, ingestion_date: str, file_format: str = "parq
 
 def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root: str,
                  database: str, ingestion_date: str,
-                 watermarks: dict[str, str] | None = None) -> DataFrame:
+                 watermarks: dict[str, str] | None = None,
+                 marks_path: str | None = None) -> DataFrame:
     """For each configured table: incremental extract from its stored mark (default the
     initial mark), landed as Parquet under ``raw/<database>/<table>`` partitioned by
     ``ingestion_date``. Returns one row per table read back from what was landed:
-    table, rows landed, new watermark. The loop is over table configs, not rows."""
-    watermarks = watermarks or {}
+    table, rows landed, new watermark. The loop is over table configs, not rows.
+
+    With ``marks_path`` the marks come from the table there and the new ones, taken from
+    the landed rows only, are added to it after the data is written: a run that dies in
+    between starts from the old marks again and replaces what it had landed."""
+    watermarks = dict(watermarks or {})
+    if marks_path is not None:
+        watermarks = read_marks(spark, marks_path) | watermarks
     frames = []
     for cfg in configs:
         mark = watermarks.get(cfg.table.qualified_name, INITIAL_WATERMARK)
@@ -148,4 +167,37 @@ def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out
+    return out if marks_path is None else store_marks(out, marks_path)
+
+
+MARKS_RUN = "run"
+
+
+def _marks_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The mark table at ``path``, or None before its first run."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def read_marks(spark: SparkSession, path: str) -> dict[str, str]:
+    """Latest stored mark per table: one row for each configured table."""
+    marks = _marks_table(spark, path)
+    if marks is None:
+        return {}
+    latest = marks.groupBy("table_name").agg(F.max_by("new_watermark", MARKS_RUN).alias("mark"))
+    return {r.table_name: r.mark for r in latest.collect() if r.mark is not None}
+
+
+def store_marks(marks: DataFrame, path: str) -> DataFrame:
+    """Add one run's marks (rows of ``watermark_frame``) to the mark table at ``path`` as a
+    partition of its own and return them as stored."""
+    spark = marks.sparkSession
+    before = _marks_table(spark, path)
+    run = 1 if before is None else (before.agg(F.max(MARKS_RUN)).first()[0] or 0) + 1
+    marks.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{MARKS_RUN}={run}")
+    return spark.read.schema(marks.schema).parquet(f"{path.rstrip('/')}/{MARKS_RUN}={run}")

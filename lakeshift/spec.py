@@ -53,6 +53,9 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...] = field(default_factory=tuple)
     primary_key: tuple[str, ...] = ()
     incremental: str | None = None
+    #: Columns whose first non-null value is ``incremental``; the extract then filters
+    #: column by column, which reaches the scan where a ``coalesce`` does not.
+    incremental_columns: tuple[str, ...] = ()
 
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
@@ -82,18 +85,19 @@ C = ColumnSpec
 
 CUSTOMERS = TableSpec(
     "Customers", "dbo",
-    (C("CustomerID", "int", False), C("CustomerName", "string", False),
+    (C("CustomerID", "long", False), C("CustomerName", "string", False),
      C("CustomerEmail", "string"), C("CustomerStatus", "string", False),
      C("CreatedDate", "timestamp", False), C("UpdatedDate", "timestamp"),
      C("RegionCode", "string"), C("AccountManagerID", "int")),
     primary_key=("CustomerID",),
     # UpdatedDate is nullable: a never-updated row must still be picked up once.
     incremental="coalesce(UpdatedDate, CreatedDate)",
+    incremental_columns=("UpdatedDate", "CreatedDate"),
 )
 
 ORDERS = TableSpec(
     "Orders", "dbo",
-    (C("OrderID", "int", False), C("CustomerID", "int", False), C("ProductID", "int", False),
+    (C("OrderID", "long", False), C("CustomerID", "long", False), C("ProductID", "long", False),
      C("OrderDate", "date", False), C("ShipDate", "date"), C("OrderStatus", "string", False),
      C("TotalAmount", "decimal", False), C("CurrencyCode", "string", False),
      C("SalesRepID", "int"), C("ChannelCode", "string")),
@@ -103,7 +107,7 @@ ORDERS = TableSpec(
 
 PRODUCTS = TableSpec(
     "Products", "dbo",
-    (C("ProductID", "int", False), C("ProductName", "string", False),
+    (C("ProductID", "long", False), C("ProductName", "string", False),
      C("ProductCode", "string", False), C("CategoryID", "int"),
      C("UnitPrice", "decimal", False), C("StockQuantity", "int", False),
      C("IsActive", "boolean", False), C("CreatedDate", "timestamp", False)),

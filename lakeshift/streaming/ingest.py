@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshift.operators.bronze import ingest_batch
+from lakeshift.sinks.write import materialize
 from lakeshift.spec import TableSpec
 
-BATCH_COLUMN = "_batch_id"
+QUERY_COLUMN, BATCH_COLUMN = "_query_id", "_batch_id"
 
 
 def incremental_ingest(spark: SparkSession, landing_path: str, landing_schema: T.StructType,
@@ -29,15 +30,13 @@ def incremental_ingest(spark: SparkSession, landing_path: str, landing_schema: T
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = ingest_batch(batch, spec, source_file, ingest_ts)
-        # Two outputs from one micro-batch: enforce once (spills to disk if large; a lost
-        # block is recomputed from the batch's files).
-        b.flagged = b.flagged.persist()
-        try:
-            for frame, path in ((b.valid, bronze_path), (b.quarantine, quarantine_path)):
-                frame.write.mode("overwrite").parquet(
-                    f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
-        finally:
-            b.flagged.unpersist()
+        # Two outputs from one micro-batch: enforce once, into a written table.
+        b.flagged = materialize(b.flagged, "stream-batch")
+        # The query id lives in the checkpoint: a new checkpoint never overwrites old batches.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        for frame, path in ((b.valid, bronze_path), (b.quarantine, quarantine_path)):
+            frame.write.mode("overwrite").parquet(
+                f"{path.rstrip('/')}/{QUERY_COLUMN}={query}/{BATCH_COLUMN}={batch_id}")
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_path)
@@ -49,4 +48,4 @@ def incremental_ingest(spark: SparkSession, landing_path: str, landing_schema: T
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """All batches of a bronze folder written by ``incremental_ingest``."""
-    return spark.read.parquet(bronze_path).drop(BATCH_COLUMN)
+    return spark.read.parquet(bronze_path).drop(QUERY_COLUMN, BATCH_COLUMN)

@@ -201,7 +201,7 @@ def test_bronze_ddl_and_compat_names():
     from lakeshift import compat
     ddl = compat.generate_bronze_ddl(CUSTOMERS, "/lake/bronze/customers")
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS bronze.Customers (")
-    assert "  CustomerID INT NOT NULL" in ddl and "_record_hash STRING NOT NULL" in ddl
+    assert "  CustomerID BIGINT NOT NULL" in ddl and "_record_hash STRING NOT NULL" in ddl
     assert "USING PARQUET" in ddl and "DECIMAL(18,2)" not in ddl  # customers has none
     for name in ("enforce_schema", "ingest_batch", "deduplicate_records",
                  "detect_changed_records", "run_full_reconciliation", "not_null_rule"):

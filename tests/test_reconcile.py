@@ -166,7 +166,7 @@ def test_absent_numeric_column_sums_zero(spark, src):
 def test_sum_of_text_column_with_junk(spark):
     a = spark.createDataFrame([("1.5",), ("abc",), (None,)], "v string")
     r = one(R.check_column_sum(a, a, "v", "t"))
-    assert r.status == "PASS" and r.source_value == 1.5
+    assert r.status == "FAIL" and r.source_value == 1.5 and "2 values" in r.message
 
 
 def test_all_checks_on_empty_inputs(spark):
