@@ -735,6 +735,7 @@ FROM stg_orders""",
     "bronze_table": BRONZE["bronze_ingest"],
     "bronze_split_written": BRONZE["bronze_ingest"],
     "stream_bronze_ingest": BRONZE["bronze_ingest"],
+    "stream_bronze_quarantine": BRONZE["bronze_quarantine"],
 }
 
 

@@ -561,3 +561,17 @@ QUERIES.update({
     "ingest_suite_two_loads": q_ingest_suite_two_loads,
     "merge_partitions_moved": q_merge_partitions_moved,
 })
+
+
+def q_stream_bronze_quarantine(spark, d):
+    """The rows that the streaming ingest put aside."""
+    raw = A.customers_landed_text(spark, d)
+    landing = scratch_path(spark, "landing/customers")
+    raw.write.mode("overwrite").parquet(landing)
+    quarantine = scratch_path(spark, "quarantine")
+    incremental_ingest(spark, landing, raw.schema, CUSTOMERS_BRONZE, scratch_path(spark, "bronze/customers"),
+                       quarantine, scratch_path(spark, "checkpoints/customers"), A.LANDED_FILE, INGEST_TS)
+    return read_bronze(spark, quarantine)
+
+
+QUERIES["stream_bronze_quarantine"] = q_stream_bronze_quarantine

@@ -50,7 +50,7 @@ PLAN_KEYS = [k for k in sorted(queries()) if k not in {
     "extract_full", "extract_incremental", "watermark_advance", "ingest_suite",
     "write_partitioned", "merge_upsert", "merge_schema_evolution", "bronze_table",
     "stream_bronze_ingest", "dq_split_rerun", "extract_incremental_customers", "ingest_suite_two_loads",
-    "merge_partitions_moved"}]
+    "merge_partitions_moved", "stream_bronze_quarantine"}]
 
 
 @pytest.mark.parametrize("key", PLAN_KEYS)
@@ -69,6 +69,14 @@ def test_scans_prune_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_shipdate:timestamp_ntz>" in plan
 
 
+def test_full_reconciliation_scans(spark):
+    df = E.queries()["recon_full"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the scalars and each of three set checks read both sides once
+    assert final.count("FileScan parquet") <= 8
+
+
 def test_bronze_and_rules_add_no_shuffle(spark, tmp_path):
     """Schema enforcement, lineage and every rule are one projection per row: over a
     scan their plans contain no exchange."""
