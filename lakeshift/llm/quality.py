@@ -133,18 +133,26 @@ def model_of(count: np.ndarray, total: np.ndarray, cross: np.ndarray) -> Model:
     return Model(np.log(count / count.sum()), mean, np.array(factor), np.array(logdet))
 
 
+def statistic_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> doc_id and the statistics of the text."""
+    for batch in batches:
+        for first, buf, offsets in slices(batch.column(1)):
+            x = statistics(buf, offsets)
+            starts = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, len(x)), pa.ListArray.from_arrays(starts, pa.array(x.ravel()))], ["doc_id", "x"])
+
+
 def moment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, text) -> one row per class of this task: count, sums, cross products."""
+    """(label, statistics) -> one row per class of this task: count, sums, cross products."""
     d = len(FEATURES)
     total = np.zeros((2, 1 + d + d * d))
     for batch in batches:
-        labels = batch.column(0).to_numpy()
-        for first, buf, offsets in slices(batch.column(1)):
-            x = statistics(buf, offsets)
-            y = labels[first:first + len(x)]
-            for c in (0, 1):
-                v = x[y == c]
-                total[c] += np.concatenate([[len(v)], v.sum(0), (v.T @ v).ravel()])
+        y = batch.column(0).to_numpy()
+        x = batch.column(1).flatten().to_numpy().reshape(-1, d)
+        for c in (0, 1):
+            v = x[y == c]
+            total[c] += np.concatenate([[len(v)], v.sum(0), (v.T @ v).ravel()])
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.repeat([0, 1], total.shape[1]).astype(np.int32)), pa.array(np.tile(np.arange(total.shape[1]), 2).astype(np.int32)), pa.array(total.ravel())],
         ["label", "slot", "value"])
@@ -155,14 +163,17 @@ def fold_of(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on the labelled rows of ``docs`` outside the held-out fold."""
+    """Train on the labelled rows of ``docs`` outside the held-out fold.
+
+    Texts become statistics before they meet the labels: the join moves numbers, however many labels there are.
+    """
     with_workers(docs.sparkSession)
     known = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_label"))
              .filter(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & (fold_of("_id") != HELD))
              .groupBy("_id").agg(F.min("_label").alias("_label")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text")).filter(fold_of() != HELD)
-    rows = rows.join(known, F.col("doc_id") == F.col("_id"))
-    moments = (rows.select("_label", "text").mapInArrow(moment_batches, "label int, slot int, value double")
+    rows = rows.mapInArrow(statistic_batches, "doc_id long, x array<double>").join(known, F.col("doc_id") == F.col("_id"))
+    moments = (rows.select("_label", "x").mapInArrow(moment_batches, "label int, slot int, value double")
                .groupBy("label", "slot").agg(F.sum("value").alias("value")).collect())  # 2 * (1 + d + d * d) numbers
     d = len(FEATURES)
     total = np.zeros((2, 1 + d + d * d))
