@@ -408,9 +408,9 @@ def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
     chosen = found.filter("n > 0").groupBy("_part").agg(F.min(place).alias("_p")).select("_p._i", "_p._t", F.lit(True).alias("_one"))
     empty = found.filter("n = 0").select(place.alias("_p")).distinct().select("_p._i", "_p._t", F.lit(False).alias("_one"))
     same = Window.partitionBy("_id", "_tie").orderBy("_id")
-    keyed = docs.withColumn("_tie", F.hash(empty_text())).withColumn("_id", id_key())
+    keyed = docs.select(F.struct("*").alias("_doc"), F.hash(empty_text()).alias("_tie"), id_key().alias("_id"))
     rows = keyed.join(chosen.unionByName(empty), (F.col("_id") == F.col("_i")) & (F.col("_tie") == F.col("_t")))
-    return rows.withColumn("_row", F.row_number().over(same)).filter("_row = 1 or not _one").select(*docs.columns)
+    return rows.withColumn("_row", F.row_number().over(same)).filter("_row = 1 or not _one").select("_doc.*")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

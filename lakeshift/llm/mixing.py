@@ -131,11 +131,11 @@ def mix(docs: DataFrame) -> DataFrame:
     key = ["_id", "_hash"]
     slim = positions(docs).select(id_key().alias("_id"), F.col("_text").alias("_hash"), F.struct("positions").alias("_p"))
     lists = slim.groupBy(*key).agg(F.sort_array(F.collect_list("_p")).alias("_lists"))
-    keyed = docs.withColumn("_id", id_key()).withColumn("_hash", F.xxhash64(F.col("text")))
+    keyed = docs.select(F.struct("*").alias("_row"), id_key().alias("_id"), F.xxhash64(F.col("text")).alias("_hash"))
     nth = F.row_number().over(Window.partitionBy(*key).orderBy("_id"))
     rows = keyed.withColumn("_nth", nth).join(lists, key)
     rows = rows.withColumn("_at", F.explode(F.get("_lists", F.col("_nth") - 1)["positions"]))
-    return rows.orderBy("_at", "_id").select(*docs.columns)
+    return rows.orderBy("_at", "_id").select("_row.*")
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

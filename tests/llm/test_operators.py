@@ -13,9 +13,11 @@ from lakeshift.llm import adaptive, decontam, langid, line_templates, minhash, m
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+CLASHING = ("x", 1, 2, "i", "t", 3, "d", "h", "y")  # values of the extra columns
 WORD = re.compile("[^\x20\x09-\x0d]+")
 COMMON = " ".join(f"common{i}" for i in range(30))
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id string, _at int, n int, label string"
+EXTRA = ("id", "_at", "n", "_id", "_tie", "_row", "_doc", "_hash", "label")
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id string, _at int, n int, _id string, _tie string, _row int, _doc string, _hash string, label string"
 
 
 def text(seed, n):
@@ -30,7 +32,7 @@ def rows():
             (107, "head " + COMMON, "fr", "b"), (108, text(77, 4000) + " " + COMMON, "en", "a"), (109, "be " * 60, "en", "c"),
             (110, "<|endoftext|>mid <|endoftext|>", "en", "c"), (5, text(5, 45), "en", "b"), (111, "12 !! ##", "en", "b"),
             (112, "same line 7\nsame line 8\nother\n\nsame line 7", "en", "a"), (112, "same id, other text", "en", "a")]
-    return [(*r, None, "x", 1, 2, "y") for r in out]
+    return [(*r, None, *CLASHING) for r in out]
 
 
 @pytest.fixture(scope="module")
@@ -116,7 +118,7 @@ def test_near_duplicates(docs, none, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
     assert minhash.near_duplicates(none, 2).count() == 0
     kept = minhash.keep_one(docs, 2)
-    assert kept.columns == docs.columns
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.select(*EXTRA).collect()} == {CLASHING}
     assert kept.count() == len(set(c for c, s in zip(comp, sets) if s)) + sum(not s for s in sets)
 
 
@@ -160,6 +162,7 @@ def test_mixing(docs, none):
     again = mixing.positions(docs.repartition(5)).collect()
     assert Counter((r.doc_id, r.taken, tuple(r.positions)) for r in got) == Counter((r.doc_id, r.taken, tuple(r.positions)) for r in again)
     mixed = mixing.mix(docs)
+    assert {tuple(r) for r in mixed.select(*EXTRA).collect()} == {CLASHING}
     assert mixed.columns == docs.columns and mixed.count() == sum(len(r.positions) for r in got)
     assert mixing.positions(none).count() == 0
 
