@@ -184,7 +184,7 @@ def test_adaptive_rules(docs, none):
 
 
 def test_line_templates(spark, docs, none):
-    extra = [(1000 + i, f"user {i} logged in from host\nunique {text(500 + i, 9)}", "en", "a", None, "x", 1, 2, "y") for i in range(12)]
+    extra = [(1000 + i, f"user {i} logged in from host\nunique {text(500 + i, 9)}", "en", "a", None, *CLASHING) for i in range(12)]
     both = docs.unionByName(spark.createDataFrame(extra, COLUMNS))
     got = {r.doc_id: r for r in line_templates.drop_recurring_lines(both).collect()}
     for r in extra:
