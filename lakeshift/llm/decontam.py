@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import fresh_path, load, with_workers
@@ -197,25 +198,39 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
     with_workers(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blocks = blocks_of(benchmark, size, block_words)
-    block, more = next(blocks, []), next(blocks, None)
-    if more is None:
+    ahead = list(islice(blocks, 2))
+    if len(ahead) < 2:
+        block = ahead[0] if ahead else []
         return docs.mapInArrow(lambda batches: search_batches(batches, block), RESULT)
+    return _by_blocks(docs, ahead, blocks).drop("row_key")
+
+
+def _row_key() -> Column:
+    """Tells rows by id and text: rows of equal keys have equal texts and so equal verdicts."""
+    key = F.col("doc_id").cast("long")
+    return F.struct(F.coalesce(key, F.lit(0)).alias("id"), key.isNull().alias("none"),
+                    F.xxhash64(F.col("text").cast("string")).alias("hash"))
+
+
+def _by_blocks(docs: DataFrame, ahead: list, blocks: Iterator[list[tuple[int, bytes, str | None]]]) -> DataFrame:
+    """The result columns and the row_key of each row of ``docs`` (doc_id, text); one pass for each
+    block of ``ahead`` and ``blocks``."""
     row = "row_key struct<id: long, none: boolean, hash: long>"
-    docs = docs.select("doc_id", F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"),
-                                          F.xxhash64("text").alias("hash")).alias("row_key"), "text")
+    docs = docs.select("doc_id", _row_key().alias("row_key"), "text")
     folder = fresh_path(docs.sparkSession, "decontam")
-    while block:  # one bounded block of patterns at a time, its hits written before the next
+    while ahead:  # one bounded block of patterns at a time, its hits written before the next
+        block = ahead.pop(0)
         (docs.select("row_key", "text")
          .mapInArrow(lambda batches, block=block: cover_batches(batches, block), f"{row}, places array<long>, items array<string>")
          .write.mode("append").parquet(folder))
-        block, more = more, next(blocks, None)
+        ahead += islice(blocks, 1)
     merged = docs.sparkSession.read.parquet(folder).groupBy("row_key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     counted = docs.mapInArrow(_count_batches, f"doc_id long, {row}, n_words long")
     hit, items = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
     return (counted.join(merged, "row_key", "left")
-            .select("doc_id", "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+            .select("row_key", "doc_id", "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
                     ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated")))
 
@@ -234,12 +249,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, all columns kept."""
+    """The rows of ``docs`` that are not contaminated, all columns kept; each row is judged by its
+    own text, whatever the number of blocks."""
     with_workers(docs.sparkSession)
     schema = docs.schema
     blocks = blocks_of(benchmark, size, block_words)
-    block, more = next(blocks, []), next(blocks, None)
-    if more is None:
+    ahead = list(islice(blocks, 2))
+    if len(ahead) < 2:
+        block = ahead[0] if ahead else []
+
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = tables(block)
             place = schema.names.index("text")
@@ -253,5 +271,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_
                     yield batch.slice(first, words.rows).filter(pa.array(good))
 
         return docs.mapInArrow(clean, schema)
-    judged = decontaminate(docs.select("doc_id", "text"), benchmark, size, block_words).filter("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(judged, docs["doc_id"].eqNullSafe(F.col("_dirty")), "left_anti")
+    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    judged = _by_blocks(plain, ahead, blocks).filter("contaminated").select(F.col("row_key").alias("_dirty")).distinct()
+    return docs.join(judged, _row_key() == judged["_dirty"], "left_anti")

@@ -150,6 +150,20 @@ def test_decontamination(spark, docs, none, block_words):
     assert decontam.decontaminate(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block_words", [10**6, 30])
+def test_keep_clean_judges_each_row_by_its_text(spark, none, block_words):
+    """Null and repeated ids: a contaminated row takes no clean row of its id along."""
+    bench = spark.createDataFrame([(1, COMMON), (2, " ".join(f"other{i}" for i in range(20)))], "item_id long, text string")
+    assert (len(list(decontam.blocks_of(bench, 13, block_words))) > 1) == (block_words == 30)
+    data = [(None, text(1, 20)), (None, COMMON), (None, text(2, 20)), (7, text(3, 20)), (7, "a " + COMMON), (7, text(3, 20)),
+            (0, text(4, 20)), (8, COMMON), (9, None), (None, None), (None, "")]
+    frame = spark.createDataFrame([(*r, None, None, None, *CLASHING) for r in data], COLUMNS).repartition(3)
+    got = decontam.keep_clean(frame, bench, block_words=block_words)
+    assert got.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(r for r in data if COMMON not in (r[1] or ""))
+    assert decontam.keep_clean(none, bench, block_words=block_words).count() == 0
+
+
 def test_mixing(docs, none):
     got = mixing.positions(docs).collect()
     assert Counter((r.doc_id, r["size"]) for r in got) == Counter((r[0], len(words(r[1]))) for r in rows())
