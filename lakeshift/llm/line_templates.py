@@ -7,9 +7,11 @@
    shuffle key; rows of a leaf arrive sorted, so equal lines are added up as they stream by.
 3. In a leaf, a line joins the template with the largest share of equal tokens if that reaches
    ``SIMILAR``; tokens that differ become variable fields of the template.
-4. All lines of templates found in at least ``MIN_DOCS`` documents are dropped, wherever they stand.
-   Lines are told by a 128-bit digest; the digests of dropped lines meet the lines of all
-   documents in an ordinary join, which Spark splits where one line is hot.
+4. All lines of templates found in at least ``MIN_DOCS`` different documents are dropped, wherever
+   they stand. The tree only knows a bound of that number, the sum over a template's lines; the
+   lines of templates whose bound suffices meet the lines of all documents in an ordinary join
+   by 128-bit digest, which Spark splits where one line is hot, and the documents of each
+   template are counted on what meets.
 
 Defined results: lines without a token are never dropped and not counted; a null or empty text has no
 lines; a line repeated within one document counts once for it; rows repeated whole count as
@@ -101,12 +103,17 @@ class Leaf:
             best[1] += n
             best[2].append(digest(line))
 
-    def recurring(self, min_docs: int) -> list[bytes]:
-        return [d for t in self.templates if t[1] >= min_docs for d in t[2]]
+    def candidates(self, min_docs: int) -> list[tuple[bytes, bytes]]:
+        """(digest, template) of the lines of templates that may be in ``min_docs`` documents; a
+        template is named by its first line."""
+        return [(d, t[2][0]) for t in self.templates if t[1] >= min_docs for d in t[2]]
 
 
 def template_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (leaf, line) -> digests of the lines of recurring templates."""
+    """Rows sorted by (leaf, line) -> digests and templates of the lines that may recur."""
+    def table() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(2)], ["digest", "template"])
+
     key, line, n, tree, out = None, None, 0, Leaf(), []
     for batch in batches:
         for k, x, c in zip(*(col.to_pylist() for col in batch.columns)):
@@ -116,16 +123,16 @@ def template_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterat
             if line is not None:
                 tree.add(line, n)
             if k != key:
-                out += tree.recurring(min_docs)
+                out += tree.candidates(min_docs)
                 tree = Leaf()
             key, line, n = k, x, c
         if len(out) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["digest"])
+            yield table()
             out = []
     if line is not None:
         tree.add(line, n)
-    out += tree.recurring(min_docs)
-    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["digest"])
+    out += tree.candidates(min_docs)
+    yield table()
 
 
 def place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +169,19 @@ def drop_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text of each row of ``docs`` (doc_id, text)."""
     with_workers(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), F.hash(empty_text()).alias("tie"), empty_text().alias("text"))
-    recurring = stored(
+    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), F.xxhash64(empty_text()).alias("tie"), empty_text().alias("text"))
+    candidates = stored(
         docs.select("text").mapInArrow(tree_batches, "leaf long, line binary, n long")
         .repartition("leaf").sortWithinPartitions("leaf", "line")
-        .mapInArrow(lambda batches: template_batches(batches, min_docs), "digest binary").distinct(), "templates")
-    placed = docs.select("id", "tie", "text").mapInArrow(place_batches, "id long, tie int, number int, digest binary")
-    gone = placed.join(recurring, "digest").groupBy("id", "tie").agg(F.collect_set("number").alias("numbers"))
-    small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie int, small binary")
+        .mapInArrow(lambda batches: template_batches(batches, min_docs), "digest binary, template binary"), "templates")
+    placed = docs.select("id", "tie", "text").mapInArrow(place_batches, "id long, tie long, number int, digest binary")
+    # rows repeated whole share id and tie: each has all the numbers
+    held = stored(placed.join(candidates, "digest").groupBy("id", "tie", "template").agg(
+        F.collect_set("number").alias("numbers"), F.count(F.lit(1)).alias("n"))
+        .withColumn("n", F.floor(F.col("n") / F.size("numbers"))), "template-lines")
+    recurring = held.groupBy("template").agg(F.sum("n").alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("template")
+    gone = held.join(recurring, "template").groupBy("id", "tie").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
+    small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie long, small binary")
     return (small.join(gone, ["id", "tie"], "left").select("doc_id", "small", "numbers")
             .mapInArrow(drop_batches, "doc_id long, n_lines long, n_dropped long, kept_text string"))
 

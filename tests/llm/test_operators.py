@@ -207,6 +207,23 @@ def test_line_templates(spark, docs, none):
     assert line_templates.drop_recurring_lines(none).count() == 0
 
 
+def test_line_templates_count_documents(spark):
+    """One document with many lines of a template is one document; repeated rows count each."""
+    words = ["red", "blue", "green", "black", "white", "brown", "pink", "grey", "gold", "teal", "lime", "navy"]
+    alone = "\n".join(f"disk check ended well on unit {w} at last" for w in words)
+    shared = [(100 + i, f"fan check ended well on unit {w} at last") for i, w in enumerate(words[:10])]
+    # one text of two like lines as nine rows of one id, and nine rows without id: 18 documents
+    twice = "\n".join(f"belt check ended well on unit {w} at last" for w in words[:2])
+    few = "\n".join(f"pump check ended well on unit {w} at last" for w in words[:2])
+    data = [(1, alone), *shared, *[(2, twice)] * 9, *[(None, f"{twice}\n{i}x") for i in range(9)], *[(3, few)] * 4, (4, few)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = line_templates.drop_recurring_lines(frame).collect()
+    want = Counter({(1, 12, 0): 1, (2, 2, 2): 9, (None, 3, 2): 9, (3, 2, 0): 4, (4, 2, 0): 1})
+    want.update((i, 1, 1) for i, _ in shared)
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped) for r in got) == want
+    assert {r.kept_text for r in got if r.doc_id == 1} == {alone}
+
+
 def test_quality(spark, docs, none):
     good = [(i, text(i, 80), 1) for i in range(300)]
     bad = [(1000 + i, " ".join(f"{w.upper()}!!" for w in text(i, 80).split()), 0) for i in range(100)]
