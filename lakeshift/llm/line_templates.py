@@ -12,8 +12,12 @@
    lines of templates whose bound suffices meet the lines of all documents in an ordinary join
    by 128-bit digest, which Spark splits where one line is hot, and the documents of each
    template are counted on what meets.
+5. Long lines recur in fewer documents by no chance: a masked line whose words times its documents
+   reach ``LONG`` (50 words: 2 documents, 20 words: 5) stays in its first document, by id and text
+   hash, and goes from all others, so that no passage is lost with its last copy.
 
-Defined results: lines without a token are never dropped and not counted; a null or empty text has no
+Defined results: rows repeated whole are one place under 5, so its first document keeps a line in
+each of its rows; a line that stands twice in its first document stays twice; lines without a token are never dropped and not counted; a null or empty text has no
 lines; a line repeated within one document counts once for it; rows repeated whole count as
 documents of their own; null doc_ids are documents too; ties between templates go to the
 first in order of lines; an empty table gives no rows; extra columns are ignored.
@@ -35,6 +39,7 @@ from lakeshift.llm.textkit import slices
 DEPTH = 4
 SIMILAR = 0.7
 MIN_DOCS = 10
+LONG = 100
 BATCH_LINES = 50_000
 ANY = b"<*>"
 
@@ -55,6 +60,11 @@ def leaf(tokens: list[bytes]) -> int:
     return int.from_bytes(hashlib.md5(head).digest()[:8], "little", signed=True)
 
 
+def least_docs(tokens: int, min_docs: int) -> int:
+    """Documents in which a line of so many tokens recurs."""
+    return min(min_docs, max(2, -(-LONG // tokens)))
+
+
 def lines_of(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """(row, lines) of each text."""
     for first, buf, offsets in slices(column):
@@ -84,7 +94,7 @@ def tree_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Leaf:
-    """Templates of one leaf: tokens, documents, digests of the lines."""
+    """Templates of one leaf: tokens, documents, (digest, documents) of the lines."""
 
     def __init__(self) -> None:
         self.templates: list[list] = []
@@ -97,22 +107,31 @@ class Leaf:
             if s > share or s == share and best is None:
                 best, share = t, s
         if best is None:
-            self.templates.append([tokens, n, [digest(line)]])
+            self.templates.append([tokens, n, [(digest(line), n)]])
         else:
             best[0] = [a if a == b else ANY for a, b in zip(best[0], tokens)]
             best[1] += n
-            best[2].append(digest(line))
+            best[2].append((digest(line), n))
 
-    def candidates(self, min_docs: int) -> list[tuple[bytes, bytes]]:
-        """(digest, template) of the lines of templates that may be in ``min_docs`` documents; a
-        template is named by its first line."""
-        return [(d, t[2][0]) for t in self.templates if t[1] >= min_docs for d in t[2]]
+    def candidates(self, min_docs: int) -> list[tuple[bytes, bytes, int, bool]]:
+        """(digest, group, documents needed, dropped everywhere) of the lines of templates that may be in
+        ``min_docs`` documents, and of long lines that recur in fewer. A template's group is
+        named by its first line, that of a line alone by a longer name."""
+        out = []
+        for tokens, docs, lines in self.templates:
+            if docs >= min_docs:
+                out += [(d, lines[0][0], min_docs, True) for d, _ in lines]
+            least = least_docs(len(tokens), min_docs)
+            out += [(d, b"=" + d, least, False) for d, n in lines if least <= n < min_docs]
+        return out
 
 
 def template_batches(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (leaf, line) -> digests and templates of the lines that may recur."""
+    """Rows sorted by (leaf, line) -> candidates of all leaves."""
     def table() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(2)], ["digest", "template"])
+        kinds = (pa.binary(), pa.binary(), pa.int32(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)],
+                                          ["digest", "template", "least", "everywhere"])
 
     key, line, n, tree, out = None, None, 0, Leaf(), []
     for batch in batches:
@@ -173,14 +192,16 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     candidates = stored(
         docs.select("text").mapInArrow(tree_batches, "leaf long, line binary, n long")
         .repartition("leaf").sortWithinPartitions("leaf", "line")
-        .mapInArrow(lambda batches: template_batches(batches, min_docs), "digest binary, template binary"), "templates")
+        .mapInArrow(lambda batches: template_batches(batches, min_docs), "digest binary, template binary, least int, everywhere boolean"), "templates")
     placed = docs.select("id", "tie", "text").mapInArrow(place_batches, "id long, tie long, number int, digest binary")
     # rows repeated whole share id and tie: each has all the numbers
-    held = stored(placed.join(candidates, "digest").groupBy("id", "tie", "template").agg(
+    held = stored(placed.join(candidates, "digest").groupBy("id", "tie", "template", "least", "everywhere").agg(
         F.collect_set("number").alias("numbers"), F.count(F.lit(1)).alias("n"))
         .withColumn("n", F.floor(F.col("n") / F.size("numbers"))), "template-lines")
-    recurring = held.groupBy("template").agg(F.sum("n").alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("template")
-    gone = held.join(recurring, "template").groupBy("id", "tie").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
+    place = F.struct("id", "tie")
+    recurring = (held.groupBy("template", "least").agg(F.sum("n").alias("n_docs"), F.min(place).alias("first"))
+                 .filter(F.col("n_docs") >= F.col("least")).select("template", "first"))
+    gone = held.join(recurring, "template").filter(F.col("everywhere") | (place != F.col("first"))).groupBy("id", "tie").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
     small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie long, small binary")
     return (small.join(gone, ["id", "tie"], "left").select("doc_id", "small", "numbers")
             .mapInArrow(drop_batches, "doc_id long, n_lines long, n_dropped long, kept_text string"))

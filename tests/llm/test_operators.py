@@ -224,6 +224,18 @@ def test_line_templates_count_documents(spark):
     assert {r.kept_text for r in got if r.doc_id == 1} == {alone}
 
 
+def test_long_lines_recur_in_fewer_documents(spark):
+    """The fewer words a line has the more documents it needs; its first document keeps it."""
+    line = lambda seed, n: " ".join(f"{w}{'abcdefgh'[i % 8]}" for i, w in enumerate((["kappa", "sigma", "omega", "theta"] * n)[:n])) + f" {'xyz'[seed]}"
+    long, middle, short = line(0, 59), line(1, 19), line(2, 6)
+    data = [(5, f"{long}\nhead five"), (4, f"tail four\n{long}"), (None, long), *[(10 + i, f"{middle}\nrow {'abcde'[i]}") for i in range(5)],
+            *[(20 + i, middle[2:]) for i in range(4)], *[(30 + i, short) for i in range(9)], (50, f"{long} other\n{long} other")]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.kept_text) for r in line_templates.drop_recurring_lines(frame).collect())
+    want = dict(data) | {5: "head five", None: ""} | {10 + i: f"row {'abcde'[i]}" for i in range(1, 5)}
+    assert got == Counter(want.items())
+
+
 def test_quality(spark, docs, none):
     good = [(i, text(i, 80), 1) for i in range(300)]
     bad = [(1000 + i, " ".join(f"{w.upper()}!!" for w in text(i, 80).split()), 0) for i in range(100)]
