@@ -7,10 +7,13 @@
    ``GAMMA`` above ``LEAST`` (relative error under 5 %); a sketch is its bucket counts, so
    sketches merge by addition, in any order, with the same result every time. Counting is a
    partial aggregation before the shuffle; a hot source costs one row per bucket and task.
-3. Thresholds: the quartiles q2, q3 are read off the running counts; a rate fails above
-   max(floor, q3 + SPREAD * (q3 - q2)). Groups of fewer than ``LEAST_DOCS`` documents use
-   the sketch of their language over all sources, or of all documents if that is small too.
-   The floors keep rare but harmless values of clean groups below any threshold.
+3. Thresholds, from the documents that pass the base rule: two quantiles lo, hi are read off the
+   running counts; a rate fails above max(FLOOR, hi + spread * (hi - lo)). Symbols are foreign to a
+   text unless its group has them (quartiles, so that a tenth of junk does not move the limit);
+   duplicate lines and repeats stand in few but sound documents (upper quantiles). Groups of
+   fewer than ``LEAST_DOCS`` documents, or whose upper quantile is 0 and says nothing, use the
+   sketch of their language over all sources, or else of all documents; ``CUTOFFS`` hold only
+   where that says nothing either.
 4. Joined filtering: documents meet their group's thresholds by an ordinary equi-join
    (broadcast only if Spark's size limit allows, else split by skew handling).
 
@@ -36,9 +39,12 @@ TRIPLE = 3
 GAMMA = 1.1
 LEAST = 1e-4
 LEAST_DOCS = 200
-SPREAD = 6.0
-#: Smallest threshold of each rate.
-FLOORS = {"symbol_rate": 0.1, "dup_line_rate": 0.5, "repeat_rate": 0.4}
+#: Smallest threshold: rates below it are noise of single characters or words.
+FLOOR = 0.01
+#: Shares of documents at lo and hi, and the spread, of each rate.
+LIMITS = {"symbol_rate": (0.5, 0.75, 6.0), "dup_line_rate": (0.9, 0.99, 2.0), "repeat_rate": (0.9, 0.99, 2.0)}
+#: Thresholds of rates with an upper quantile of 0 over all documents.
+CUTOFFS = {"dup_line_rate": 0.5, "repeat_rate": 0.4}
 
 
 def words_of(text: Column) -> Column:
@@ -96,15 +102,21 @@ def rates() -> dict[str, Column]:
             "repeat_rate": part("n_repeat_words", "n_words")}
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
 def bucket(value: Column) -> Column:
     """Bucket 0 holds values up to LEAST; bucket k those up to LEAST * GAMMA ** k."""
     return F.when(value <= LEAST, F.lit(0)).otherwise(F.ceil(F.log(value / LEAST) / F.log(F.lit(GAMMA)))).cast("int")
 
 
 def sketches(documents: DataFrame, by: list[str]) -> DataFrame:
-    """Bucket counts per group and rate: (by..., rate, bucket, n). Counts of parts add up."""
+    """Bucket counts per group and rate: (by..., rate, bucket, n), of documents that pass the base
+    rule; groups without any are there with n = 0. Counts of parts add up."""
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("rate"), bucket(v).alias("bucket")) for k, v in rates().items()]))
-    return documents.select(*by, pairs.alias("_p")).groupBy(*by, "_p.rate", "_p.bucket").agg(F.count(F.lit(1)).alias("n"))
+    one = F.when(base_failed(), F.lit(0)).otherwise(F.lit(1)).alias("_one")
+    return documents.select(*by, one, pairs.alias("_p")).groupBy(*by, "_p.rate", "_p.bucket").agg(F.sum("_one").alias("n"))
 
 
 def merged(parts: DataFrame, by: list[str]) -> DataFrame:
@@ -121,14 +133,23 @@ def quantiles(sketch: DataFrame, by: list[str], shares: dict[str, float]) -> Dat
         *[F.min(F.when(F.col("_upto") >= F.col("_all") * q, bound)).alias(name) for name, q in shares.items()])
 
 
+def share_name(share: float) -> str:
+    return f"q{share:g}".replace(".", "_")
+
+
 def limit_of(rate: Column) -> Column:
-    floor = F.element_at(F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv]), rate)
-    return F.greatest(floor, F.col("q3") + SPREAD * (F.col("q3") - F.col("q2")))
+    """The limit that a sketch gives, null if its upper quantile says nothing."""
+    out = F.lit(None).cast("double")
+    for name, (a, b, spread) in LIMITS.items():
+        lo, hi = F.col(share_name(a)), F.col(share_name(b))
+        limit = F.greatest(F.lit(FLOOR), hi + spread * (hi - lo))
+        out = F.when(rate == name, F.when(hi > 0, limit) if name in CUTOFFS else limit).otherwise(out)
+    return out
 
 
 def thresholds(documents: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """One row per (lang, source): the limit of each rate, from the smallest group that is large enough."""
-    shares = {"q2": 0.5, "q3": 0.75}
+    shares = {share_name(q): q for a, b, _ in LIMITS.values() for q in (a, b)}
     fine = stored(sketches(documents, ["lang", "source"]), "quality-sketches")
     limits = lambda sketch, by: quantiles(sketch, by, shares).select(*by, "rate", "n_docs", limit_of(F.col("rate")).alias("limit"))
     own = limits(fine, ["lang", "source"])
@@ -136,9 +157,10 @@ def thresholds(documents: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     world = limits(merged(fine, []), []).select(F.col("rate").alias("_r2"), F.col("limit").alias("_l2"))
     joined = (own.join(tongue, own["lang"].eqNullSafe(F.col("_lang")) & (F.col("rate") == F.col("_r1")))
               .join(world, F.col("rate") == F.col("_r2")))
-    limit = F.when(F.col("n_docs") >= least_docs, F.col("limit")).when(F.col("_n1") >= least_docs, F.col("_l1")).otherwise(F.col("_l2"))
+    cutoff = F.element_at(F.create_map(*[F.lit(x) for kv in CUTOFFS.items() for x in kv]), F.col("rate"))
+    limit = F.coalesce(F.when(F.col("n_docs") >= least_docs, F.col("limit")), F.when(F.col("_n1") >= least_docs, F.col("_l1")), F.col("_l2"), cutoff)
     return joined.groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("rate") == k, limit)).alias(f"{k}_limit") for k in FLOORS])
+        *[F.max(F.when(F.col("rate") == k, limit)).alias(f"{k}_limit") for k in LIMITS])
 
 
 def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -148,14 +170,14 @@ def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
                         "lang", F.when(F.col("source").isNull(), "0").otherwise("1"), "source")
     limits = thresholds(documents, least_docs).withColumn("_group", group).drop("lang", "source")
     rows = documents.withColumn("_group", group).join(limits, "_group")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    failed = base_failed()
     passes = None
     for name, value in rates().items():
         ok = value <= F.col(f"{name}_limit")
         passes = ok if passes is None else passes & ok
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), (~failed & passes).alias("kept"),
-                       *[f"{k}_limit" for k in FLOORS])
+                       *[f"{k}_limit" for k in LIMITS])
 
 
 def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

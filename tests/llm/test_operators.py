@@ -197,6 +197,33 @@ def test_adaptive_rules(docs, none):
     assert adaptive.judge(none).count() == 0
 
 
+def test_adaptive_limits_come_from_the_sketch(spark):
+    """Two sources of one language with rates of their own get limits of their own, also below the
+    fixed cutoffs; a small one takes those of its language, and a source of junk alone keeps its rows."""
+    def doc(seed, symbols, lines):
+        w = [f"w{seed}x{i}" for i in range(100)]
+        return " ".join(w[:60]) + " " + "#" * symbols + "".join(f"\n{x}" for x in w[60:80] + w[60:60 + lines])
+    data = [(i, doc(i, 0, 0), "en", "plain") for i in range(300)]
+    data += [(1000 + i, doc(i, 20 + i % 20, i % 10), "en", "code") for i in range(300)]
+    data += [(2000, doc(2000, 8, 0), "en", "plain"), (2001, doc(2001, 30, 5), "en", "code"), (2002, doc(2002, 0, 0), "en", "rare"),
+             (2003, "be " * 60, "en", "junk")]
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r.doc_id: r for r in adaptive.judge(frame).collect()}
+    assert len(got) == len(data)
+    chars = lambda i: got[i].n_symbols / got[i].word_chars
+    assert 0.01 < chars(2000) < 0.1 and not got[2000].kept and not got[2003].kept
+    assert all(got[i].kept for i in [2001, 2002, *range(300), *range(1000, 1300)])
+    rates = sorted(chars(i) for i in [*range(1000, 1300), 2001])
+    lo, hi = rates[len(rates) // 2], rates[len(rates) * 3 // 4]
+    assert got[2000].symbol_rate_limit == 0.01
+    assert hi <= got[2001].symbol_rate_limit <= 1.1 * hi + 6 * (1.1 * hi - lo)
+    tail = sorted(got[i].n_dup_lines / (got[i].n_dup_lines + 21) for i in [*range(1000, 1300), 2001])
+    assert tail[298] <= got[2001].dup_line_rate_limit <= 1.1 * tail[298] + 2 * (1.1 * tail[298] - tail[270] / 1.1)
+    # no upper quantile of its own: that of the language
+    assert got[2000].dup_line_rate_limit == got[2002].dup_line_rate_limit < tail[-1] + 2 * tail[-1]
+    assert 0.01 < got[2000].repeat_rate_limit == got[2002].repeat_rate_limit < 0.4
+
+
 def test_line_templates(spark, docs, none):
     extra = [(1000 + i, f"user {i} logged in from host\nunique {text(500 + i, 9)}", "en", "a", None, *CLASHING) for i in range(12)]
     both = docs.unionByName(spark.createDataFrame(extra, COLUMNS))
