@@ -2,7 +2,8 @@
 
 1. Per document, from array functions alone: words, characters in words, symbols, duplicate
    lines, words inside repeated 3-word windows. Windows are found by one sort of packed longs
-   (hash of the window above its position), so no row leaves its document.
+   (hash of the window above its position; whole hash beside its position in texts of more than
+   ``LONG_TEXT`` words) and confirmed by their words, so no row leaves its document.
 2. Per (lang, source), a quantile sketch of each rate: values fall into buckets of ratio
    ``GAMMA`` above ``LEAST`` (relative error under 5 %); a sketch is its bucket counts, so
    sketches merge by addition, in any order, with the same result every time. Counting is a
@@ -35,6 +36,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 TRIPLE = 3
+LONG_TEXT = 1 << 16
 
 GAMMA = 1.1
 LEAST = 1e-4
@@ -51,19 +53,42 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BETWEEN), lambda w: w != "")
 
 
-def repeated_words(words: Column) -> Column:
-    """Number of words inside 3-word windows that occur twice or more.
+def window_hash(words: Column, i: Column) -> Column:
+    return F.xxhash64(*[F.get(words, i + k) for k in range(TRIPLE)])
 
-    A window's long holds its hash above its position (as many low bits as the number of
-    words needs), so one sort brings equal windows together in order of position.
+
+def repeated_at(words: Column, windows: Column, key, place) -> Column:
+    """Positions, in order, of windows that equal a neighbour among the sorted ``windows``."""
+    rest = F.greatest(F.size(windows) - 1, F.lit(0))
+
+    def pair(a: Column, b: Column) -> Column:
+        equal = key(a) == key(b)
+        for k in range(TRIPLE):
+            equal = equal & (F.get(words, place(a).cast("int") + k) == F.get(words, place(b).cast("int") + k))
+        return F.when(equal, F.array(place(a), place(b)))
+
+    same = F.zip_with(F.slice(windows, F.lit(1), rest), F.slice(windows, F.lit(2), rest), pair)
+    return F.sort_array(F.array_distinct(F.flatten(F.filter(same, lambda x: x.isNotNull()))))
+
+
+def with_repeats(base: DataFrame) -> DataFrame:
+    """``base`` with ``_at``: positions of the 3-word windows of ``_words`` that occur twice or more.
+
+    A window's long holds its hash above its position (as many low bits as the number of words
+    needs), so one sort brings equal windows together in order of position. In long texts
+    that would leave too few bits of the hash: they sort pairs of hash and position.
     """
-    n = F.size(words)
-    bits = F.ceil(F.log2(n.cast("double"))).cast("int")
-    packed = F.transform(
-        F.sequence(F.lit(0), n - TRIPLE),
-        lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits)
-        .bitwiseOR(i.cast("long")))
-    return F.when(n >= TRIPLE, packed), bits, n
+    words, n, bits = F.col("_words"), F.size("_words"), F.col("_bits")
+    base = base.withColumn("_bits", F.ceil(F.log2(n.cast("double"))).cast("int"))
+    places = F.sequence(F.lit(0), n - TRIPLE)
+    packed = F.transform(places, lambda i: F.call_function("shiftleft", window_hash(words, i), bits).bitwiseOR(i.cast("long")))
+    pairs = F.transform(places, lambda i: F.struct(window_hash(words, i).alias("hash"), i.cast("long").alias("place")))
+    base = base.withColumn("_sorted", F.sort_array(F.when((n >= TRIPLE) & (n <= LONG_TEXT), packed)))
+    base = base.withColumn("_pairs", F.sort_array(F.when((n >= TRIPLE) & (n > LONG_TEXT), pairs)))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    return base.withColumn("_at", F.when(
+        n > LONG_TEXT, repeated_at(words, F.col("_pairs"), lambda x: x["hash"], lambda x: x["place"])).otherwise(
+        repeated_at(words, F.col("_sorted"), lambda x: F.call_function("shiftright", x, bits), lambda x: x.bitwiseAND(mask))))
 
 
 def document_rates(docs: DataFrame) -> DataFrame:
@@ -74,15 +99,7 @@ def document_rates(docs: DataFrame) -> DataFrame:
     base = base.withColumn("_words", words_of(F.col("_text")))
     lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
     base = base.withColumn("_lines", lines)
-    packed, bits, _ = repeated_words(F.col("_words"))
-    base = base.withColumn("_bits", bits).withColumn("_sorted", F.sort_array(packed))
-    # positions of windows whose hash equals a neighbour's, in order of position
-    key = lambda x: F.call_function("shiftright", x, F.col("_bits"))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
-    s = F.col("_sorted")
-    same = F.zip_with(F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0))), F.slice(s, F.lit(2), F.greatest(F.size(s) - 1, F.lit(0))),
-                      lambda a, b: F.when(key(a) == key(b), F.array(a.bitwiseAND(mask), b.bitwiseAND(mask))))
-    base = base.withColumn("_at", F.sort_array(F.array_distinct(F.flatten(F.filter(same, lambda x: x.isNotNull())))))
+    base = with_repeats(base)
     # windows in order: each adds the words that the one before does not cover
     covered = F.aggregate("_at", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
                           lambda a, p: F.struct((a["n"] + p + TRIPLE - F.greatest(a["to"], p)).alias("n"), (p + TRIPLE).alias("to")),

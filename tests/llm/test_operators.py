@@ -224,6 +224,16 @@ def test_adaptive_limits_come_from_the_sketch(spark):
     assert 0.01 < got[2000].repeat_rate_limit == got[2002].repeat_rate_limit < 0.4
 
 
+@pytest.mark.parametrize("long_text", [10, 1 << 16])
+def test_repeated_words_are_confirmed(docs, monkeypatch, long_text):
+    """Both forms of the sort count right, and windows of equal hash but other words are no repeat."""
+    monkeypatch.setattr(adaptive, "LONG_TEXT", long_text, raising=False)
+    test_adaptive_rules(docs, docs.limit(0))
+    apart = docs.sparkSession.createDataFrame([(1, " ".join(f"w{i}" for i in range(99)), "en", "a")], "doc_id long, text string, lang string, source string")
+    monkeypatch.setattr(adaptive.F, "xxhash64", lambda *words: adaptive.F.length(words[0]).cast("long") * 0)
+    assert [r.n_repeat_words for r in adaptive.document_rates(apart).collect()] == [0]
+
+
 def test_line_templates(spark, docs, none):
     extra = [(1000 + i, f"user {i} logged in from host\nunique {text(500 + i, 9)}", "en", "a", None, *CLASHING) for i in range(12)]
     both = docs.unionByName(spark.createDataFrame(extra, COLUMNS))
