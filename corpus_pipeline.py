@@ -41,9 +41,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def records_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id records of the mixed documents, read back from their files."""
+    """Token-id records of the mixed documents in the curriculum's order, that of the files of the
+    stage before; read back from their own files."""
     import public_tokenizers
-    return records.records_result(docs, public_tokenizers.path(records.TOKENIZER)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return records.records_result(docs, public_tokenizers.path(records.TOKENIZER), records.stored_order(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 STAGES = [

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import fresh_path, load, with_workers
@@ -225,12 +225,22 @@ def with_starts(records: DataFrame) -> DataFrame:
             .withColumn("start", F.col("start") + F.col("base")).drop("base"))
 
 
-def write_records(docs: DataFrame, folder: str, path: str, max_records: int = MAX_RECORDS) -> None:
-    """Encode ``docs`` (doc_id, text) into ``folder``/data and its index into ``folder``/index."""
+def stored_order(docs: DataFrame) -> list[Column]:
+    """Keys of the order in which Spark wrote ``docs``, read from its files: file number, row number."""
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"part-(\d+)", r"-c(\d+)\.")] + [F.col("_metadata.row_index")]
+
+
+def write_records(docs: DataFrame, folder: str, path: str, max_records: int = MAX_RECORDS, order: list[Column] | None = None) -> None:
+    """Encode ``docs`` (doc_id, text) into ``folder``/data and its index into ``folder``/index, in the
+    order of the columns ``order`` or else by doc_id."""
     spark = with_workers(docs.sparkSession)
-    rows = (docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .repartitionByRange(F.col("doc_id").asc_nulls_first())
-            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")))
+    names = [f"_order{i}" for i in range(len(order or ()))]
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                       *[c.alias(n) for c, n in zip(order or (), names)])
+    by = [F.col(n) for n in names] or [F.col("doc_id").asc_nulls_first()]
+    rows = (rows.repartitionByRange(*by).sortWithinPartitions(*(by if order else [*by, F.xxhash64("text")]))
+            .select("doc_id", "text"))
     (rows.mapInArrow(lambda batches: encode_batches(batches, path), "value binary")
      .select(F.col("value").cast("string"))
      .write.option("maxRecordsPerFile", max_records).option("compression", "none").text(f"{folder}/data"))
@@ -260,10 +270,10 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
             .orderBy(F.xxhash64("doc_id", F.lit(seed))))
 
 
-def records_result(docs: DataFrame, path: str) -> DataFrame:
+def records_result(docs: DataFrame, path: str, order: list[Column] | None = None) -> DataFrame:
     """Write ``docs`` to a new folder and return doc_id, start, n_tokens and ids_crc32 read back from its files."""
     folder = fresh_path(docs.sparkSession, "records")
-    write_records(docs, folder, path)
+    write_records(docs, folder, path, order=order)
     return read_index(docs.sparkSession, folder).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset")
 
 

@@ -114,6 +114,20 @@ def test_run(spark, sf_dir):
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
 
 
+def test_records_keep_the_mixed_order(spark, sf_dir, tmp_path):
+    """Records stand in the curriculum's order, over several files."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    at = [(p, r.doc_id) for r in mixing.positions(docs).collect() for p in r.positions]
+    mixed = corpus_pipeline.mixing_stage(spark, docs, sf_dir)
+    order = [r.doc_id for r in mixed.collect()]
+    assert order != sorted(order, key=lambda d: (d is not None, d)) and Counter(order) == Counter(d for _, d in at)
+    # as ``run`` stores it, in several files, each holding a run of the order
+    spark.createDataFrame(list(enumerate(r.asDict() for r in mixed.collect())), f"n long, r struct<{', '.join(x.replace(' ', ': ') for x in COLUMNS.split(', '))}>") \
+        .repartitionByRange(5, "n").sortWithinPartitions("n").select("r.*").write.option("maxRecordsPerFile", 20).parquet(f"{tmp_path}/mixed")
+    got = corpus_pipeline.records_stage(spark, spark.read.parquet(f"{tmp_path}/mixed"), sf_dir).orderBy("start").collect()
+    assert [r.doc_id for r in got] == order
+
+
 def test_empty(spark, tmp_path):
     for name, schema in [("documents", COLUMNS), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")]:
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
