@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.llm.adaptive import op10_adaptive_rules
+from lakeshift.llm.conversations import op11_conversation_repair
 from lakeshift.llm.decontam import op8_decontamination
 from lakeshift.llm.langid import op6_language_id
 from lakeshift.llm.line_templates import op4_line_dedup
@@ -19,6 +20,7 @@ from lakeshift.llm.tokencount import op9_token_counts
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_mixture, op2_substring_dedup, op3_near_dedup, op4_line_dedup, op5_quality_classifier,
     op6_language_id, op7_token_records, op8_decontamination, op9_token_counts, op10_adaptive_rules,
+    op11_conversation_repair,
 ]
 
 

@@ -48,3 +48,8 @@ def id_key(column: str = "doc_id") -> Column:
 
 def empty_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def text_digest(text: Column) -> Column:
+    """128-bit digest of a text: stands for the text in keys."""
+    return F.unhex(F.md5(text.cast("binary")))
