@@ -16,11 +16,12 @@ from lakeshift.llm.quality import op5_quality_classifier
 from lakeshift.llm.records import op7_token_records
 from lakeshift.llm.substring import op2_substring_dedup
 from lakeshift.llm.tokencount import op9_token_counts
+from lakeshift.llm.warc import op13_warc
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_mixture, op2_substring_dedup, op3_near_dedup, op4_line_dedup, op5_quality_classifier,
     op6_language_id, op7_token_records, op8_decontamination, op9_token_counts, op10_adaptive_rules,
-    op11_conversation_repair,
+    op11_conversation_repair, op13_warc,
 ]
 
 
