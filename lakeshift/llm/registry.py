@@ -12,6 +12,7 @@ from lakeshift.llm.langid import op6_language_id
 from lakeshift.llm.line_templates import op4_line_dedup
 from lakeshift.llm.minhash import op3_near_dedup
 from lakeshift.llm.mixing import op1_mixture
+from lakeshift.llm.phrases import op12_phrases
 from lakeshift.llm.quality import op5_quality_classifier
 from lakeshift.llm.records import op7_token_records
 from lakeshift.llm.substring import op2_substring_dedup
@@ -21,7 +22,7 @@ from lakeshift.llm.warc import op13_warc
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_mixture, op2_substring_dedup, op3_near_dedup, op4_line_dedup, op5_quality_classifier,
     op6_language_id, op7_token_records, op8_decontamination, op9_token_counts, op10_adaptive_rules,
-    op11_conversation_repair, op13_warc,
+    op11_conversation_repair, op12_phrases, op13_warc,
 ]
 
 
