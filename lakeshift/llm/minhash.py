@@ -14,8 +14,8 @@
    about one comparison per member and never emits its pairs. Clusters of several blocks go on:
    a few members of the first block's largest part are tried against the other blocks, then
    every member that this has not joined to that part is tried against all blocks, after which
-   no untried pair can connect anything.
-4. *Components* by minimum labels with pointer jumping, as joins; nothing is collected.
+   no untried pair can connect anything. A task holds one block and a chunk of what is tried against it.
+4. *Components* by large and small stars, as joins that end when nothing changes; nothing is collected.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with
 nothing and is its own component; fewer words than a shingle make one shingle; null doc_ids
@@ -25,14 +25,14 @@ no rows; extra columns are ignored.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import NULL_ID, empty_text, id_key, load, stored, with_workers
+from lakeshift.llm.shared import NULL_ID, drop, empty_text, id_key, load, stored, text_digest, with_workers
 from lakeshift.llm.textkit import Words, mix, rolling, slices
 
 SHINGLE = 2
@@ -236,24 +236,22 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
 
 
-def confirm(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-    """Links of the labels of (digest, packed, set, label, probe) rows to one label of their component.
+def confirm(rows: list[tuple], probes: Sequence[tuple] = ()) -> list[tuple[bytes, bytes]]:
+    """Links of the labels of (digest, packed, set, label) rows to one label of their component.
 
-    Rows of one label count as connected already; with probes, only pairs that hold one are
-    tried. Pairs are tried by falling estimate.
+    Rows of one label count as connected already; with probes, each of them is tried against all
+    rows, else all pairs of rows. Pairs are tried by falling estimate.
     """
+    members, rows = len(rows), [*rows, *probes]
     packed = np.frombuffer(b"".join(r[1] for r in rows), np.uint64).reshape(len(rows), -1)
     sets = [np.frombuffer(r[2], np.uint64) for r in rows]
     size = np.array([len(s) for s in sets])
     forest, first = Forest(len(rows)), {}
     for i, r in enumerate(rows):
         forest.join(i, first.setdefault(r[3], i))
-    probes = [i for i, r in enumerate(rows) if r[4]]
-    partial = bool(probes)
-    members = np.array([i for i, r in enumerate(rows) if not r[4]], np.int64)
     guess, left, right = [], [], []
-    for i in probes or range(len(rows) - 1):
-        others = members if partial else np.arange(i + 1, len(rows))
+    for i in range(members, len(rows)) if probes else range(members - 1):
+        others = np.arange(members) if probes else np.arange(i + 1, members)
         e = estimates(packed[i], packed[others])
         near = (e >= FLOOR) & (100 * np.minimum(size[i], size[others]) >= THRESHOLD * np.maximum(size[i], size[others]))
         guess.append(e[near].astype(np.float32))
@@ -269,15 +267,36 @@ def confirm(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
     return [(label, root) for label, root in roots if label != root]
 
 
-def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (cluster, block, digest, packed, members, label, probe) -> confirmed links of labels."""
-    for group in _groups(batches, 2):
-        rows = [g[2:] for g in group]
-        rows = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]  # a repeated row counts once
-        found = confirm(rows) if len(rows) > 1 else []
+def confirm_batches(batches: Iterator[pa.RecordBatch], chunk: int, probing: bool) -> Iterator[pa.RecordBatch]:
+    """Sorted (cluster, block, probe, digest, packed, members, label) -> confirmed links of labels.
+
+    The rows of a block are held; ``probing``, the probes behind them pass by in chunks, else all
+    pairs of the block are tried.
+    """
+    key, rows, probes, before = None, [], [], None
+
+    def close() -> Iterator[pa.RecordBatch]:
+        found = confirm(rows, probes) if rows and (probes or not probing) else []
         if found:
             yield _edges(found)
 
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:2] != key:
+                yield from close()
+                key, rows, probes = row[:2], [], []
+            if row[:4] == before:
+                continue  # a repeated row counts once
+            before = row[:4]
+            if row[2]:
+                probes.append(row[3:])
+                if len(probes) >= chunk:
+                    yield from close()
+                    probes = []
+            else:
+                rows.append(row[3:])
+    yield from close()
+
 
 def set_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """(digest, text, ...) -> the same rows with the sorted shingle hashes in place of the text."""
@@ -291,33 +310,45 @@ def set_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.
                 ["digest", "members", "packed", "cluster"])
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def _checked(links: DataFrame) -> tuple:
+    """Number and order-free hash of a set of links: equal for equal sets."""
+    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(a, b) links -> (node, label): the least node of each connected component, for nodes with links.
 
-    Every round takes the least label among a node and its neighbours and then that label's own
-    label; rounds end when no label changes. Each round is written to the shared folder.
+    Links are contracted within tasks first. Then a round hangs every greater neighbour of a node on
+    the least one around it (large star), and every node with its lesser neighbours on the least
+    of those (small star), until the links stay the same: then each node hangs on its
+    component's least. The number of rounds grows with the logarithm of the longest path, not with it.
+    Minima are combined before they are shuffled, links of a hub are split by skew handling.
     """
     a, b = F.col("a"), F.col("b")
-    ends = F.explode(F.array(F.struct(a, b), F.struct(b.alias("a"), a.alias("b")), F.struct(a, a.alias("b")), F.struct(b.alias("a"), b)))
-    edges = stored(edges.select("a", "b"), "edges").mapInArrow(contract_batches, "a binary, b binary")
-    both = stored(edges.select(ends.alias("e")).select("e.a", "e.b").distinct(), "links")
-    labels = both.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
-    for _ in range(rounds):
-        met = (both.join(labels, both["b"] == labels["node"]).groupBy("a")
-               .agg(F.min("label").alias("label"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was")))
-        met = stored(met.withColumnRenamed("a", "node"), "met")
-        if met.filter(F.col("was") != F.col("label")).isEmpty():
-            return met.select("node", "label")
-        jump = met.select(F.col("node").alias("_n"), F.col("label").alias("_up"))
-        labels = met.join(jump, F.col("label") == F.col("_n")).select("node", F.col("_up").alias("label"))
-    raise RuntimeError("components did not settle")
-
-
-def _confirmed(rows: DataFrame) -> DataFrame:
+    links = edges.select("a", "b").mapInArrow(contract_batches, "a binary, b binary")
+    links = stored(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter(a != b).distinct(), "links")
+    seen = _checked(links)
+    while True:
+        ends = links.select(F.explode(F.array(F.struct(a, b), F.struct(b.alias("a"), a.alias("b")))).alias("e")).select("e.a", "e.b")
+        least = ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = stored(ends.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        lesser = large.groupBy("a").agg(F.min("b").alias("m"))
+        hung = large.join(lesser, "a")
+        small = hung.select("a", F.col("m").alias("b")).unionByName(hung.filter(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b")))
+        small = stored(small.distinct(), "small-star")
+        drop(links, large)
+        links, before, seen = small, seen, _checked(small)
+        if seen == before:
+            break
+    root = links.select(b.alias("node"), b.alias("label")).distinct()
+    return links.select(a.alias("node"), b.alias("label")).unionByName(root)
+
+
+def _confirmed(rows: DataFrame, probing: bool) -> DataFrame:
     """Confirmed links of (cluster, block, digest, packed, members, label, probe) rows."""
-    rows = rows.select("cluster", "block", "digest", "packed", "members", "label", "probe")
-    return stored(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "digest")
-                  .mapInArrow(confirm_batches, "a binary, b binary"), "confirmed")
+    rows = rows.select("cluster", "block", "probe", "digest", "packed", "members", "label")
+    return stored(rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "probe", "digest")
+                  .mapInArrow(lambda batches: confirm_batches(batches, BLOCK, probing), "a binary, b binary"), "confirmed")
 
 
 def class_components(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
@@ -334,16 +365,17 @@ def class_components(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFr
               .mapInArrow(candidate_batches, "a binary, b binary"))
     large = shared.filter((F.col("size") > BLOCK) & (F.col("digest") != F.col("hub"))).select(F.col("digest").alias("a"), F.col("hub").alias("b"))
     clusters = components(forest.unionByName(large))
+    drop(shared)
     # the full sets of candidates only, each from one document of its class
     wanted = (clusters.withColumnRenamed("node", "digest").withColumnRenamed("label", "cluster").join(classes, "digest")
               .select("digest", "packed", "cluster", F.col("one.doc_id").alias("_id"), F.col("one.tie").alias("_tie")))
-    text = docs.select(F.col("doc_id").alias("_d"), F.hash("text").alias("_t"), "text")
+    text = docs.select(F.col("doc_id").alias("_d"), text_digest(F.col("text")).alias("_t"), "text")
     match = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t"))
     sets = (wanted.join(text, match).select("digest", "text", "packed", "cluster")
             .mapInArrow(lambda batches: set_batches(batches, shingle), "digest binary, members binary, packed binary, cluster binary"))
     sizes = clusters.groupBy(F.col("label").alias("cluster")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     sets = stored(sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks"))), "sets")
-    within = _confirmed(sets.withColumn("label", F.col("digest")).withColumn("probe", F.lit(False)))
+    within = _confirmed(sets.withColumn("label", F.col("digest")).withColumn("probe", F.lit(False)), False)
     within = within.select(F.col("a").alias("digest"), F.col("b").alias("label"))
     wide = sets.filter("blocks > 1")
     if wide.isEmpty():
@@ -355,13 +387,13 @@ def class_components(signed: DataFrame, docs: DataFrame, shingle: int) -> DataFr
     ranked = F.row_number().over(Window.partitionBy("cluster").orderBy("digest"))
     probes = (marked.filter("block = 0").join(main, "cluster").filter("label = _main").withColumn("_r", ranked)
               .filter(F.col("_r") <= PROBES).drop("_r", "_main"))
-    probed = _confirmed(_against(marked, probes))
+    probed = _confirmed(_against(marked, probes), True)
     joined = probed.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(probed.select(F.col("b").alias("x"), F.col("a").alias("y")))
     # what that has not joined to the largest part meets every other block
     inner = main.select(F.col("_main").alias("x")).unionByName(
         joined.join(main, F.col("y") == F.col("_main")).select("x")).distinct()
     outside = marked.join(inner, F.col("label") == F.col("x"), "left_anti")
-    late = _confirmed(_against(marked, outside))
+    late = _confirmed(_against(marked, outside), True)
     over = components(probed.unionByName(late)).select(F.col("node").alias("label"), F.col("label").alias("_over"))
     named = sets.select("digest").join(within, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     return named.join(over, "label", "left").select("digest", F.coalesce("_over", "label").alias("label"))
@@ -375,12 +407,12 @@ def _against(members: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def _judged(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, tie (text hash), n and component_id of each row of ``docs``."""
+    """doc_id, tie (text digest), n and component_id of each row of ``docs``."""
     with_workers(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text"))
-    signed = stored(docs.select("doc_id", "text", F.hash("text").alias("tie")).mapInArrow(
+    signed = stored(docs.select("doc_id", "text", text_digest(F.col("text")).alias("tie")).mapInArrow(
         lambda batches: sign_batches(batches, shingle),
-        "doc_id long, tie int, digest binary, n long, bands binary, packed binary"), "signed")
+        "doc_id long, tie binary, digest binary, n long, bands binary, packed binary"), "signed")
     linked = class_components(signed, docs, shingle)
     first = signed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("_first"))
     joined = first.join(linked, "digest", "left").withColumn("_part", F.coalesce("label", "digest"))
@@ -401,14 +433,14 @@ def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """One row of ``docs`` of each component, all columns kept; rows without a shingle all stay.
 
     The row of the smallest doc_id (nulls last) stays; among rows of that id the one of the
-    least text hash, and one of equal rows.
+    least text digest, and one of equal rows.
     """
     found = _judged(docs.select("doc_id", "text"), shingle)
     place = F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_i"), F.col("tie").alias("_t"))
     chosen = found.filter("n > 0").groupBy("_part").agg(F.min(place).alias("_p")).select("_p._i", "_p._t", F.lit(True).alias("_one"))
     empty = found.filter("n = 0").select(place.alias("_p")).distinct().select("_p._i", "_p._t", F.lit(False).alias("_one"))
     same = Window.partitionBy("_id", "_tie").orderBy("_id")
-    keyed = docs.select(F.struct("*").alias("_doc"), F.hash(empty_text()).alias("_tie"), id_key().alias("_id"))
+    keyed = docs.select(F.struct("*").alias("_doc"), text_digest(empty_text()).alias("_tie"), id_key().alias("_id"))
     rows = keyed.join(chosen.unionByName(empty), (F.col("_id") == F.col("_i")) & (F.col("_tie") == F.col("_t")))
     return rows.withColumn("_row", F.row_number().over(same)).filter("_row = 1 or not _one").select("_doc.*")
 

@@ -22,7 +22,7 @@ bin are numbered in one window. All of it is DataFrame code.
 Defined results: a null or empty text has size 0, is taken 0 words and, as it uses no demand,
 stands in the mix with one copy if it comes before the target of its source; sources that
 hold no words have target 0; a null source is a source of its own, last; rows with equal
-doc_id are ordered by size and text hash, and repeated rows are rows of their own; an empty table gives no
+doc_id are ordered by size and text digest, and repeated rows are rows of their own; an empty table gives no
 rows; extra columns with any names do not matter.
 """
 from __future__ import annotations
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import id_key, load, stored
+from lakeshift.llm.shared import empty_text, id_key, load, stored, text_digest
 
 #: The repeating weights, the share of all words, the greatest repetition.
 WEIGHTS = (5, 2, 1)
@@ -68,7 +68,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     cap = (F.col("source_size") * MOST).cast("double")
     by = by.withColumn("_open", F.col("_level") * F.col("weight") < cap)
     # the first open row's level is the water level; levels of later rows do not count
-    water = F.min(F.when(F.col("_open"), F.struct(cap / F.col("weight"), F.coalesce("source", F.lit("")), F.col("_level").alias("level")))).over(everything)["level"]
+    water = F.min(F.when(F.col("_open"), F.struct(
+        cap / F.col("weight"), F.col("source").isNull(), F.coalesce("source", F.lit("")), F.col("_level").alias("level")))).over(everything)["level"]
     return (by.withColumn("_water", water)
             .withColumn("target", F.when(F.col("_water").isNull(), cap)
                         .otherwise(F.least(cap, F.col("_water") * F.col("weight"))))
@@ -87,7 +88,7 @@ def positions(docs: DataFrame) -> DataFrame:
     """Size, target, words taken and training positions of each row of ``docs`` (doc_id, text, source)."""
     sizes = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        n_words(F.col("text").cast("string")).alias("size"), F.xxhash64("text").alias("_text")), "mix-sizes")
+        n_words(F.col("text").cast("string")).alias("size"), text_digest(empty_text()).alias("_text")), "mix-sizes")
     return _positioned(sizes, stored(source_targets(sizes), "mix-targets"))
 
 
@@ -125,13 +126,13 @@ def _positioned(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed set itself: the rows of ``docs``, once for each copy taken, range-sorted by training position.
 
-    Positions are found on slim rows and meet the documents by (doc_id, text hash); the
+    Positions are found on slim rows and meet the documents by (doc_id, text digest); the
     k-th of equal rows takes the k-th list of positions.
     """
     key = ["_id", "_hash"]
     slim = positions(docs).select(id_key().alias("_id"), F.col("_text").alias("_hash"), F.struct("positions").alias("_p"))
     lists = slim.groupBy(*key).agg(F.sort_array(F.collect_list("_p")).alias("_lists"))
-    keyed = docs.select(F.struct("*").alias("_row"), id_key().alias("_id"), F.xxhash64(F.col("text")).alias("_hash"))
+    keyed = docs.select(F.struct("*").alias("_row"), id_key().alias("_id"), text_digest(empty_text()).alias("_hash"))
     nth = F.row_number().over(Window.partitionBy(*key).orderBy("_id"))
     rows = keyed.withColumn("_nth", nth).join(lists, key)
     rows = rows.withColumn("_at", F.explode(F.get("_lists", F.col("_nth") - 1)["positions"]))

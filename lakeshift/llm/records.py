@@ -4,20 +4,25 @@ File format (all numbers little-endian), one frame per document, files ordered b
 (part number, file counter):
 
     u32 length | u32 masked CRC of the length | payload | u32 masked CRC of the payload | 0x0A
-    payload: u8 flags (1: the id is null, 2: 16-bit ids) | i64 doc_id | token ids
+    payload: u8 flags (1: the id is null, 2: 16-bit ids, 4: padding) | i64 doc_id | token ids
 
 A masked checksum is the CRC-32 rotated right by 15 bits plus a constant, so that a checksum
 stored in data does not check itself. The closing byte is the record separator of Spark's
 text writer, which writes the frames as they are: files come from Spark's own committed
 write, so a lost executor or a second attempt leaves no torn or doubled file. Documents are
-range-partitioned and sorted by doc_id before encoding; ``max_records`` bounds a file.
+range-partitioned and sorted by doc_id (rows of one id by text hash) before encoding. Frames are
+packed to rows of about ``BLOB_BYTES``, ``FILE_BLOBS`` of which fill a file; a larger frame is
+followed by padding frames (flag 4, no payload) for each further blob that it is worth, so a
+file has a bounded number of bytes, or one large frame.
 
 The index is a Parquet table (shard, offset, length, doc_id, n_tokens, start, ids_crc32) made
 by one scan that checks every frame. ``read_shuffled`` uses it to fetch records in a
 seeded random order.
 
 Encoding: pre-tokens (split as the tokenizer splits) are looked up by 64-bit hash in a cache
-of token ids; unseen ones are encoded by the tokenizers library's model. Texts are never cut.
+of token ids and confirmed by a second one of another seed (128 bits in all); a pre-token that only
+shares the first hash with another, and every unseen one, is encoded by the tokenizers library's model.
+Texts are never cut.
 
 Defined results: a null or empty text holds the end id alone; null doc_ids come first, rows
 with equal doc_id are ordered by text hash; special strings inside a text become their id, as
@@ -36,17 +41,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import fresh_path, load, with_workers
-from lakeshift.llm.textkit import _BYTE_CODE, _power, mix, slices
+from lakeshift.llm.textkit import slices, span_hashes
 from lakeshift.llm.tokencount import SPECIAL, byte_alphabet, cut_special, pre_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-MAX_RECORDS = 4096
-CACHE_ENTRIES = 1_500_000
+BLOB_BYTES, FILE_BLOBS = 2 << 20, 16
+CACHE_ENTRIES = 500_000
+SECOND_SEED = 77
 MASK_ADD = 0xA282EAD8
 HEAD = struct.Struct("<II")
 BODY = struct.Struct("<Bq")
 CLOSE = b"\n"
+PADDING = 4
 
 
 def masked(data: bytes) -> int:
@@ -68,20 +75,26 @@ class Encoder:
 
     def _clear(self) -> None:
         self._hash = np.zeros(0, np.uint64)  # sorted
+        self._check = np.zeros(0, np.uint64)
         self._at = np.zeros(0, np.int64)
         self._size = np.zeros(0, np.int32)
         self._ids = np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
         model, alphabet = self._model, self._alphabet
         found = [[t.id for t in model.tokenize(w.decode("latin-1").translate(alphabet))] for w in words]
         size = np.fromiter(map(len, found), np.int32, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint32, int(size.sum()))
+        return np.fromiter((i for f in found for i in f), np.uint32, int(size.sum())), size
+
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
+        ids, size = self._encode(words)
         at = len(self._ids) + np.cumsum(size) - size
         self._ids = np.concatenate([self._ids, ids])
         merged = np.concatenate([self._hash, hashes])
         order = np.argsort(merged, kind="stable")
         self._hash = merged[order]
+        self._check = np.concatenate([self._check, checks])[order]
         self._at = np.concatenate([self._at, at])[order]
         self._size = np.concatenate([self._size, size])[order]
 
@@ -92,11 +105,7 @@ class Encoder:
         if parts:
             buf, begins, part_at = pre_tokens(parts)
             ends = np.append(begins[1:], len(buf))
-            sums = np.zeros(len(buf) + 1, np.uint64)
-            np.cumsum(_BYTE_CODE[buf] * _power(len(buf), False), out=sums[1:])
-            hashes = mix((sums[ends] - sums[begins]) * _power(len(buf) + 1, True)[begins]
-                         + (ends - begins).astype(np.uint64))
-            del sums
+            hashes, checks = span_hashes(buf, begins, ends), span_hashes(buf, begins, ends, SECOND_SEED)
             known, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self._hash) > CACHE_ENTRIES:
                 self._clear()
@@ -105,12 +114,18 @@ class Encoder:
             new[~new] = self._hash[place[~new]] != known[~new]
             if new.any():
                 data = buf.tobytes()
-                self._learn(known[new], [data[begins[i]:ends[i]] for i in where[new].tolist()])
+                self._learn(known[new], checks[where[new]], [data[begins[i]:ends[i]] for i in where[new].tolist()])
                 place = np.searchsorted(self._hash, known)
             size = self._size[place][inverse].astype(np.int64)
-            at = self._at[place][inverse]
+            at, ids = self._at[place][inverse], self._ids
+            other = np.flatnonzero(self._check[place][inverse] != checks)
+            if len(other):  # another pre-token of the same first hash
+                data = buf.tobytes()
+                more, n = self._encode([data[begins[i]:ends[i]] for i in other.tolist()])
+                size[other], at[other] = n, len(ids) + np.cumsum(n) - n
+                ids = np.concatenate([ids, more])
             stop = np.cumsum(size)
-            flat = self._ids[np.repeat(at - (stop - size), size) + np.arange(int(stop[-1]))]
+            flat = ids[np.repeat(at - (stop - size), size) + np.arange(int(stop[-1]))]
             part_first = np.searchsorted(begins, part_at)
             part_stop = stop[np.append(part_first[1:], len(begins)) - 1]
             part_size = np.diff(part_stop, prepend=0)
@@ -152,11 +167,25 @@ def frame(doc_id: int | None, ids: np.ndarray, narrow: bool) -> bytes:
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
 
 
+def _padding() -> bytes:
+    payload = BODY.pack(PADDING, 0)
+    length = struct.pack("<I", len(payload))
+    return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
+
+
+def blob_rows(found: list[bytes]) -> list[bytes]:
+    """Rows for the writer, which closes each: all frames in one, and padding for what it is worth beyond a blob."""
+    blob = CLOSE.join(found)
+    return [blob] + [_padding()] * (len(blob) // BLOB_BYTES - 1)
+
+
 def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
-    """(offset, length, doc_id, ids as u32) of every frame; raises ValueError on damage."""
+    """(offset, length, doc_id, ids as u32) of every frame but padding; raises ValueError on damage."""
     at = 0
     while at < len(data):
-        yield (at, *one_frame(data, at))
+        found = one_frame(data, at)
+        if not data[at + HEAD.size] & PADDING:
+            yield (at, *found)
         at += HEAD.size + struct.unpack_from("<I", data, at)[0] + 5
 
 
@@ -174,24 +203,35 @@ def one_frame(data: bytes, at: int) -> tuple[int, int | None, np.ndarray]:
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> blobs of frames."""
     own = encoder(path)
+    held, size = [], 0
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(blob_rows(held), pa.binary())], ["value"])
+
     for batch in batches:
         doc_ids = batch.column(0).to_pylist()
         for first, buf, offsets in slices(batch.column(1)):
             data = buf.tobytes()
             ids, sizes = own([data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
             stops = np.cumsum(sizes)
-            out = [frame(doc_ids[first + i], ids[b - n:b], own.narrow)
-                   for i, (b, n) in enumerate(zip(stops.tolist(), sizes.tolist()))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            for i, (b, n) in enumerate(zip(stops.tolist(), sizes.tolist())):
+                held.append(frame(doc_ids[first + i], ids[b - n:b], own.narrow))
+                size += len(held[-1])
+                if size >= BLOB_BYTES:
+                    yield rows()
+                    held, size = [], 0
+    if held:
+        yield rows()
 
 
 def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(path, content) of files -> their records, every frame checked."""
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
-            data, rows, start = content.as_buffer().to_pybytes(), [], 0
-            for at, length, doc_id, ids in frames(data):
+            rows, start = [], 0
+            for at, length, doc_id, ids in frames(memoryview(content.as_buffer())):
                 rows.append((path.as_py(), at, length, doc_id, len(ids), start, zlib.crc32(ids.tobytes())))
                 start += len(ids)
             columns = list(zip(*rows)) or [()] * 7
@@ -231,19 +271,18 @@ def stored_order(docs: DataFrame) -> list[Column]:
     return [F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"part-(\d+)", r"-c(\d+)\.")] + [F.col("_metadata.row_index")]
 
 
-def write_records(docs: DataFrame, folder: str, path: str, max_records: int = MAX_RECORDS, order: list[Column] | None = None) -> None:
+def write_records(docs: DataFrame, folder: str, path: str, order: list[Column] | None = None) -> None:
     """Encode ``docs`` (doc_id, text) into ``folder``/data and its index into ``folder``/index, in the
     order of the columns ``order`` or else by doc_id."""
     spark = with_workers(docs.sparkSession)
     names = [f"_order{i}" for i in range(len(order or ()))]
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        *[c.alias(n) for c, n in zip(order or (), names)])
-    by = [F.col(n) for n in names] or [F.col("doc_id").asc_nulls_first()]
-    rows = (rows.repartitionByRange(*by).sortWithinPartitions(*(by if order else [*by, F.xxhash64("text")]))
-            .select("doc_id", "text"))
+    by = [F.col(n) for n in names] or [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     (rows.mapInArrow(lambda batches: encode_batches(batches, path), "value binary")
      .select(F.col("value").cast("string"))
-     .write.option("maxRecordsPerFile", max_records).option("compression", "none").text(f"{folder}/data"))
+     .write.option("maxRecordsPerFile", FILE_BLOBS).option("compression", "none").text(f"{folder}/data"))
     scan_records(spark, folder).write.parquet(f"{folder}/scan")
     with_starts(spark.read.schema(RECORD).parquet(f"{folder}/scan")).write.parquet(f"{folder}/index")
 
@@ -259,7 +298,7 @@ def read_shuffled(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, offsets in zip(batch.column(0), batch.column(1)):
-                data = content.as_buffer().to_pybytes()
+                data = memoryview(content.as_buffer())
                 got = [one_frame(data, at)[1:] for at in offsets.as_py()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1].astype(np.int64) for g in got], pa.list_(pa.int64()))],

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.session import scratch_path
+from lakeshift.session import scratch_path, shared_dir
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -35,13 +35,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm-{name}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at durable files."""
     path = fresh_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        for folder in folders:
+            if f"{shared_dir(spark).rstrip('/').split(':')[-1]}/lakeshift/llm-" not in folder:
+                raise ValueError(f"not a written intermediate table: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
 

@@ -20,10 +20,10 @@ that also starts earlier (smaller document, or earlier in the same one).
 4. *Removal.* Repeats come out as word ranges per document, are gathered by document and
    joined to the texts.
 
-Documents are told apart by (doc_id, text hash). Defined results: a null or empty text has no
+Documents are told apart by (doc_id, 128-bit digest of the text). Defined results: a null or empty text has no
 words; null doc_ids come after all others; a row repeated whole (same id and text) is the same
 document seen again and is judged alike; rows with one id and different texts are ordered by
-text hash; windows never cross documents; texts of any length are processed whole; extra
+that digest; windows never cross documents; texts of any length are processed whole; extra
 columns are ignored; an empty table gives no rows.
 """
 from __future__ import annotations
@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import empty_text, id_key, load, stored, with_workers
+from lakeshift.llm.shared import empty_text, id_key, load, stored, text_digest, with_workers
 from lakeshift.llm.textkit import SLICE_BYTES, Words, rolling, slices
 
 WIDTH = 20
@@ -46,7 +46,7 @@ BATCH_BYTES = 8 << 20
 #: Bounds of the sample behind the compression dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 4000, 1 << 16
 
-ROW = "mini int, packed binary, id long, tie int, start int, stop int, many boolean"
+ROW = "mini int, packed binary, id long, tie binary, start int, stop int, many boolean"
 NAMES = ["mini", "packed", "id", "tie", "start", "stop", "many"]
 
 
@@ -187,7 +187,7 @@ class Combiner:
 def _rows(minis: list, packed: list, places: list, many: list) -> pa.RecordBatch:
     i, tie, start, stop = zip(*places)
     return pa.RecordBatch.from_arrays(
-        [pa.array(minis, pa.int32()), pa.array(packed, pa.binary()), pa.array(i, pa.int64()), pa.array(tie, pa.int32()),
+        [pa.array(minis, pa.int32()), pa.array(packed, pa.binary()), pa.array(i, pa.int64()), pa.array(tie, pa.binary()),
          pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(many)], NAMES)
 
 
@@ -195,7 +195,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], classes: np.ndarray, width:
     """(id, tie, text) -> super-k-mers and the repeats already known (packed null)."""
     own = Combiner(packer(dictionary))
     for batch in batches:
-        ids, ties = (batch.column(k).to_numpy() for k in (0, 1))
+        ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
         for first, buf, offsets in slices(batch.column(2)):
             rows = slice(first, first + len(offsets) - 1)
             own.add(Words(buf, offsets), ids[rows], ties[rows], classes, width)
@@ -204,7 +204,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], classes: np.ndarray, width:
     yield from own.flush()
 
 
-def bucket_repeats(strings: list[tuple[bytes, tuple]], width: int) -> list[tuple[int, int, int, int]]:
+def bucket_repeats(strings: list[tuple[bytes, tuple]], width: int) -> list[tuple[int, bytes, int, int]]:
     """Word ranges of repeated windows among the distinct strings of one minimiser."""
     windows = []
     for k, (packed, (i, tie, start, _)) in enumerate(strings):
@@ -232,7 +232,8 @@ def bucket_repeats(strings: list[tuple[bytes, tuple]], width: int) -> list[tuple
     return out
 
 
-RANGE = "id long, tie int, start int, stop int"
+RANGE = "id long, tie binary, start int, stop int"
+RANGE_TYPES = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
 
 
 def count_buckets(batches: Iterator[pa.RecordBatch], width: int, dictionary: bytes) -> Iterator[pa.RecordBatch]:
@@ -248,8 +249,7 @@ def count_buckets(batches: Iterator[pa.RecordBatch], width: int, dictionary: byt
         inner = False
 
     def ranges(found: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k else pa.int64()) for k, c in enumerate(columns)], NAMES[2:6])
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), RANGE_TYPES)], NAMES[2:6])
 
     for batch in batches:
         known = batch.column(1).is_null().to_numpy(zero_copy_only=False)
@@ -352,10 +352,10 @@ def repeat_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text of each row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), F.hash(empty_text()).alias("tie"), empty_text().alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), id_key().alias("id"), text_digest(empty_text()).alias("tie"), empty_text().alias("text"))
     ranges = stored(repeat_ranges(docs, width), "substring-ranges")
     by_doc = ranges.groupBy("id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie int, small binary")
+    small = docs.mapInArrow(shrink_batches, "doc_id long, id long, tie binary, small binary")
     return (small.join(by_doc, ["id", "tie"], "left").select("doc_id", "small", "starts", "stops")
             .mapInArrow(keep_batches, "doc_id long, n_words long, n_removed long, kept_text string"))
 

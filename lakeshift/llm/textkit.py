@@ -7,6 +7,8 @@ memory of a Python worker whatever the batch holds.
 """
 from __future__ import annotations
 
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,10 @@ for _lo, _hi in ((0x30, 0x3A), (0x61, 0x7B), (0x80, 0x100)):
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
-_BYTE_CODE = np.random.default_rng(20240517).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: The low bytes of a word of eight that belong to a span of so many bytes.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer spans are hashed one by one.
+LONG_SPAN = 1 << 12
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,21 +43,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[str, np.ndarray] = {}
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each span of bytes, eight bytes a step for all spans at once.
 
-
-def _power(n: int, inverse: bool) -> np.ndarray:
-    name = "inverse" if inverse else "plain"
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        base = pow(int(_ODD), -1, 1 << 64) if inverse else int(_ODD)
-        steps = np.full(max(n, SLICE_BYTES + 1), np.uint64(base))
-        steps[0] = 1
-        have = np.cumprod(steps)
-        if n > 4 * SLICE_BYTES:  # do not keep what one very long text needed
-            return have
-        _powers[name] = have
-    return have[:n]
+    Every step is a bijection of the state, so equal lengths of up to eight bytes never
+    collide; other pairs do with odds of 2 ** -64, whatever the pattern of their bytes.
+    """
+    size = end - start
+    h = mix(size.astype(np.uint64) * _ODD + np.uint64(seed))
+    long = np.flatnonzero(size > LONG_SPAN)
+    for i in long.tolist():
+        digest = hashlib.blake2b(buf[start[i]:end[i]], digest_size=8, salt=struct.pack("<q", seed)).digest()
+        h[i] = int.from_bytes(digest, "little")
+    live = np.flatnonzero((size > 0) & (size <= LONG_SPAN)) if len(long) or not size.all() else np.arange(len(size))
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded, (len(buf) + 1, 8), (1, 1))
+    at, left = start[live], size[live]
+    while len(live):
+        block = eights[at].view(np.uint64).reshape(-1) & _LOW[np.minimum(left, 8)]
+        h[live] = mix(h[live] ^ block)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return h
 
 
 def slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -108,12 +120,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word; equal words have equal hashes wherever they stand."""
-        n = len(self.buf)
-        sums = np.zeros(n + 1, np.uint64)
-        if n:
-            np.cumsum(_BYTE_CODE[self.buf] * _power(n, False), out=sums[1:])
-        raw = (sums[self.end] - sums[self.start]) * _power(n + 1, True)[self.start]
-        return mix(raw + (self.end - self.start).astype(np.uint64))
+        return span_hashes(self.buf, self.start, self.end)
 
 
 def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
