@@ -14,12 +14,22 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 NULL_ID = (1 << 63) - 1
 
 
+#: Bytes of one Arrow batch, and what keeps freed memory from staying with Python workers.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
+
+
 def with_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package when it runs from a source tree.
+    """Let Python workers import this package when it runs from a source tree, and bound their memory:
+    Arrow batches of 8 MB where the session does not set a size, freed memory given back.
 
     On a cluster the package is installed on the executors or sent with ``--py-files``.
     """
+    if spark.sparkContext.getConf().get(ARROW_BYTES) is None:
+        spark.conf.set(ARROW_BYTES, str(8 << 20))
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *[p for p in paths if p]])

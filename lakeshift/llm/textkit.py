@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 #: The ASCII white space that separates words, \x20 and \x09-\x0D.
 WHITE_SPACE = b"\t\n\x0b\x0c\r "
