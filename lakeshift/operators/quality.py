@@ -111,6 +111,33 @@ def date_not_future_rule(column: str, now: str | None = None) -> DQRule:
     return DQRule(f"not_future_{column}", column, check, severity=WARNING)
 
 
+def row_rule(name: str, column: str, check_fn: Callable, fix_fn: Callable | None = None,
+             severity: str = ERROR) -> DQRule:
+    """A user rule of plain Python callables on single values, which may raise: a check that raises
+    fails its row, a fix that raises (or returns what the column's type cannot hold) keeps the value.
+    Values move in Arrow batches; write rules as Column expressions where they allow it."""
+    def check(c: Column, dtype: T.DataType) -> Column:
+        def safe(value):
+            try:
+                return bool(check_fn(value))
+            except Exception:  # noqa: BLE001 - the rule's own failure is the row's
+                return False
+        return F.udf(safe, "boolean", useArrow=True)(c)
+
+    def fix(c: Column, dtype: T.DataType) -> Column:
+        def safe(value):
+            import pyarrow as pa
+            from pyspark.sql.pandas.types import to_arrow_type
+            try:
+                new = fix_fn(value)
+                pa.array([new], to_arrow_type(dtype))
+                return new
+            except Exception:  # noqa: BLE001
+                return value
+        return F.udf(safe, dtype, useArrow=True)(c)
+    return DQRule(name, column, check, fix if fix_fn is not None else None, severity)
+
+
 # ── engine ─────────────────────────────────────────────────────────────────
 def _p(i):
     return f"__dq_p{i}"

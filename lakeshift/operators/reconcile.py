@@ -266,6 +266,51 @@ def _pk_check_frame(source: DataFrame, target: DataFrame, pk: str, table_name: s
                                msg, order).alias("r")).select("r.*")
 
 
+# ── drill-down by digests ───────────────────────────────────────────────────
+BUCKETS = 4096
+ONLY_SOURCE, ONLY_TARGET, DIFFERS = "only_source", "only_target", "differs"
+
+
+def differing_buckets(source: DataFrame, target: DataFrame, key: str, compare: Sequence[str] = (),
+                      buckets: int = BUCKETS) -> DataFrame:
+    """``__bucket`` of the key hashes whose rows differ: an order-free digest per bucket (rows, sum and
+    exclusive or of row hashes), at most ``buckets`` rows, combined map-side."""
+    rows = _signed(source, target, key, compare, buckets)
+    digest = rows.groupBy("__bucket").agg(F.sum("__sign").alias("n"), F.sum(F.col("__sign") * F.col("__row").cast("decimal(38,0)")).alias("s"),
+                                          F.bit_xor("__row").alias("x"))
+    return digest.filter("n <> 0 or s <> 0 or x <> 0").select("__bucket")
+
+
+def _signed(source: DataFrame, target: DataFrame, key: str, compare: Sequence[str], buckets: int) -> DataFrame:
+    """Both sides with their key, bucket, sign (1 source, -1 target) and row hash, in common types."""
+    def kind(c: str) -> T.DataType:
+        a, b = (df.schema[c].dataType for df in (source, target))
+        return a if a == b else _common_type(a, b)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        k = F.col(f"`{key}`").cast(kind(key))
+        # an absent value is told from every present one by the flag beside it
+        values = [x for c in compare for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast(kind(c)))]
+        return df.select(k.alias("__key"), F.pmod(F.xxhash64(k), F.lit(buckets)).alias("__bucket"), F.lit(sign).alias("__sign"),
+                         F.xxhash64(k, *values).alias("__row"))
+    return side(source, 1).unionByName(side(target, -1))
+
+
+def key_differences(source: DataFrame, target: DataFrame, key: str, compare: Sequence[str] = (),
+                    buckets: int = BUCKETS) -> DataFrame:
+    """``key``, ``difference`` of the keys (null included) that one side lacks or whose rows differ in the
+    ``compare`` columns or their number. Only rows of buckets whose digests differ are shuffled by key;
+    the list of those has at most ``buckets`` rows and is broadcast. Equal tables shuffle no key."""
+    rows = _signed(source, target, key, compare, buckets)
+    wanted = F.broadcast(differing_buckets(source, target, key, compare, buckets))
+    keys = rows.join(wanted, "__bucket", "left_semi").groupBy("__key").agg(
+        F.count_if(F.col("__sign") > 0).alias("a"), F.count_if(F.col("__sign") < 0).alias("b"),
+        F.sum(F.col("__sign") * F.col("__row").cast("decimal(38,0)")).alias("s"), F.bit_xor("__row").alias("x"))
+    kind = (F.when(F.col("b") == 0, ONLY_SOURCE).when(F.col("a") == 0, ONLY_TARGET)
+            .when((F.col("a") != F.col("b")) | (F.col("s") != 0) | (F.col("x") != 0), DIFFERS))
+    return keys.select(F.col("__key").alias(key), kind.alias("difference")).filter("difference is not null")
+
+
 # ── public API ─────────────────────────────────────────────────────────────
 def check_row_count(source: DataFrame, target: DataFrame, table_name: str,
                     tolerance_pct: float = 0.0, layer: str = "silver") -> DataFrame:

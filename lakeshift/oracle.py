@@ -736,6 +736,26 @@ FROM stg_orders""",
     "bronze_split_written": BRONZE["bronze_ingest"],
     "stream_bronze_ingest": BRONZE["bronze_ingest"],
     "stream_bronze_quarantine": BRONZE["bronze_quarantine"],
+    "ingest_suite_retry": """
+SELECT *, CASE WHEN OrderDate < DATE '1998-01-01' THEN DATE '2024-03-02' ELSE DATE '2024-03-03' END AS ingestion_date
+FROM orders_src WHERE OrderDate IS NOT NULL""",
+    "stream_upsert": LANDED + """
+SELECT CustomerID, CASE WHEN AccountManagerID % 2 = 0 THEN 'moved' ELSE CustomerStatus END AS CustomerStatus,
+       CASE WHEN AccountManagerID % 2 = 0 THEN 'NEW ' || RegionCode ELSE RegionCode END AS RegionCode, AccountManagerID
+FROM bronze_valid""",
+    "dq_raising_rule": SILVER + f"""
+SELECT {DQ_ID}, CASE WHEN upper(trim(ChannelCode)) = 'DIRECT' THEN 'DIR' ELSE ChannelCode END AS ChannelCode,
+       coalesce(upper(trim(ChannelCode)) IN ('ONLINE', 'PHONE'), false) AS passed FROM orders_dq""",
+    "dq_not_future_text": SILVER + f"""
+SELECT {DQ_ID}, CAST(ShipDate AS VARCHAR) AS ShipDate,
+       ShipDate IS NULL OR CAST(ShipDate AS VARCHAR) <= '1998-06-01T00:00:00.000000' AS passed FROM orders_dq""",
+    "recon_key_drilldown": SILVER + """
+SELECT * FROM (
+  SELECT coalesce(s.OrderID, t.OrderID) AS OrderID,
+    CASE WHEN t.OrderID IS NULL THEN 'only_source' WHEN s.OrderID IS NULL THEN 'only_target'
+         WHEN s.TotalAmount IS DISTINCT FROM t.TotalAmount OR s.CurrencyCode IS DISTINCT FROM t.CurrencyCode THEN 'differs' END AS difference
+  FROM orders_cur s FULL OUTER JOIN silver_orders t ON s.OrderID = t.OrderID)
+WHERE difference IS NOT NULL""",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakeshift.operators.changes import CHANGE_TYPE, UNCHANGED
 from lakeshift.operators.bronze import bronze_table_schema
 from lakeshift.operators.dedup import duplicate_key, one_per_key
+from lakeshift.sinks.log import CommitLog
 from lakeshift.spec import TableSpec
 
 WRITE_MODES = ("append", "overwrite", "merge")
@@ -148,31 +149,73 @@ def merge_into_path(spark: SparkSession, target_path: str, updates: DataFrame,
     return write_table(merged, out_path, "overwrite", file_format, parts)
 
 
-def append_evolving(df: DataFrame, path: str, file_format: str = "parquet",
-                    partition_by: str | Sequence[str] | None = None) -> str:
-    """Append a batch whose schema may add columns; readers use ``read_evolving``. A column
-    whose type differs from the table's is refused before anything is written: later reads
-    of the whole table would fail."""
+SCHEMA_LOG = "_schema"
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _holds(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Whether files of the narrow type can be read as the wide one."""
+    a, b = wide.simpleString(), narrow.simpleString()
+    if a in _INTEGERS and b in _INTEGERS:
+        return _INTEGERS.index(a) >= _INTEGERS.index(b)
+    if isinstance(wide, T.DecimalType) and isinstance(narrow, T.DecimalType):
+        return wide.scale >= narrow.scale and wide.precision - wide.scale >= narrow.precision - narrow.scale
+    return a == b or (a, b) == ("double", "float")
+
+
+def _grown(have: T.StructType, new: T.StructType) -> T.StructType:
+    """The table's schema after a batch: columns added, types widened; anything else is refused."""
+    fields, clash = {f.name: f for f in have.fields}, []
+    for f in new.fields:
+        old = fields.get(f.name)
+        if old is None or _holds(f.dataType, old.dataType):
+            fields[f.name] = T.StructField(f.name, f.dataType)
+        elif not _holds(old.dataType, f.dataType):
+            clash.append(f"{f.name}: {old.dataType.simpleString()} / {f.dataType.simpleString()}")
+    if clash:
+        raise ValueError(f"column types differ from the table's: {', '.join(clash)}")
+    return T.StructType(list(fields.values()))
+
+
+def table_schema(spark: SparkSession, path: str, file_format: str = "parquet") -> tuple[int, T.StructType]:
+    """Number and content of the table's logged schema. A table without a log is read once for it."""
+    import json
     from pyspark.errors import AnalysisException
+    number, state = CommitLog(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}").latest()
+    if number:
+        return number, T.StructType.fromJson(json.loads(state["schema"]))
     try:
-        have = {f.name: f.dataType for f in read_table(df.sparkSession, path, file_format).schema.fields}
+        return 0, read_table(spark, path, file_format).schema
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        have = {}
-    if file_format in ("parquet", "orc"):
-        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-        clash = [f"{f.name}: {have[f.name].simpleString()} / {f.dataType.simpleString()}" for f in df.schema.fields
-                 if f.name in have and f.name not in parts and have[f.name] != f.dataType]
-        if clash:
-            raise ValueError(f"column types differ from the table's: {', '.join(clash)}")
-    return write_table(df, path, "append", file_format, partition_by)
+        return 0, T.StructType([])
+
+
+def append_evolving(df: DataFrame, path: str, file_format: str = "parquet",
+                    partition_by: str | Sequence[str] | None = None) -> str:
+    """Append a batch whose schema may add columns or widen types (integers, float to double, decimals);
+    narrower columns are written in the table's type, anything else is refused before a row
+    is written. The schema lives in a log beside the data, so an append opens no data file; two
+    appends that change it at once both end up in it. Readers use ``read_evolving``."""
+    if file_format not in ("parquet", "orc"):
+        return write_table(df, path, "append", file_format, partition_by)
+    spark = df.sparkSession
+    while True:
+        number, have = table_schema(spark, path, file_format)
+        grown = _grown(have, df.schema)
+        if number and grown == have or CommitLog(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}").publish(number + 1, {"schema": grown.json()}):
+            break
+    kinds = {f.name: f.dataType for f in grown.fields}
+    rows = df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in df.columns])
+    return write_table(rows, path, "append", file_format, partition_by)
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table whose files carry different (compatible) schemas; columns
-    missing from older files read as null."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Read a Parquet table by its logged schema (no file is opened for it); columns and widths that
+    older files lack read as null and widened. A table without a log is merged from its files."""
+    number, schema = table_schema(spark, path)
+    return spark.read.schema(schema).parquet(path) if number else spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def create_bronze_table(spark: SparkSession, name: str, spec: TableSpec, path: str,
@@ -212,7 +255,8 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     keys = list(keys)
     target = read_table(spark, target_path, file_format, updates, parts)
-    updates = materialize(_as_stored(one_per_key(updates, keys, order_by), target), "merge-updates")
+    updates = one_per_key(materialize(_as_stored(updates, target), "merge-updates"), keys, order_by)
+    updates = materialize(updates, "merge-updates")
     upd_keys = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
     old = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
     touched = materialize(old.unionByName(updates.select(*parts)).distinct()

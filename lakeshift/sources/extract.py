@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakeshift.sources import loads
 from lakeshift.spec import TableSpec
 
 # The initial watermark of a first incremental load.
@@ -146,17 +147,17 @@ def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root:
     ``ingestion_date``. Returns one row per table read back from what was landed:
     table, rows landed, new watermark. The loop is over table configs, not rows.
 
-    With ``marks_path`` the marks come from the table there and the new ones, taken from
-    the landed rows only, are added to it after the data is written: a run that dies in
-    between starts from the old marks again and replaces what it had landed."""
+    With ``marks_path`` the loads are retry-safe (``lakeshift.sources.loads``): marks come from
+    each table's manifest there, and a load counts, and moves the mark, when it is published in it. A mark
+    in ``watermarks`` then loads again from there: loads that began at it or later no longer count."""
     watermarks = dict(watermarks or {})
     if marks_path is not None:
-        watermarks = read_marks(spark, marks_path) | watermarks
+        return _committed_suite(spark, configs, raw_root, database, ingestion_date, watermarks, marks_path)
     frames = []
     for cfg in configs:
         mark = watermarks.get(cfg.table.qualified_name, INITIAL_WATERMARK)
         batch = extract_incremental(spark, cfg, mark)
-        path = f"{raw_root.rstrip('/')}/raw/{database}/{cfg.table.table_name}"
+        path = landing_path(raw_root, database, cfg)
         # a load is known by the mark it starts from: the same load again replaces itself
         load_id = f"from {mark}"
         land(batch, path, ingestion_date, load_id=load_id)
@@ -167,37 +168,30 @@ def ingest_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out if marks_path is None else store_marks(out, marks_path)
+    return out
 
 
-MARKS_RUN = "run"
+def _committed_suite(spark: SparkSession, configs: Sequence[SourceConfig], raw_root: str, database: str,
+                     ingestion_date: str, watermarks: dict[str, str], marks_path: str) -> DataFrame:
+    entries = []
+    for cfg in configs:
+        table = cfg.table.qualified_name
+        path = landing_path(raw_root, database, cfg)
+        number, state = loads.manifest(spark, marks_path, table).latest()
+        have = state.get("loads", [])
+        mark = watermarks.get(table, have[-1]["mark"] if have else INITIAL_WATERMARK)
+        kept = loads.loads_before(have, mark)
+        load = loads.stage_load(extract_incremental(spark, cfg, mark), path, ingestion_date)
+        row = watermark_frame(loads.staged(spark, path, load), cfg, mark).first()
+        loads.commit_load(spark, marks_path, table, path, load, mark, row.new_watermark, row.rows_extracted, number, kept)
+        entries.append((*row, ingestion_date))
+    return loads.mark_rows(spark, entries)
 
 
-def _marks_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The mark table at ``path``, or None before its first run."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def landing_path(raw_root: str, database: str, cfg: SourceConfig) -> str:
+    return f"{raw_root.rstrip('/')}/raw/{database}/{cfg.table.table_name}"
 
 
 def read_marks(spark: SparkSession, path: str) -> dict[str, str]:
-    """Latest stored mark per table: one row for each configured table."""
-    marks = _marks_table(spark, path)
-    if marks is None:
-        return {}
-    latest = marks.groupBy("table_name").agg(F.max_by("new_watermark", MARKS_RUN).alias("mark"))
-    return {r.table_name: r.mark for r in latest.collect() if r.mark is not None}
-
-
-def store_marks(marks: DataFrame, path: str) -> DataFrame:
-    """Add one run's marks (rows of ``watermark_frame``) to the mark table at ``path`` as a
-    partition of its own and return them as stored."""
-    spark = marks.sparkSession
-    before = _marks_table(spark, path)
-    run = 1 if before is None else (before.agg(F.max(MARKS_RUN)).first()[0] or 0) + 1
-    marks.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{MARKS_RUN}={run}")
-    return spark.read.schema(marks.schema).parquet(f"{path.rstrip('/')}/{MARKS_RUN}={run}")
+    """Latest stored mark per table."""
+    return loads.stored_marks(spark, path)

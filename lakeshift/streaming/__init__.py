@@ -1,2 +1,2 @@
 """Structured Streaming bronze ingest of landed files."""
-from lakeshift.streaming.ingest import incremental_ingest, read_bronze  # noqa: F401
+from lakeshift.streaming.ingest import incremental_ingest, incremental_upsert, read_bronze  # noqa: F401
