@@ -12,6 +12,7 @@ from lakeshift.llm.langid import op6_language_id
 from lakeshift.llm.line_templates import op4_line_dedup
 from lakeshift.llm.minhash import op3_near_dedup
 from lakeshift.llm.mixing import op1_mixture
+from lakeshift.llm.oracle import SQL
 from lakeshift.llm.phrases import op12_phrases
 from lakeshift.llm.quality import op5_quality_classifier
 from lakeshift.llm.records import op7_token_records
@@ -31,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

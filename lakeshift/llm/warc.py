@@ -317,4 +317,4 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "warc")
     write_archives(load(spark, sf_dir, "pages"), folder)
     index = stored(read_archives(spark, folder), "warc-index")
-    return resolved(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "record_id")
+    return resolved(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
