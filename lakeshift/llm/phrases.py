@@ -9,11 +9,12 @@ block's own phrase numbers (0: no phrase, or a border of pieces), beside a row p
    sorted by both, that join is one pass over neighbours of a block's array: an occurrence of k + 1
    words is two frequent ones of k words, side by side.
 2. *Group-count.* Equal extensions of a block are combined; their counts meet by a shuffle on the pair
-   of k-word phrases (never on hashes), which also names the phrase: its least (block, number).
+   of k-word phrases (never on hashes), which also names the phrase: its least place
+   (block + number).
 3. *Semi-join.* Only phrases of ``LEAST`` occurrences go back to the blocks that hold them; all others
    become 0 there, so nothing infrequent is ever extended.
 
-A phrase costs a row per block that holds it, however often it stands there. Blocks are bounded: a long
+Tables are deleted as soon as the next length is written. A phrase costs a row per block that holds it, however often it stands there. Blocks are bounded: a long
 text runs over several, which share their last words so that no adjacency is lost.
 
 Candidates meet their parts by ordinary joins on phrase names; scores are exact integer quotients of
@@ -32,25 +33,28 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import load, stored, with_workers
+from lakeshift.llm.shared import drop, load, stored, with_workers
 from lakeshift.llm.textkit import slices
 
 #: Longest phrase, least occurrences, percent of a phrase's occurrences inside a longer one, rows per language.
 LONGEST, LEAST, COVERED, TOP = 4, 30, 80, 2000
 NO_LANG = "und"
 #: Positions of a block, bytes of a long text read at once, bits of a block's own numbers.
-BLOCK_WORDS, CHUNK_BYTES, BITS = 1 << 18, 1 << 18, 20
+BLOCK_WORDS, CHUNK_BYTES, BITS = 1 << 20, 1 << 18, 21
 SCALE = 2_000_000
 
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(bytes(range(65, 91)) + _CUTS + b"\t", bytes(range(97, 123)) + b"." * len(_CUTS) + b" ")
 _BETWEEN = re.compile(rb"[ .]")
 
-WORD_ROWS = "block long, lang string, idx int, word string, n int, own int, packed binary"
-PAIR_ROWS = "block long, idx int, g1 long, g2 long, n int, own int, packed binary"
+#: ``at`` is block + number; the row of number 0 holds the block itself. Tables are written small: they are most of the disk.
+WORD_ROWS = "at long, lang string, word string, n int, own int, packed binary"
+PAIR_ROWS = "at long, g1 long, g2 long, n int, own int, packed binary"
+SMALL = {"compression": "zstd"}
+NUMBER = (1 << BITS) - 1
 
 
 class Numbers(dict):
@@ -88,10 +92,10 @@ class Builder:
         packed = zstandard.ZstdCompressor(level=1).compress(places.astype("<i4").tobytes())
         first = np.arange(rows) == 0
         return pa.RecordBatch.from_arrays([
-            pa.array(np.full(rows, block)), pa.array(["" if self.lang is None else self.lang] * rows), pa.array(np.arange(rows, dtype=np.int32)),
+            pa.array(block + np.arange(rows)), pa.array([self.lang] * rows, pa.string()),
             pa.array([None, *words[1:]], pa.binary()).cast(pa.string()), pa.array(np.where(first, own - n[0], n).astype(np.int32)),
             pa.array(np.full(rows, own, np.int32), mask=~first), pa.array([packed] + [None] * (rows - 1), pa.binary())],
-            ["block", "lang", "idx", "word", "n", "own", "packed"])
+            ["at", "lang", "word", "n", "own", "packed"])
 
 
 def tokens_of(data: bytes) -> Iterator[list[bytes]]:
@@ -112,7 +116,7 @@ def word_batches(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterato
     def flush(builder: Builder, inside: bool = False) -> pa.RecordBatch:
         nonlocal n
         n += 1
-        return builder.flush(part << 40 | n - 1 << BITS, inside)
+        return builder.flush((part << 20 | n - 1) << BITS, inside)
 
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -133,7 +137,8 @@ def word_batches(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterato
 
 
 def extend_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, own, packed, frequent phrases as (idx, id)) of R(k) -> R(k+1) and its distinct phrases."""
+    """(block, own, packed, frequent phrases as (number, id)) of R(k) -> R(k+1) and its distinct phrases."""
+    names = ["at", "g1", "g2", "n", "own", "packed"]
     unpack = zstandard.ZstdDecompressor().decompress
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
@@ -153,33 +158,37 @@ def extend_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             longer[at] = which + 1
             rows = len(pairs)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(rows, block)), pa.array(np.arange(1, rows + 1, dtype=np.int32)), pa.array(name[pairs >> BITS]),
-                 pa.array(name[pairs & (1 << BITS) - 1]), pa.array(n), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                ["block", "idx", "g1", "g2", "n", "own", "packed"])
+                [pa.array(block + np.arange(1, rows + 1)), pa.array(name[pairs >> BITS]), pa.array(name[pairs & NUMBER]), pa.array(n),
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([0], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
-                 pa.array([own], pa.int32()), pa.array([pack(longer.tobytes())], pa.binary())],
-                ["block", "idx", "g1", "g2", "n", "own", "packed"])
+                [pa.array([block]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
+                 pa.array([own], pa.int32()), pa.array([pack(longer.tobytes())], pa.binary())], names)
+
+
+def _is_block() -> Column:
+    return F.col("packed").isNotNull()
 
 
 def _frequent(relation: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
-    """Group-count: the distinct phrases per block of frequent groups, with the count f and the id of the group."""
+    """Group-count: where the blocks hold phrases of frequent groups, with the id of the group; its name and
+    count f stand in the one row whose place is the id."""
     group = Window.partitionBy(*by)
-    rows = relation.filter("idx > 0").select(*by, "block", "idx", "n")
-    rows = rows.withColumn("f", F.sum("n").over(group)).withColumn("id", F.min(F.col("block") + F.col("idx")).over(group))
-    return stored(rows.filter(F.col("f") >= least).select(*by, "block", "idx", "f", "id"), name)
+    rows = relation.filter(~_is_block()).select(*by, "at", "n")
+    rows = rows.withColumn("f", F.sum("n").over(group)).withColumn("id", F.min("at").over(group)).filter(F.col("f") >= least)
+    return stored(rows.select("at", "id", *(F.when(F.col("id") == F.col("at"), F.col(c)).alias(c) for c in (*by, "f"))), name, **SMALL)
 
 
 def _one_each(frequent: DataFrame) -> DataFrame:
     """One row per phrase."""
-    return frequent.filter(F.col("id") == F.col("block") + F.col("idx")).drop("block", "idx")
+    return frequent.filter(F.col("id") == F.col("at")).drop("at")
 
 
 def _extended(relation: DataFrame, frequent: DataFrame, name: str) -> DataFrame:
     """Semi-join with the frequent phrases, then the merge-join with itself."""
-    back = frequent.groupBy("block").agg(F.collect_list(F.struct("idx", "id")).alias("found"))
-    blocks = relation.filter("idx = 0").select("block", "own", "packed").join(back, "block")
-    return stored(blocks.select("block", "own", "packed", "found").mapInArrow(extend_batches, PAIR_ROWS), name)
+    number = F.col("at").bitwiseAND(F.lit(NUMBER)).cast("int").alias("number")
+    back = frequent.groupBy((F.col("at") - number).alias("at")).agg(F.collect_list(F.struct(number, "id")).alias("found"))
+    blocks = relation.filter(_is_block()).select("at", "own", "packed").join(back, "at")
+    return stored(blocks.select("at", "own", "packed", "found").mapInArrow(extend_batches, PAIR_ROWS), name, **SMALL)
 
 
 def _joined(longer: DataFrame, parts: DataFrame) -> DataFrame:
@@ -220,17 +229,20 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: int = COV
     ``docs`` (text, lang)."""
     with_workers(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
-    relation = stored(docs.mapInArrow(lambda batches: word_batches(batches, block_words), WORD_ROWS), "phrases-1")
-    total = relation.filter("idx = 0").groupBy("lang").agg(F.sum("n").cast("long").alias("n"))
+    relation = stored(docs.mapInArrow(lambda batches: word_batches(batches, block_words), WORD_ROWS), "phrases-1", **SMALL)
+    total = stored(relation.filter(_is_block()).groupBy("lang").agg(F.sum("n").cast("long").alias("n")), "phrases-total")
     frequent = _frequent(relation, ["lang", "word"], least, "frequent-1")
     parts = _one_each(frequent).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"),
                                        F.array("f").alias("tails"))
     phrases = []
     for size in range(2, LONGEST + 1):
-        relation = _extended(relation, frequent, f"phrases-{size}")
-        frequent = _frequent(relation, ["g1", "g2"], least, f"frequent-{size}")
+        shorter, relation = relation, _extended(relation, frequent, f"phrases-{size}")
+        drop(shorter)
+        seen, frequent = frequent, _frequent(relation, ["g1", "g2"], least, f"frequent-{size}")
         parts = stored(_joined(_one_each(frequent), parts), f"joined-{size}")
+        drop(seen)
         phrases.append(parts)
+    drop(relation, frequent)
     found = None
     for size, (here, longer) in enumerate(zip(phrases, [*phrases[1:], None]), 2):
         rows = _scored(_open(here, longer, covered), size)
