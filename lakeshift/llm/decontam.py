@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import fresh_path, load, with_workers
-from lakeshift.llm.textkit import Words, rolling, slices
+from lakeshift.llm.textkit import WIDE_SLICE, Words, rolling, slices
 
 WINDOW = 13
 BLOCK_WORDS = 4_000_000
@@ -63,7 +63,7 @@ class Patterns:
         """windows: the words joined by one space -> item ids."""
         joined = list(windows)
         text = pa.array([w.decode() for w in joined], pa.large_string())
-        for first, buf, offsets in slices(text):
+        for first, buf, offsets in slices(text, WIDE_SLICE):
             words = Words(buf, offsets, "alnum")
             blocks = self.blocks(words.hashes())
             m, b = self.length, self.block
@@ -143,7 +143,7 @@ def hits(words: Words, found: list[Patterns]) -> tuple[np.ndarray, list[set]]:
 def search_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, bytes, str | None]]) -> Iterator[pa.RecordBatch]:
     found = tables(windows)
     for batch in batches:
-        for first, buf, offsets in slices(batch.column(1)):
+        for first, buf, offsets in slices(batch.column(1), WIDE_SLICE):
             words = Words(buf, offsets, "alnum", lower=True)
             flags, items = hits(words, found)
             n = np.diff(words.first)
@@ -162,7 +162,7 @@ def cover_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, by
     """(row, text) -> (row, runs of hit words, item ids) of the rows that this block of patterns hits."""
     found = tables(windows)
     for batch in batches:
-        for first, buf, offsets in slices(batch.column(1)):
+        for first, buf, offsets in slices(batch.column(1), WIDE_SLICE):
             words = Words(buf, offsets, "alnum", lower=True)
             flags, items = hits(words, found)
             rows = [i for i, s in enumerate(items) if s]
@@ -237,7 +237,7 @@ def _by_blocks(docs: DataFrame, ahead: list, blocks: Iterator[list[tuple[int, by
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, buf, offsets in slices(batch.column(2)):
+        for first, buf, offsets in slices(batch.column(2), WIDE_SLICE):
             words = Words(buf, offsets, "alnum", lower=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, words.rows), batch.column(1).slice(first, words.rows), pa.array(np.diff(words.first))],
@@ -262,7 +262,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_
             found = tables(block)
             place = schema.names.index("text")
             for batch in batches:
-                for first, buf, offsets in slices(batch.column(place).cast(pa.string())):
+                for first, buf, offsets in slices(batch.column(place).cast(pa.string()), WIDE_SLICE):
                     words = Words(buf, offsets, "alnum", lower=True)
                     flags, _ = hits(words, found)
                     sums = np.concatenate([[0], np.cumsum(flags)])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import load, with_workers
-from lakeshift.llm.textkit import slices
+from lakeshift.llm.textkit import WIDE_SLICE, slices
 
 FOLDS, HELD = 3, 1
 DOCS_PER_LANG, EXCERPT = 250, 400
@@ -236,7 +236,7 @@ def pooled(net: Network, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def predict_batches(batches: Iterator[pa.RecordBatch], net: Network | None) -> Iterator[pa.RecordBatch]:
     """(doc_id, held_out, text) -> doc_id, held_out, lang_pred, score."""
     for batch in batches:
-        for first, buf, offsets in slices(batch.column(2)):
+        for first, buf, offsets in slices(batch.column(2), WIDE_SLICE):
             rows = len(offsets) - 1
             sums = np.concatenate([[0], np.cumsum(_ASCII_LETTER[buf])])
             letters = sums[offsets[1:]] > sums[offsets[:-1]]

@@ -41,13 +41,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import fresh_path, load, with_workers
-from lakeshift.llm.textkit import slices, span_hashes
+from lakeshift.llm.textkit import WIDE_SLICE, slices, span_hashes
 from lakeshift.llm.tokencount import SPECIAL, byte_alphabet, cut_special, pre_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 BLOB_BYTES, FILE_BLOBS = 2 << 20, 16
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES, RECENT_ENTRIES = 1_500_000, 100_000
 SECOND_SEED = 77
 MASK_ADD = 0xA282EAD8
 HEAD = struct.Struct("<II")
@@ -61,6 +61,29 @@ def masked(data: bytes) -> int:
     return ((crc >> 15 | crc << 17) + MASK_ADD) & 0xFFFFFFFF
 
 
+class Learned:
+    """Encoded pre-tokens by first hash, sorted: second hash, place and number of their ids."""
+
+    def __init__(self) -> None:
+        self.columns = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+
+    @property
+    def hash(self) -> np.ndarray:
+        return self.columns[0]
+
+    def add(self, *more: np.ndarray) -> None:
+        merged = [np.concatenate(x) for x in zip(self.columns, more)]
+        order = np.argsort(merged[0], kind="stable")
+        self.columns = [c[order] for c in merged]
+
+    def find(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """Whether each is here, and its other columns (of any row if not)."""
+        if not len(self.hash):
+            return [np.zeros(len(hashes), bool), *(np.zeros(len(hashes), c.dtype) for c in self.columns[1:])]
+        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return [self.hash[place] == hashes, *(c[place] for c in self.columns[1:])]
+
+
 class Encoder:
     """Token ids of many texts at once, through a cache of encoded pre-tokens."""
 
@@ -74,10 +97,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._hash = np.zeros(0, np.uint64)  # sorted
-        self._check = np.zeros(0, np.uint64)
-        self._at = np.zeros(0, np.int64)
-        self._size = np.zeros(0, np.int32)
+        self._known, self._recent = Learned(), Learned()
         self._ids = np.zeros(0, np.uint32)
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +109,21 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
         ids, size = self._encode(words)
-        at = len(self._ids) + np.cumsum(size) - size
+        self._recent.add(hashes, checks, len(self._ids) + np.cumsum(size) - size, size)
         self._ids = np.concatenate([self._ids, ids])
-        merged = np.concatenate([self._hash, hashes])
-        order = np.argsort(merged, kind="stable")
-        self._hash = merged[order]
-        self._check = np.concatenate([self._check, checks])[order]
-        self._at = np.concatenate([self._at, at])[order]
-        self._size = np.concatenate([self._size, size])[order]
+        if len(self._recent.hash) > RECENT_ENTRIES:
+            self._known.add(*self._recent.columns)
+            self._recent = Learned()
+
+    def _lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(learned, second hash, place of the ids, number of ids) of distinct first hashes."""
+        have, *found = self._known.find(hashes)
+        rest = np.flatnonzero(~have)
+        late, *more = self._recent.find(hashes[rest])
+        have[rest] = late
+        for one, two in zip(found, more):
+            one[rest] = two
+        return have, *found
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by the end id; number of ids of each text)."""
@@ -107,18 +134,15 @@ class Encoder:
             ends = np.append(begins[1:], len(buf))
             hashes, checks = span_hashes(buf, begins, ends), span_hashes(buf, begins, ends, SECOND_SEED)
             known, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self._hash) > CACHE_ENTRIES:
+            if len(self._known.hash) > CACHE_ENTRIES:
                 self._clear()
-            place = np.searchsorted(self._hash, known)
-            new = (place == len(self._hash))
-            new[~new] = self._hash[place[~new]] != known[~new]
-            if new.any():
-                data = buf.tobytes()
+            have, check, at, size = self._lookup(known)
+            if not have.all():
+                data, new = buf.tobytes(), ~have
                 self._learn(known[new], checks[where[new]], [data[begins[i]:ends[i]] for i in where[new].tolist()])
-                place = np.searchsorted(self._hash, known)
-            size = self._size[place][inverse].astype(np.int64)
-            at, ids = self._at[place][inverse], self._ids
-            other = np.flatnonzero(self._check[place][inverse] != checks)
+                _, check, at, size = self._lookup(known)
+            size, at, ids = size[inverse].astype(np.int64), at[inverse], self._ids
+            other = np.flatnonzero(check[inverse] != checks)
             if len(other):  # another pre-token of the same first hash
                 data = buf.tobytes()
                 more, n = self._encode([data[begins[i]:ends[i]] for i in other.tolist()])
@@ -212,7 +236,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
 
     for batch in batches:
         doc_ids = batch.column(0).to_pylist()
-        for first, buf, offsets in slices(batch.column(1)):
+        for first, buf, offsets in slices(batch.column(1), WIDE_SLICE // 2):
             data = buf.tobytes()
             ids, sizes = own([data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
             stops = np.cumsum(sizes)

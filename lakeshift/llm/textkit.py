@@ -3,7 +3,8 @@
 Everything works on one contiguous byte buffer holding several documents, so the cost
 per word is a handful of numpy passes instead of Python calls. Slices hold a bounded
 number of bytes (``SLICE_BYTES``, or one document when it is longer), which bounds the
-memory of a Python worker whatever the batch holds.
+memory of a Python worker whatever the batch holds. Operators that move all documents of a slice
+in lockstep take ``WIDE_SLICE``.
 """
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 18
+SLICE_BYTES, WIDE_SLICE = 1 << 18, 1 << 21
 
 #: The ASCII white space that separates words, \x20 and \x09-\x0D.
 WHITE_SPACE = b"\t\n\x0b\x0c\r "

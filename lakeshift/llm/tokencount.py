@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm.shared import load, with_workers
-from lakeshift.llm.textkit import slices
+from lakeshift.llm.textkit import WIDE_SLICE, slices
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -347,7 +347,7 @@ def token_counts(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> It
     """(doc_id, text) batches -> (doc_id, n_bytes, n_tokens, over_limit), a bounded slice at a time."""
     for batch in batches:
         ids, text = batch.column(0), batch.column(1)
-        for first, buf, offsets in slices(text):
+        for first, buf, offsets in slices(text, WIDE_SLICE):
             rows = len(offsets) - 1
             data = buf.tobytes()
             texts = [data[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
