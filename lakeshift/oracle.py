@@ -712,6 +712,29 @@ FROM m""",
         _wm_sql(t, e, "1900-01-01 00:00:00", s, "2024-03-01").replace("{t}", ty)
         for (t, e, s, ty) in _WM),
     "write_partitioned": GOLD["fct_daily_sales"],
+    "fct_refresh": """
+, o AS (
+  SELECT order_id, customer_id, product_id, order_status, channel_code, ship_date, is_shipped, order_date AS old_date,
+         coalesce(order_status, '') AS st,
+         CAST(CASE WHEN order_status = 'COMPLETED' AND year(order_date) = 1997 AND month(order_date) = 5
+              THEN order_date + INTERVAL 12 MONTH ELSE order_date END AS DATE) AS order_date,
+         CAST(CASE WHEN order_status = 'COMPLETED' AND year(order_date) = 1996 AND month(order_date) = 2
+              THEN total_amount + 1 ELSE total_amount END AS DECIMAL(18,2)) AS total_amount
+  FROM stg_orders
+),
+e AS (
+  SELECT o.*, c.customer_status,
+         CASE WHEN c.customer_id % 500 = 0 THEN 'MOVED' ELSE c.region_code END AS region_code,
+         CAST(CASE WHEN p.product_id % 700 = 0 THEN 9 ELSE p.category_id END AS INTEGER) AS category_id,
+         CAST(datediff('day', o.order_date, o.ship_date) AS INTEGER) AS days_to_ship
+  FROM o LEFT JOIN stg_customers c ON o.customer_id = c.customer_id
+  LEFT JOIN stg_products p ON o.product_id = p.product_id
+  WHERE coalesce(NOT (year(old_date) = 1995 AND st = 'PENDING'), false)
+)""" + GOLD["fct_daily_sales"].replace("FROM int_order_enriched", "FROM e"),
+    "extract_ranges": """
+SELECT count(*) AS landed, count(*) FILTER (WHERE ProductID IS NULL AND OrderID % 3 <> 0) AS null_keys,
+       CAST(sum(OrderID) AS DECIMAL(38,0)) AS id_sum, CAST(0 AS BIGINT) AS rows_without_range, true AS even
+FROM orders_src""",
     "merge_upsert": CHANGES["detect_changes"].replace("SELECT * FROM chg", f"""
 SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted FROM orders_prev p
 WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg._change_type <> 'unchanged'

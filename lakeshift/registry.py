@@ -22,11 +22,13 @@ from lakeshift.plans import (
     stg_orders, stg_customers, stg_products, int_order_enriched, fct_daily_sales,
     dim_customer, customer_order_stats, exclude_statuses,
 )
+from lakeshift.plans.refresh import refresh_daily_sales, touched_days
 from lakeshift.session import scratch_path
 from lakeshift.sinks import write as W
 from lakeshift.sources import adapter as A
 from lakeshift.sources import extract as X
 from lakeshift.sources import loads as L
+from lakeshift.sources import ranges as K
 from lakeshift.spec import CUSTOMERS, ORDERS, PRODUCTS, ColumnSpec
 from lakeshift.streaming.ingest import incremental_ingest, incremental_upsert, read_bronze
 
@@ -639,3 +641,55 @@ QUERIES.update({
     "recon_key_drilldown": q_recon_key_drilldown,
     "dq_not_future_text": q_dq_not_future_text,
 })
+
+
+def _orders_after(orders: DataFrame) -> DataFrame:
+    """Stand-in for a later snapshot of the staged orders: pending ones of 1995 are gone, completed ones of
+    1996-02 were shipped with an amendment of 1.00, those of 1997-05 moved to the next year."""
+    year, month, status = F.year("order_date"), F.month("order_date"), F.coalesce(F.col("order_status"), F.lit(""))
+    done = status == "COMPLETED"
+    return orders.filter(~((year == 1995) & (status == "PENDING"))).withColumns({
+        "total_amount": F.when(done & (year == 1996) & (month == 2), F.col("total_amount") + 1)
+        .otherwise(F.col("total_amount")).cast("decimal(18,2)"),
+        "order_date": F.when(done & (year == 1997) & (month == 5), F.add_months("order_date", 12)).otherwise(F.col("order_date"))})
+
+
+def q_fct_refresh(spark, d):
+    """Daily fact of an earlier snapshot, brought up to a later one by computing only the days that
+    changed orders, customers (regions) and products (categories) touch."""
+    before, customers, products = q_stg_orders(spark, d), q_stg_customers(spark, d), q_stg_products(spark, d)
+    root = scratch_path(spark, "gold")
+    after = W.materialize(_orders_after(before), "gold/orders")
+    W.write_table(fct_daily_sales(int_order_enriched(before, customers, products)), f"{root}/fact", "overwrite",
+                  partition_by="order_date")
+    moved, recast = F.col("customer_id") % 500 == 0, F.col("product_id") % 700 == 0
+    new_customers = customers.withColumn("region_code", F.when(moved, F.lit("MOVED")).otherwise(F.col("region_code")))
+    new_products = products.withColumn("category_id", F.when(recast, F.lit(9)).otherwise(F.col("category_id")))
+    version = F.xxhash64("order_date", "total_amount").alias("_record_hash")
+    ids = lambda df: df.select(F.col("order_id"), version)
+    changed = detect_changes(ids(after), ids(before), "order_id").filter(F.col("_change_type") != "unchanged")
+    days = touched_days(before, after, changed, customers.filter(moved), products.filter(recast))
+    refresh_daily_sales(spark, f"{root}/fact", after, new_customers, new_products, days)
+    return spark.read.schema(fct_daily_sales(int_order_enriched(before, customers, products)).schema).parquet(f"{root}/fact")
+
+
+RANGE_PARTS = 16
+
+
+def q_extract_ranges(spark, d):
+    """Orders landed by ranges of the (skewed) product key, bounds from quantiles of the landed copy: every row
+    once, as landed, and whether each range kept to one and a half equal shares."""
+    cfg = _landed_source(spark, d, ORDERS, A.orders_source(spark, d))
+    source = X.extract_full(spark, cfg)
+    hot = source.withColumn("ProductID", F.when(F.col("OrderID") % 3 == 0, F.lit(1)).otherwise(F.col("ProductID")).cast("long"))
+    ranges = K.key_ranges(hot, "ProductID", RANGE_PARTS, tie="OrderID")
+    path = W.write_table(K.with_range(hot, ranges), scratch_path(spark, "landing/by_range"), "overwrite", partition_by=K.RANGE)
+    landed = spark.read.schema(K.with_range(hot, ranges).schema).parquet(path)
+    sizes = landed.groupBy(K.RANGE).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ProductID").isNull()).alias("nulls"),
+                                        F.sum("OrderID").alias("ids"))
+    share = F.max(F.when(F.col("nulls") == 0, F.col("n"))) <= F.sum("n") * 1.5 / RANGE_PARTS
+    return sizes.agg(F.sum("n").alias("landed"), F.sum("nulls").alias("null_keys"), F.sum("ids").cast("decimal(38,0)").alias("id_sum"),
+                     F.count_if(F.col(K.RANGE).isNull()).alias("rows_without_range"), share.alias("even"))
+
+
+QUERIES.update({"fct_refresh": q_fct_refresh, "extract_ranges": q_extract_ranges})

@@ -259,9 +259,8 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     updates = materialize(updates, "merge-updates")
     upd_keys = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
     old = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
-    touched = materialize(old.unionByName(updates.select(*parts)).distinct()
-                          .withColumn("__open", _any_null(parts).cast("int")), "merge-touched")
-    merged = upsert(_in_partitions(target, touched, parts), updates, keys, strategy)
+    touched = listed_partitions(old.unionByName(updates.select(*parts)), parts, "merge-touched")
+    merged = upsert(in_partitions(target, touched, parts), updates, keys, strategy)
     write_table(merged, target_path, "overwrite", file_format, parts)
     _drop_left(spark, read_table(spark, target_path, file_format, updates, parts), updates, touched,
                keys, parts)
@@ -285,8 +284,13 @@ def _any_null(parts: Sequence[str]):
     return null
 
 
-def _in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` in the touched partitions; those with a null value apart."""
+def listed_partitions(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
+    """The distinct partition values of ``df`` as a small written table, for ``in_partitions``."""
+    return materialize(df.select(*parts).distinct().withColumn("__open", _any_null(parts).cast("int")), name)
+
+
+def in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the listed partitions; those with a null value apart."""
     names = [f"__p{i}" for i in range(len(parts))]
     listed = touched.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(parts, names)], "__open")
     equal = same = F.lit(True)
@@ -304,11 +308,17 @@ def _drop_left(spark: SparkSession, target: DataFrame, updates: DataFrame, touch
     new = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
                          F.struct(*parts).alias("__new"))
     there = target.withColumn("__file", F.col("_metadata.file_path"))
-    left = (_in_partitions(there, touched, parts).join(new, _null_safe_on(keys, "__k"))
+    left = (in_partitions(there, touched, parts).join(new, _null_safe_on(keys, "__k"))
             .filter(~F.struct(*parts).eqNullSafe(F.col("__new")))
-            .select(F.regexp_replace("__file", "/[^/]*$", "").alias("folder")).distinct())
+            .select("__file"))
+    drop_folders(spark, left, "__file")
+
+
+def drop_folders(spark: SparkSession, files: DataFrame, column: str) -> None:
+    """Remove the folders that hold the listed files: one driver call per partition that goes."""
+    folders = files.select(F.regexp_replace(column, "/[^/]*$", "").alias("folder")).distinct()
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for row in left.toLocalIterator():
+    for row in folders.toLocalIterator():
         folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
         folder.getFileSystem(conf).delete(folder, True)
 
