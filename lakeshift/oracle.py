@@ -751,6 +751,18 @@ UNION ALL
 SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted,
        CAST(year(OrderDate) AS INTEGER) AS order_year FROM chg
 WHERE _change_type <> 'unchanged'"""),
+    "merge_indexed": CHANGES["detect_changes"].replace("SELECT * FROM chg", """
+, merged AS (
+  SELECT OrderID, TotalAmount, OrderDate, _is_deleted FROM orders_prev p
+  WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg._change_type <> 'unchanged'
+                    AND chg.OrderID IS NOT DISTINCT FROM p.OrderID)
+  UNION ALL
+  SELECT OrderID, TotalAmount, OrderDate, _is_deleted FROM chg WHERE _change_type <> 'unchanged'),
+moved AS (SELECT OrderID, TotalAmount, CAST(OrderDate + INTERVAL 12 MONTH AS DATE) AS OrderDate, _is_deleted
+          FROM orders_cur WHERE year(OrderDate) = 1996 AND month(OrderDate) = 3),
+both_merges AS (
+  SELECT * FROM merged WHERE OrderID NOT IN (SELECT OrderID FROM moved) UNION ALL SELECT * FROM moved)
+SELECT *, CAST(year(OrderDate) AS INTEGER) AS order_year FROM both_merges"""),
     "merge_schema_evolution": """
 SELECT order_id, order_date, total_amount,
        CASE WHEN order_date < DATE '1998-01-01' THEN NULL ELSE channel_code END AS channel_code

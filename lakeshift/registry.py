@@ -673,6 +673,21 @@ def q_fct_refresh(spark, d):
     return spark.read.schema(fct_daily_sales(int_order_enriched(before, customers, products)).schema).parquet(f"{root}/fact")
 
 
+def q_merge_indexed(spark, d):
+    """Orders by year with a key index: the changes between two snapshots are merged, then orders of
+    1996-03 once more, into another year; old versions are found through the index."""
+    path = scratch_path(spark, "silver/orders_indexed")
+    prev, cur = A.orders_previous(spark, d), A.orders_current(spark, d)
+    year = F.year("OrderDate").alias("order_year")
+    W.write_table(prev.select("*", year), path, "overwrite", partition_by="order_year")
+    delta = detect_changes(cur, prev, "OrderID").filter(F.col("_change_type") != "unchanged").drop("_change_type").select("*", year)
+    W.merge_partitions(spark, path, delta, ["OrderID"], "order_year", indexed=True)
+    moved = (cur.filter((F.year("OrderDate") == 1996) & (F.month("OrderDate") == 3))
+             .withColumn("OrderDate", F.add_months("OrderDate", 12).cast("date")).select("*", year))
+    W.merge_partitions(spark, path, moved, ["OrderID"], "order_year", indexed=True)
+    return W.read_evolving(spark, path).select("OrderID", "TotalAmount", "OrderDate", "_is_deleted", "order_year")
+
+
 RANGE_PARTS = 16
 
 
@@ -692,4 +707,4 @@ def q_extract_ranges(spark, d):
                      F.count_if(F.col(K.RANGE).isNull()).alias("rows_without_range"), share.alias("even"))
 
 
-QUERIES.update({"fct_refresh": q_fct_refresh, "extract_ranges": q_extract_ranges})
+QUERIES.update({"fct_refresh": q_fct_refresh, "extract_ranges": q_extract_ranges, "merge_indexed": q_merge_indexed})

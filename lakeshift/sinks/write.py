@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lakeshift.operators.changes import CHANGE_TYPE, UNCHANGED
 from lakeshift.operators.bronze import bronze_table_schema
 from lakeshift.operators.dedup import duplicate_key, one_per_key
+from lakeshift.sinks import keyindex
 from lakeshift.sinks.log import CommitLog
 from lakeshift.spec import TableSpec
 
@@ -240,7 +241,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
                      keys: Sequence[str], partition_by: str | Sequence[str],
                      file_format: str = "parquet", strategy: str = "join",
-                     order_by: Sequence[str] = ()) -> str:
+                     order_by: Sequence[str] = (), indexed: bool = False) -> str:
     """Upsert ``updates`` into a partitioned table *in place*, rewriting only the
     partitions that hold an old or a new version of an updated row (dynamic partition
     overwrite); a row may change its partition. New columns are kept, partition columns
@@ -251,22 +252,56 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     The touched partitions are a small written table, joined by plain equality so that
     Spark prunes folders at run time. Partitions that lost all their rows are removed
     last; a run that dies before that is mended by running the same merge again.
+
+    Old versions are found by the keys of the whole table, or, ``indexed``, by those of the partitions that
+    the table's key index names (built by the first indexed merge; see ``sinks.keyindex``). An
+    indexed merge takes the schema from the table's schema log, so it opens no file of other partitions.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     keys = list(keys)
-    target = read_table(spark, target_path, file_format, updates, parts)
+    if indexed and file_format not in ("parquet", "orc"):
+        raise ValueError("an indexed merge needs parquet or orc")
+    target = _logged(spark, target_path, file_format, updates, parts) if indexed else read_table(
+        spark, target_path, file_format, updates, parts)
     updates = one_per_key(materialize(_as_stored(updates, target), "merge-updates"), keys, order_by)
     updates = materialize(updates, "merge-updates")
     upd_keys = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
-    old = target.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
+    near = _near(spark, target_path, target, updates, keys, parts) if indexed else target
+    old = near.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
     touched = listed_partitions(old.unionByName(updates.select(*parts)), parts, "merge-touched")
     merged = upsert(in_partitions(target, touched, parts), updates, keys, strategy)
     write_table(merged, target_path, "overwrite", file_format, parts)
-    _drop_left(spark, read_table(spark, target_path, file_format, updates, parts), updates, touched,
-               keys, parts)
+    written = _logged(spark, target_path, file_format, updates, parts) if indexed else read_table(
+        spark, target_path, file_format, updates, parts)
+    _drop_left(spark, written, updates, touched, keys, parts)
     return target_path
 
 
+def _logged(spark: SparkSession, path: str, file_format: str, updates: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The table read by its logged schema, which takes in the columns of ``updates``: columns that no file
+    has yet read as null. The partition columns have their types of ``updates``."""
+    kinds = {f.name: f.dataType for f in updates.schema.fields}
+    while True:
+        number, have = table_schema(spark, path, file_format)
+        fields = [T.StructField(f.name, kinds.get(f.name, f.dataType) if f.name in parts else f.dataType) for f in have.fields]
+        fields += [T.StructField(f.name, f.dataType) for f in updates.schema.fields if f.name not in have.fieldNames()]
+        grown = T.StructType(fields)
+        if number and grown == have or CommitLog(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}").publish(number + 1, {"schema": grown.json()}):
+            return spark.read.format(file_format).schema(grown).load(path)
+
+
+def _near(spark: SparkSession, path: str, target: DataFrame, updates: DataFrame, keys: Sequence[str],
+          parts: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that may hold a key of ``updates``; the index covers ``updates`` from here on."""
+    index = keyindex.read_key_index(spark, path)
+    if index is None:
+        keyindex.build_key_index(spark, target, path, keys, parts)
+        index = keyindex.read_key_index(spark, path)
+    near = listed_partitions(keyindex.candidate_partitions(index, updates, keys, parts), parts, "merge-near")
+    keyindex.add_keys(spark, path, updates, keys, parts)
+    return in_partitions(target, near, parts)
+
+
 def _as_stored(updates: DataFrame, target: DataFrame) -> DataFrame:
     wider = _wider(target, updates)
     have = {f.name: f.dataType for f in target.schema.fields}

@@ -51,6 +51,7 @@ PLAN_KEYS = [k for k in sorted(queries()) if k not in {
     "write_partitioned", "merge_upsert", "merge_schema_evolution", "bronze_table",
     "stream_bronze_ingest", "dq_split_rerun", "extract_incremental_customers", "ingest_suite_two_loads",
     "merge_partitions_moved", "stream_bronze_quarantine", "ingest_suite_retry", "stream_upsert",
+    "fct_refresh", "extract_ranges", "merge_indexed",
     "dq_raising_rule"}]  # the last one is Python by what it is: user code that may raise
 
 
