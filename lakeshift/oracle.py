@@ -751,6 +751,11 @@ UNION ALL
 SELECT {SNAP}, _record_hash, _ingestion_timestamp, _is_deleted,
        CAST(year(OrderDate) AS INTEGER) AS order_year FROM chg
 WHERE _change_type <> 'unchanged'"""),
+    "audit_columns": """
+SELECT product_id, '2024-03-01 06:00:00' AS loaded_at, 'run-1' AS run_id, CAST(NULL AS BIGINT) AS load_times,
+       CAST(NULL AS BOOLEAN) AS loaded_now
+FROM stg_products
+UNION ALL SELECT NULL, NULL, 'run-2', CAST(1 AS BIGINT), true""",
     "merge_indexed": CHANGES["detect_changes"].replace("SELECT * FROM chg", """
 , merged AS (
   SELECT OrderID, TotalAmount, OrderDate, _is_deleted FROM orders_prev p

@@ -22,6 +22,7 @@ from lakeshift.plans import (
     stg_orders, stg_customers, stg_products, int_order_enriched, fct_daily_sales,
     dim_customer, customer_order_stats, exclude_statuses,
 )
+from lakeshift.plans.audit import Audit
 from lakeshift.plans.refresh import refresh_daily_sales, touched_days
 from lakeshift.session import scratch_path
 from lakeshift.sinks import write as W
@@ -688,6 +689,18 @@ def q_merge_indexed(spark, d):
     return W.read_evolving(spark, path).select("OrderID", "TotalAmount", "OrderDate", "_is_deleted", "order_year")
 
 
+def q_audit_columns(spark, d):
+    """Products staged with audit columns: a given run and time, and the time of the query itself."""
+    given = stg_products(A.products_source(spark, d), Audit("run-1", "2024-03-01 06:00:00"))
+    now = stg_products(A.products_source(spark, d), Audit("run-2"))
+    fresh = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_loaded_at")) <= 3600
+    now = now.groupBy("_run_id").agg(F.count_distinct("_loaded_at").alias("load_times"), F.every(fresh).alias("loaded_now"))
+    return (given.select("product_id", F.col("_loaded_at").cast("string").alias("loaded_at"), F.col("_run_id").alias("run_id"),
+                         F.lit(None).cast("bigint").alias("load_times"), F.lit(None).cast("boolean").alias("loaded_now"))
+            .unionByName(now.select(F.lit(None).cast("bigint").alias("product_id"), F.lit(None).cast("string").alias("loaded_at"),
+                                    F.col("_run_id").alias("run_id"), "load_times", "loaded_now")))
+
+
 RANGE_PARTS = 16
 
 
@@ -707,4 +720,5 @@ def q_extract_ranges(spark, d):
                      F.count_if(F.col(K.RANGE).isNull()).alias("rows_without_range"), share.alias("even"))
 
 
-QUERIES.update({"fct_refresh": q_fct_refresh, "extract_ranges": q_extract_ranges, "merge_indexed": q_merge_indexed})
+QUERIES.update({"fct_refresh": q_fct_refresh, "extract_ranges": q_extract_ranges, "merge_indexed": q_merge_indexed,
+                "audit_columns": q_audit_columns})
