@@ -7,7 +7,8 @@ position give its language probabilities; a document's probabilities are their m
 bytes.
 
 *Training* is numpy back-propagation through time with Adam, in the driver, on a bounded sample:
-at most ``DOCS_PER_LANG`` excerpts of ``EXCERPT`` characters for each language, in hash order,
+at most ``DOCS_PER_LANG`` excerpts of ``EXCERPT`` characters for each language, one a document, in hash
+order and each from a hash-chosen place of the whole text,
 from rows whose crc32(doc_id as text) mod ``FOLDS`` is not ``HELD``. lang, source and doc_id are no
 inputs of a prediction.
 
@@ -258,9 +259,15 @@ def fold_of() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
+def excerpt(text: Column) -> Column:
+    """``EXCERPT`` characters from a place of the text that its hash chooses, each place alike; a shorter text whole."""
+    places = F.greatest(F.length(text) - EXCERPT, F.lit(0)) + 1
+    return F.substring(text, (F.pmod(F.xxhash64(text), places) + 1).cast("int"), F.lit(EXCERPT))
+
+
 def fit(docs: DataFrame) -> Network | None:
     """Train on the bounded sample of ``docs`` (doc_id, text, lang)."""
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.left(F.col("text").cast("string"), F.lit(EXCERPT)).alias("text"),
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), excerpt(F.col("text").cast("string")).alias("text"),
                         F.col("lang").cast("string").alias("lang"))
             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of() != HELD)))
     draw = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "text")

@@ -288,6 +288,18 @@ def test_quality(spark, docs, none):
     assert quality.keep_good(docs, model).columns == docs.columns
 
 
+def test_language_excerpts_come_from_whole_texts(spark):
+    """Bounded pieces from all over the texts, the same in every run; short texts whole, null stays null."""
+    texts = ["".join(chr(0x4E00 + (7 * s + i) % 5000) for i in range(5000)) for s in range(200)] + ["short é", "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    take = lambda n: {r[0]: r[1] for r in frame.repartition(n).select("i", langid.excerpt(langid.F.col("text"))).collect()}
+    got = take(3)
+    assert got == take(5) and [got[200 + k] for k in range(3)] == ["short é", "", None]
+    assert all(len(got[i]) == langid.EXCERPT and got[i] in texts[i] for i in range(200))
+    at = sorted(texts[i].index(got[i]) for i in range(200))
+    assert at[20] < 1000 and at[-20] > 3600 and at[0] >= 0 and at[-1] <= 4600
+
+
 def test_language(spark, docs, none):
     r = np.random.default_rng(1)
     say = {"aa": "lorem ipsum dolor amet".split(), "bb": "zwrk qpxh vvtk jjzq".split()}
