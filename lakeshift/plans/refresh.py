@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeshift.plans.audit import Audit
 from lakeshift.plans.intermediate import int_order_enriched
 from lakeshift.plans.marts import fct_daily_sales
-from lakeshift.sinks.write import drop_folders, in_partitions, listed_partitions, materialize, write_table
+from lakeshift.sinks.write import drop_folders, _in_partitions, listed_partitions, materialize, write_table
 
 DAY = "order_date"
 
@@ -37,11 +37,11 @@ def refresh_daily_sales(spark: SparkSession, fact_path: str, orders: DataFrame,
     folders of those days are read (pruned at run time). Days without sales leave the fact. A run
     that dies is mended by running it again: it depends on the staged tables and the days alone."""
     days = listed_partitions(days, [DAY], "refresh-days")
-    fresh = fct_daily_sales(int_order_enriched(in_partitions(orders, days, [DAY]), customers, products), audit)
+    fresh = fct_daily_sales(int_order_enriched(_in_partitions(orders, days, [DAY]), customers, products), audit)
     fresh = materialize(fresh, "refresh-fact")
     write_table(fresh, fact_path, "overwrite", partition_by=DAY)
     there = spark.read.schema(fresh.schema).parquet(fact_path)  # listed after the write
     now = fresh.select(F.struct(DAY).alias("__now")).distinct()
-    there = in_partitions(there.select(DAY, F.col("_metadata.file_path").alias("__file")), days, [DAY])
+    there = _in_partitions(there.select(DAY, F.col("_metadata.file_path").alias("__file")), days, [DAY])
     drop_folders(spark, there.join(now, F.struct(DAY).eqNullSafe(F.col("__now")), "left_anti"), "__file")
     return fact_path

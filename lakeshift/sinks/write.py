@@ -269,7 +269,7 @@ def merge_partitions(spark: SparkSession, target_path: str, updates: DataFrame,
     near = _near(spark, target_path, target, updates, keys, parts) if indexed else target
     old = near.join(upd_keys, _null_safe_on(keys, "__k"), "left_semi").select(*parts)
     touched = listed_partitions(old.unionByName(updates.select(*parts)), parts, "merge-touched")
-    merged = upsert(in_partitions(target, touched, parts), updates, keys, strategy)
+    merged = upsert(_in_partitions(target, touched, parts), updates, keys, strategy)
     write_table(merged, target_path, "overwrite", file_format, parts)
     written = _logged(spark, target_path, file_format, updates, parts) if indexed else read_table(
         spark, target_path, file_format, updates, parts)
@@ -299,7 +299,7 @@ def _near(spark: SparkSession, path: str, target: DataFrame, updates: DataFrame,
         index = keyindex.read_key_index(spark, path)
     near = listed_partitions(keyindex.candidate_partitions(index, updates, keys, parts), parts, "merge-near")
     keyindex.add_keys(spark, path, updates, keys, parts)
-    return in_partitions(target, near, parts)
+    return _in_partitions(target, near, parts)
 
 
 def _as_stored(updates: DataFrame, target: DataFrame) -> DataFrame:
@@ -320,11 +320,11 @@ def _any_null(parts: Sequence[str]):
 
 
 def listed_partitions(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
-    """The distinct partition values of ``df`` as a small written table, for ``in_partitions``."""
+    """The distinct partition values of ``df`` as a small written table, for ``_in_partitions``."""
     return materialize(df.select(*parts).distinct().withColumn("__open", _any_null(parts).cast("int")), name)
 
 
-def in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+def _in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Rows of ``target`` in the listed partitions; those with a null value apart."""
     names = [f"__p{i}" for i in range(len(parts))]
     listed = touched.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(parts, names)], "__open")
@@ -343,7 +343,7 @@ def _drop_left(spark: SparkSession, target: DataFrame, updates: DataFrame, touch
     new = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
                          F.struct(*parts).alias("__new"))
     there = target.withColumn("__file", F.col("_metadata.file_path"))
-    left = (in_partitions(there, touched, parts).join(new, _null_safe_on(keys, "__k"))
+    left = (_in_partitions(there, touched, parts).join(new, _null_safe_on(keys, "__k"))
             .filter(~F.struct(*parts).eqNullSafe(F.col("__new")))
             .select("__file"))
     drop_folders(spark, left, "__file")
