@@ -13,10 +13,11 @@ All documents of a slice are searched in lockstep: each step looks up one block
 still active and jumps, so most positions are never looked at. Length-1 patterns have no
 block of two; their block is the word itself.
 
-The benchmark is split into blocks of at most ``BLOCK_WORDS`` pattern words; each block is
-searched by its own pass over all documents (a block goes with each task, so its bound is a
-bound on what is sent). With one block nothing is shuffled at all; with more, only the runs of
-hit words are.
+Spark makes the windows, tells them apart by window and item and writes them once. By ranges of
+their hash they form blocks of at most ``BLOCK_WORDS`` pattern words, a word counting once for
+every 16 bytes, so a block has at most 64 MB (more only where a single window has). Each block is
+broadcast to one pass over all documents; a worker builds its tables once, not in each task. No
+text of the documents is shuffled; with several blocks the runs of hit words are.
 
 Defined results: null or empty text has no words and no hits; items without words have no
 window; equal item_ids count as one item and null item_ids are ignored in ``n_items`` but their
@@ -27,29 +28,25 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import islice
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.shared import fresh_path, load, with_workers
+from lakeshift.llm.shared import drop, empty_text, fresh_path, load, stored, text_digest, with_workers
 from lakeshift.llm.textkit import WIDE_SLICE, Words, rolling, slices
 
 WINDOW = 13
 BLOCK_WORDS = 4_000_000
+WORD_BYTES = 16
+BUCKET_BITS = (12, 16, 20)
 TABLE_BITS = 18
 RESULT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def item_words(text: str | None) -> list[bytes]:
-    """Words of one benchmark text."""
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    w = Words(data, np.array([0, len(data)]), "alnum", lower=True)
-    raw = w.buf.tobytes()
-    return [raw[a:b] for a, b in zip(w.start.tolist(), w.end.tolist())]
-
-
 class Patterns:
     """Shift and bucket tables for patterns of one length."""
 
@@ -109,11 +106,12 @@ class Patterns:
         return found
 
 
-def tables(windows: list[tuple[int, bytes, str | None]]) -> list[Patterns]:
-    """windows: (length, words joined by a space, item id)."""
+def tables(windows: pa.Table | None) -> list[Patterns]:
+    """Tables of a block of windows: (length, window, item)."""
     by_length: dict[int, dict[bytes, set]] = {}
-    for length, window, item in windows:
-        by_length.setdefault(length, {}).setdefault(window, set()).add(item)
+    if windows is not None:
+        for length, window, item in zip(*(windows[c].to_pylist() for c in ("length", "window", "item"))):
+            by_length.setdefault(length, {}).setdefault(window, set()).add(item)
     out = []
     for length, found in sorted(by_length.items()):
         out.append(Patterns(length))
@@ -121,10 +119,37 @@ def tables(windows: list[tuple[int, bytes, str | None]]) -> list[Patterns]:
     return out
 
 
-def item_windows(item: str | None, text: str | None, size: int) -> list[tuple[int, bytes, str | None]]:
-    words = item_words(text)
-    m = min(size, len(words))
-    return [(m, b" ".join(words[i:i + m]), item) for i in range(len(words) - m + 1)] if m else []
+#: Tables of the block that this worker searched last, by the block's name.
+_BUILT: dict[str, list[Patterns]] = {}
+
+
+def worker_tables(name: str, block: Broadcast) -> list[Patterns]:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = tables(block.value)
+    return _BUILT[name]
+
+
+def window_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """(item, text) -> the item's windows: length, words joined by one space, item."""
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*out) if out else ((), (), ()), (pa.int32(), pa.binary(), pa.string()))]
+        out.clear()
+        return pa.RecordBatch.from_arrays(columns, ["length", "window", "item"])
+
+    out: list[tuple[int, bytes, str | None]] = []
+    for batch in batches:
+        for first, buf, offsets in slices(batch.column(1)):
+            words = Words(buf, offsets, "alnum", lower=True)
+            raw = words.buf.tobytes()
+            for row, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
+                item, m = batch.column(0)[first + row].as_py(), min(size, b - a)
+                spans = [raw[x:y] for x, y in zip(words.start[a:b].tolist(), words.end[a:b].tolist())]
+                for i in range(b - a - m + 1 if m else 0):
+                    out.append((m, b" ".join(spans[i:i + m]), item))
+                    if len(out) >= 10_000:
+                        yield flush()
+    yield flush()
 
 
 def hits(words: Words, found: list[Patterns]) -> tuple[np.ndarray, list[set]]:
@@ -140,8 +165,8 @@ def hits(words: Words, found: list[Patterns]) -> tuple[np.ndarray, list[set]]:
     return np.cumsum(cover[:-1]) > 0, items
 
 
-def search_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, bytes, str | None]]) -> Iterator[pa.RecordBatch]:
-    found = tables(windows)
+def search_batches(batches: Iterator[pa.RecordBatch], name: str, block: Broadcast) -> Iterator[pa.RecordBatch]:
+    found = worker_tables(name, block)
     for batch in batches:
         for first, buf, offsets in slices(batch.column(1), WIDE_SLICE):
             words = Words(buf, offsets, "alnum", lower=True)
@@ -158,9 +183,9 @@ def search_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, b
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def cover_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, bytes, str | None]]) -> Iterator[pa.RecordBatch]:
+def cover_batches(batches: Iterator[pa.RecordBatch], name: str, block: Broadcast) -> Iterator[pa.RecordBatch]:
     """(row, text) -> (row, runs of hit words, item ids) of the rows that this block of patterns hits."""
-    found = tables(windows)
+    found = worker_tables(name, block)
     for batch in batches:
         for first, buf, offsets in slices(batch.column(1), WIDE_SLICE):
             words = Words(buf, offsets, "alnum", lower=True)
@@ -174,34 +199,54 @@ def cover_batches(batches: Iterator[pa.RecordBatch], windows: list[tuple[int, by
                 ["row_key", "places", "items"])
 
 
-def blocks_of(benchmark: DataFrame, size: int, most: int) -> Iterator[list[tuple[int, bytes, str | None]]]:
-    """The benchmark's windows in blocks of at most ``most`` words, streamed in item order."""
-    block, words = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).orderBy("item_id", "text")
-    for item, text in rows.toLocalIterator():
-        for w in item_windows(item, text, size):
-            if block and words + w[0] > most:
-                yield block
-                block, words = [], 0
-            block.append(w)
-            words += w[0]
-    if block:
-        yield block
+def blocks_of(benchmark: DataFrame, size: int, most: int) -> Iterator[pa.Table]:
+    """The benchmark's windows in blocks of at most ``most`` words, one at a time.
+
+    Windows fall into buckets by the leading bits of their hash; the driver sees the weights of
+    these buckets and joins neighbours to blocks.
+    """
+    with_workers(benchmark.sparkSession)
+    windows = stored(
+        benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string"))
+        .mapInArrow(lambda batches: window_batches(batches, size), "length int, window binary, item string")
+        .distinct().withColumn("place", F.xxhash64("window", "item")), "benchmark-windows")
+    weight = F.greatest(F.col("length"), F.ceil(F.octet_length("window") / WORD_BYTES))
+    for bits in BUCKET_BITS:
+        bucket = F.shiftright("place", 64 - bits)
+        weights = windows.groupBy(bucket.alias("bucket")).agg(F.sum(weight).alias("w")).orderBy("bucket").collect()
+        if all(r.w <= most for r in weights):
+            break
+    ranges, words = [], 0
+    for r in weights:
+        if not ranges or words + r.w > most:
+            ranges.append([r.bucket, r.bucket])
+            words = 0
+        ranges[-1][1] = r.bucket
+        words += r.w
+    for lo, hi in ranges:
+        block = F.col("place").between(lo << (64 - bits), ((hi + 1) << (64 - bits)) - 1)
+        yield windows.filter(block).select("length", "window", "item").toArrow()
+    drop(windows)
+
+
+def sent(spark: SparkSession, block: pa.Table | None) -> tuple[str, Broadcast]:
+    """Name and broadcast of a block."""
+    return uuid4().hex, spark.sparkContext.broadcast(block)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """n_words, n_hit, n_items, items_sha256 and contaminated of each row of ``docs`` (doc_id, text).
 
-    With one block of patterns (the usual case) this is a single pass without a shuffle; with
-    more, every block makes its own pass and the hit rows are merged by row.
+    With one block of patterns (the usual case) this is a single pass over the documents without a
+    shuffle; with more, every block makes its own pass and the hit rows are merged by row.
     """
     with_workers(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blocks = blocks_of(benchmark, size, block_words)
     ahead = list(islice(blocks, 2))
     if len(ahead) < 2:
-        block = ahead[0] if ahead else []
-        return docs.mapInArrow(lambda batches: search_batches(batches, block), RESULT)
+        name, block = sent(docs.sparkSession, ahead[0] if ahead else None)
+        return docs.mapInArrow(lambda batches: search_batches(batches, name, block), RESULT)
     return _by_blocks(docs, ahead, blocks).drop("row_key")
 
 
@@ -209,20 +254,21 @@ def _row_key() -> Column:
     """Tells rows by id and text: rows of equal keys have equal texts and so equal verdicts."""
     key = F.col("doc_id").cast("long")
     return F.struct(F.coalesce(key, F.lit(0)).alias("id"), key.isNull().alias("none"),
-                    F.xxhash64(F.col("text").cast("string")).alias("hash"))
+                    text_digest(empty_text()).alias("digest"))
 
 
-def _by_blocks(docs: DataFrame, ahead: list, blocks: Iterator[list[tuple[int, bytes, str | None]]]) -> DataFrame:
+def _by_blocks(docs: DataFrame, ahead: list[pa.Table], blocks: Iterator[pa.Table]) -> DataFrame:
     """The result columns and the row_key of each row of ``docs`` (doc_id, text); one pass for each
     block of ``ahead`` and ``blocks``."""
-    row = "row_key struct<id: long, none: boolean, hash: long>"
+    row = "row_key struct<id: long, none: boolean, digest: binary>"
     docs = docs.select("doc_id", _row_key().alias("row_key"), "text")
     folder = fresh_path(docs.sparkSession, "decontam")
     while ahead:  # one bounded block of patterns at a time, its hits written before the next
-        block = ahead.pop(0)
+        name, block = sent(docs.sparkSession, ahead.pop(0))
         (docs.select("row_key", "text")
-         .mapInArrow(lambda batches, block=block: cover_batches(batches, block), f"{row}, places array<long>, items array<string>")
+         .mapInArrow(lambda batches, name=name, block=block: cover_batches(batches, name, block), f"{row}, places array<long>, items array<string>")
          .write.mode("append").parquet(folder))
+        block.destroy()
         ahead += islice(blocks, 1)
     merged = docs.sparkSession.read.parquet(folder).groupBy("row_key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_hit"),
@@ -256,10 +302,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_
     blocks = blocks_of(benchmark, size, block_words)
     ahead = list(islice(blocks, 2))
     if len(ahead) < 2:
-        block = ahead[0] if ahead else []
+        name, block = sent(docs.sparkSession, ahead[0] if ahead else None)
 
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = tables(block)
+            found = worker_tables(name, block)
             place = schema.names.index("text")
             for batch in batches:
                 for first, buf, offsets in slices(batch.column(place).cast(pa.string()), WIDE_SLICE):

@@ -164,6 +164,21 @@ def test_keep_clean_judges_each_row_by_its_text(spark, none, block_words):
     assert decontam.keep_clean(none, bench, block_words=block_words).count() == 0
 
 
+def test_blocks_hold_every_window_once(spark):
+    """Spark makes the windows; blocks of at most so many words (16 bytes each at least) share them out."""
+    items = [(1, text(1, 300)), (1, text(1, 300)), (2, text(1, 300)), (None, COMMON), (3, "long" * 40 + " words"), (4, None), (5, " ")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    want = set()
+    for i, t in items:
+        w = pattern.findall((t or "").lower())
+        m = min(13, len(w))
+        want |= {(m, " ".join(w[k:k + m]).encode(), None if i is None else str(i)) for k in range(len(w) - m + 1 if m else 0)}
+    blocks = [[tuple(r.values()) for r in b.to_pylist()] for b in decontam.blocks_of(bench, 13, 1000)]
+    assert Counter(r for b in blocks for r in b) == Counter(want)
+    assert len(blocks) > 1 and all(sum(max(m, -(-len(w) // 16)) for m, w, _ in b) <= 1000 for b in blocks)
+
+
 def test_mixing(docs, none):
     got = mixing.positions(docs).collect()
     assert Counter((r.doc_id, r["size"]) for r in got) == Counter((r[0], len(words(r[1]))) for r in rows())
