@@ -1,8 +1,11 @@
 """Phrase mining against counting every phrase in Python."""
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from lakeshift.llm import phrases
@@ -66,6 +69,55 @@ def test_phrases(docs, block_words, least, top, covered):
     assert set(map(tuple, got.collect())) == brute(table(), least, top, covered)
 
 
+@pytest.mark.parametrize("bucket_words,least_buckets", [(1, 1), (1 << 21, 1)])
+def test_phrases_of_any_number_of_buckets(docs, monkeypatch, bucket_words, least_buckets):
+    """About one pair in a bucket, and all pairs in one."""
+    monkeypatch.setattr(phrases, "BUCKET_WORDS", bucket_words)
+    monkeypatch.setattr(phrases, "LEAST_BUCKETS", least_buckets)
+    assert set(map(tuple, phrases.mine(docs, 3, 2000, 80, 40).collect())) == brute(table(), 3, 2000, 80)
+
+
+def test_pairs_travel_packed(spark, monkeypatch):
+    """Before they are counted, pairs are written and shuffled by bucket, in few bytes each."""
+    tables, write = {}, phrases.stored
+
+    def stored(df, name, **options):
+        made = write(df, name, **options)
+        tables[name] = made.count(), sum(os.path.getsize(f.split(":", 1)[1]) for f in made.inputFiles())
+        return made
+
+    monkeypatch.setattr(phrases, "stored", stored)
+    words = np.random.default_rng(5).integers(0, 1000, 300_000)
+    pairs = len(set(zip(words[:-1].tolist(), words[1:].tolist())))
+    frame = spark.createDataFrame([(" ".join(f"w{i}" for i in words), "en")], "text string, lang string").coalesce(1)
+    assert phrases.mine(frame).count() == 0
+    rows, size = tables["phrases-2"]
+    assert pairs > 200_000 and rows <= 1 + phrases.LEAST_BUCKETS
+    assert size <= 4 * len(words) + 5 * pairs
+
+
+def test_packed_integers():
+    for kind, values in (("<i4", [0, 1, -1, 2**31 - 1]), ("<i8", [5, -(2**62), 2**62 + 3]), ("<i8", [])):
+        assert phrases.unpack(pa.scalar(phrases.pack(np.array(values, kind))), kind).tolist() == values
+
+
+def test_bucket_counts_pairs_by_themselves():
+    """Pairs that share a bucket stay apart; counts of 0 name a place; sums pass 32 bits."""
+    def row(at, *entries):
+        g1, g2, n = np.array(entries, "<i8").T
+        return {"bucket": 0, "at": at, "packed": phrases.pack(np.concatenate([np.diff(g1, prepend=0), g2, n]))}
+
+    b = 1 << phrases.BITS
+    rows = [row(9 * b + 4, (4, 7, 2**31), (1 << 60, 7, 2)), row(b + 1, (4, 6, 2), (4, 7, 0), (5, 7, 2**31)), row(5 * b + 9, (4, 6, 1))]
+    got = phrases.count_bucket(pa.Table.from_pylist(rows), 3)
+    one = got.filter(pa.compute.is_valid(got["id"])).to_pylist()
+    assert sorted((x["id"], x["g1"], x["g2"], x["f"]) for x in one) == [(b + 1, 4, 6, 3), (b + 2, 4, 7, 2**31), (b + 3, 5, 7, 2**31)]
+    held = got.filter(pa.compute.is_valid(got["packed"]))
+    assert {at: [x.tolist() for x in phrases.places_of(pa.array([packed]))] for at, packed in zip(held["at"].to_pylist(), held["packed"].to_pylist())} == {
+        b: [[1, 2, 3], [b + 1, b + 2, b + 3]], 5 * b: [[9], [b + 1]], 9 * b: [[4], [b + 2]]}
+    assert len(phrases.count_bucket(pa.Table.from_pylist(rows), 2**40)) == 0
+
+
 def test_long_text_runs_over_chunks(spark, monkeypatch):
     """A text of several chunks and blocks is one text."""
     monkeypatch.setattr(phrases, "CHUNK_BYTES", 37)
